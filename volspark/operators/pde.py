@@ -1,0 +1,248 @@
+"""Crank-Nicolson sweeps in x = ln(S/K) for many contracts at once (contracts on the last axis).
+
+Values are per unit of strike, so a solution depends only on vol, rates, expiry, side and style:
+contracts that share those share one sweep. Three ways through the same scheme:
+
+* flat vol, European: the step matrix is constant, so its sine eigenvectors give the value after
+  all steps in closed form (two matrix products, no time loop);
+* flat vol, American: one factorisation, then one substitution pass per step;
+* local vol: coefficients and factors are refreshed every step.
+"""
+
+from types import SimpleNamespace
+
+import numpy as np
+
+from ..functions.backend import ARRAY
+from ..functions.local_vol import TINY_VARIANCE, dupire_terms
+from ..functions.ssvi import smile, vol
+
+# Fixed value: vols below this, or undefined, are replaced by it inside the scheme.
+VOL_FLOOR = 1e-4
+
+MAX_SKEW = 15.0  # largest exponent of the eigenvector scaling that is still well conditioned
+
+
+def make_grid(vol_atm, T, n, width):
+    """Node positions (n + 1, contracts) over +-width standard deviations around the strike."""
+    half = width * vol_atm * np.sqrt(T)
+    dx = 2.0 * half / n
+    x = -half + np.arange(n + 1)[:, None] * dx
+    return SimpleNamespace(n=n, half=half, dx=dx, x=x, spot=np.exp(x))
+
+
+def coefficients(variance, r, q, dx):
+    """Weights of the lower, middle and upper node in the generator."""
+    spread = 0.5 * variance / (dx * dx)
+    drift = (r - q - 0.5 * variance) / (2.0 * dx)
+    return spread - drift, -2.0 * spread - r, spread + drift
+
+
+def edge_values(grid, c, tau):
+    """Values at the lowest and highest node, ``tau`` before expiry."""
+    cash, asset = np.exp(-c.r * tau), np.exp(-c.q * tau)
+    low, high = grid.spot[0], grid.spot[-1]
+    put = np.maximum(cash - low * asset, np.where(c.american, 1.0 - low, 0.0))
+    call = np.maximum(high * asset - cash, np.where(c.american, high - 1.0, 0.0))
+    return np.where(c.sign > 0, 0.0, put), np.where(c.sign > 0, call, 0.0)
+
+
+def factorise(lower, middle, upper, count):
+    """Elimination factors of the ``count`` interior rows: weights on the node below and above,
+    and reciprocal pivots.
+
+    Weights that are equal on every node come in as single rows. Their pivots settle within a few
+    dozen nodes; from there on one shared row (``settled``) stands for the rest and stays in cache.
+    """
+    constant = middle.ndim == 1
+    row = (lambda values, j: values) if constant else (lambda values, j: values[j])
+    below, above, pivots, settled = [], [], [], None
+    for j in range(count):
+        pivot = row(middle, j) - (row(lower, j) * above[-1] if above else 0.0)
+        inverse = 1.0 / pivot
+        if constant and pivots and np.array_equal(inverse, pivots[-1]):
+            settled = inverse
+            below += [below[-1]] * (count - j)
+            above += [above[-1]] * (count - j)
+            break
+        pivots.append(inverse)
+        below.append(row(lower, j) * inverse)
+        above.append(row(upper, j) * inverse)
+    return SimpleNamespace(below=below, above=above, inverse=np.stack(pivots), settled=settled)
+
+
+def substitute(factors, values, first, last, out):
+    """Solve the factorised system for right-hand side ``values`` with known end values."""
+    multiply, subtract, spare = np.multiply, np.subtract, np.empty_like(first)
+    head = len(factors.inverse)
+    multiply(values[:head], factors.inverse, out=out[:head])
+    if factors.settled is not None:
+        multiply(values[head:], factors.settled, out=out[head:])
+    near = first
+    for weight, node in zip(factors.below, out):
+        multiply(weight, near, spare)
+        near = subtract(node, spare, node)
+    near = last
+    for weight, node in zip(reversed(factors.above), out[::-1]):
+        multiply(weight, near, spare)
+        near = subtract(node, spare, node)
+
+
+def march(grid, c, m, theta, variance_at):
+    """Step from expiry to today; ``variance_at(t)`` gives the interior variances, or None when
+    they are those of the previous step.
+
+    With L the generator, one step solves (1 - theta dt L) v' = (1 + (1 - theta) dt L) v. Written
+    for z = v' + v (1 - theta) / theta the right-hand side is just v / theta, so L is only ever
+    applied through the solve.
+    """
+    dt = c.T / m
+    carry = (1.0 - theta) / theta
+    intrinsic = np.maximum(c.sign * (grid.spot - 1.0), 0.0)
+    floor = np.where(c.american, intrinsic, -np.inf)[1:-1] if c.american.any() else None
+    v = intrinsic.copy()
+    inner = v[1:-1]
+    z = np.empty_like(inner)
+    for step in range(m):
+        variance = variance_at(c.T - step * dt)
+        if variance is not None:
+            low, mid, up = coefficients(variance, c.r, c.q, grid.dx)
+            scale = theta * theta * dt
+            factors = factorise(-scale * low, theta - scale * mid, -scale * up, len(z))
+        first, last = edge_values(grid, c, (step + 1) * dt)
+        substitute(factors, inner, first + carry * v[0], last + carry * v[-1], z)
+        if carry != 1.0:
+            inner *= carry
+        np.subtract(z, inner, out=inner)
+        v[0], v[-1] = first, last
+        if floor is not None:
+            np.maximum(inner, floor, out=inner)
+    return v
+
+
+def sine_matrix(n):
+    j = np.arange(1, n)
+    return np.sqrt(2.0 / n) * np.sin(np.outer(j, j) * (np.pi / n))
+
+
+def integer_power(base, exponent):
+    """base ** exponent by repeated squaring."""
+    result = np.ones_like(base)
+    while exponent:
+        if exponent & 1:
+            result *= base
+        base, exponent = base * base, exponent >> 1
+    return result
+
+
+def spectral_scale(grid, c):
+    """Exponent per node that makes the generator symmetric; NaN where it cannot."""
+    low, _, up = coefficients(c.sigma**2, c.r, c.q, grid.dx)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return 0.5 * np.log(low / up)
+
+
+def spectral_ready(grid, c):
+    """European contracts whose closed form is well conditioned and whose edge value stays the
+    plain discounted forward payoff until today."""
+    tilt = np.abs(spectral_scale(grid, c)) * grid.n / 2.0
+    plain_edge = grid.half + c.sign * (c.r - c.q) * c.T >= 0.0
+    return ~c.american & (tilt <= MAX_SKEW) & plain_edge
+
+
+def spectral(grid, c, m, theta):
+    """The values ``march`` reaches after ``m`` steps with constant coefficients, in closed form.
+
+    In the sine basis a step multiplies each mode by a factor and adds a multiple of z**step,
+    z = exp(-rate dt), for each of the two exponentials of the edge value; both are summed as
+    geometric series.
+    """
+    n, dt = grid.n, c.T / m
+    low, mid, up = coefficients(c.sigma**2, c.r, c.q, grid.dx)
+    tilt = np.exp(spectral_scale(grid, c) * (np.arange(n + 1) - n / 2.0)[:, None])
+    modes = np.arange(1, n)[:, None]
+    eigen = mid + 2.0 * np.sqrt(low * up) * np.cos(modes * (np.pi / n))
+    solve = 1.0 / (1.0 - theta * dt * eigen)
+    factor = (1.0 + (1.0 - theta) * dt * eigen) * solve
+    factor_m = integer_power(factor, m)
+    basis = sine_matrix(n)
+    payoff = np.maximum(c.sign * (grid.spot - 1.0), 0.0)
+    amplitude = factor_m * (basis @ (payoff / tilt)[1:-1])
+    near = np.sqrt(2.0 / n) * np.sin(modes * (np.pi / n))
+    far = near * np.where(modes % 2 == 1, 1.0, -1.0)
+    call = c.sign > 0
+    source = np.where(call, far * (up / tilt[-2]), near * (low / tilt[1]))
+    edge = np.where(call, grid.spot[-1], grid.spot[0])
+    for rate, weight in ((c.q, c.sign * edge), (c.r, -c.sign)):
+        z, z_m = np.exp(-rate * dt), np.exp(-rate * c.T)
+        gap = factor - z
+        with np.errstate(invalid="ignore", divide="ignore"):
+            series = np.where(np.abs(gap) > 1e-12, (factor_m - z_m) / gap, m * z_m / z)
+        amplitude += dt * solve * source * (weight * (theta * z + 1.0 - theta)) * series
+    v = np.empty((n + 1, c.T.size))
+    v[0], v[-1] = edge_values(grid, c, c.T)
+    v[1:-1] = tilt[1:-1] * (basis @ amplitude)
+    return v
+
+
+def flat_values(c, n, m, width, theta):
+    """Grid and values for contracts with constant vol."""
+    grid = make_grid(c.sigma, c.T, n, width)
+    v = np.empty((n + 1, c.T.size))
+    fast = spectral_ready(grid, c)
+    for mask, closed in ((fast, True), (~fast, False)):
+        if mask.any():
+            part = take(c, mask)
+            sub = make_grid(part.sigma, part.T, n, width)
+            if closed:
+                v[:, mask] = spectral(sub, part, m, theta)
+            else:
+                once = iter([part.sigma**2])
+                v[:, mask] = march(sub, part, m, theta, lambda t: next(once, None))
+    return grid, v
+
+
+def smile_values(c, n, m, width, theta):
+    """Grid and values under the local vol of each contract's SSVI surface.
+
+    The grid is sized with the at-the-money implied vol at expiry, log-moneyness is measured
+    against the forward of date t, and t is kept away from 0 where the surface has no slope.
+    """
+    zero = np.zeros_like(c.T)
+    atm = vol(smile(zero, c.T, c.rho, c.eta, c.gam, c.nu, ARRAY), ARRAY)
+    grid = make_grid(np.maximum(atm, VOL_FLOOR), c.T, n, width)
+    inner = grid.x[1:-1] - c.log_ratio
+
+    def variance_at(t):
+        t = np.maximum(t, c.T / m)
+        s = smile(inner - (c.r - c.q) * t, t, c.rho, c.eta, c.gam, c.nu, ARRAY)
+        terms = dupire_terms(s, ARRAY)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            variance = terms.dw_dT / terms.g
+        known = (terms.g > 0) & (terms.dw_dT >= 0) & (terms.w >= TINY_VARIANCE)
+        return np.where(known, np.maximum(variance, VOL_FLOOR**2), VOL_FLOOR**2)
+
+    return grid, march(grid, c, m, theta, variance_at)
+
+
+def take(c, pick):
+    return SimpleNamespace(**{name: values[pick] for name, values in vars(c).items()})
+
+
+def read_grid(grid, v, log_ratio):
+    """Price, delta and gamma per unit of strike (spot in strikes) at ln(S0/K), by linear
+    interpolation of nodal values. The last output is the second difference alone, without the
+    slope term of the change of variable."""
+    n, columns = grid.n, np.arange(log_ratio.size)
+    position = (log_ratio + grid.half) / grid.dx
+    j = np.clip(np.floor(position).astype(np.int64), 1, n - 2)
+    share = position - j
+    at = lambda i: v[i, columns]
+    spot = lambda i: grid.spot[i, columns]
+
+    def node(i):
+        delta = (at(i + 1) - at(i - 1)) / (spot(i + 1) - spot(i - 1))
+        bend = (at(i + 1) - 2.0 * at(i) + at(i - 1)) / (grid.dx * spot(i)) ** 2
+        return at(i), delta, bend - delta / spot(i), bend
+
+    return [(1.0 - share) * a + share * b for a, b in zip(node(j), node(j + 1))]
