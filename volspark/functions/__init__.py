@@ -1,5 +1,7 @@
-"""Scalar building blocks: every function maps Columns to a Column, so it composes in any query.
+"""Scalar building blocks.
 
-The closed forms are free of branches and of user-defined functions; Catalyst keeps them inside
-whole-stage code generation and evaluates shared subexpressions once.
+Arguments are column names, SQL expression text or plain numbers. Every closed form is written once
+and runs three ways (see ``backend``): inline as a Column that composes in any query, staged as a
+chain of projections that keeps large formulas small for the optimizer, or on numpy arrays inside
+an Arrow task.
 """

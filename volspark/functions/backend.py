@@ -1,43 +1,143 @@
-"""One formula text, two evaluations.
+"""One formula text, three evaluations.
 
-A closed form written against a backend ``m`` runs on Columns (``COLUMN``, the default everywhere)
-and on numpy arrays inside an Arrow task (``ARRAY``), so the two can never drift apart.
+A closed form takes a backend ``m`` and marks its shared terms with ``m.let``, which returns one
+value per term:
+
+* ``INLINE`` renders SQL text for a single Column; ``let`` does nothing;
+* ``Staged(df)`` renders SQL text too, and ``let`` adds the terms to the DataFrame as columns, so
+  later text refers to them by name. Catalyst keeps such projections apart when a term is used
+  more than once, and code generation fuses them again: each term is computed once per row and the
+  expression trees stay small;
+* ``ARRAY`` computes on numpy arrays.
+
+Division renders as ``try_divide``: a zero divisor gives NULL instead of an ANSI error.
 """
 
 from types import SimpleNamespace
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def col(c) -> Column:
-    """A column name, a Column or a plain number, as a Column."""
-    if isinstance(c, Column):
-        return c
-    return F.col(c) if isinstance(c, str) else F.lit(float(c))
 
+class Sql:
+    """SQL expression text with arithmetic."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def __str__(self) -> str:
+        return self.text
+
+    def __add__(self, other):
+        return Sql(f"({self} + {sql(other)})")
+
+    def __radd__(self, other):
+        return Sql(f"({sql(other)} + {self})")
+
+    def __sub__(self, other):
+        return Sql(f"({self} - {sql(other)})")
+
+    def __rsub__(self, other):
+        return Sql(f"({sql(other)} - {self})")
+
+    def __mul__(self, other):
+        return Sql(f"({self} * {sql(other)})")
+
+    def __rmul__(self, other):
+        return Sql(f"({sql(other)} * {self})")
+
+    def __truediv__(self, other):
+        return Sql(f"try_divide({self}, {sql(other)})")
+
+    def __rtruediv__(self, other):
+        return Sql(f"try_divide({sql(other)}, {self})")
+
+    def __neg__(self):
+        return Sql(f"(- {self})")
+
+    def __gt__(self, other):
+        return Sql(f"({self} > {sql(other)})")
+
+    def __lt__(self, other):
+        return Sql(f"({self} < {sql(other)})")
+
+    def __le__(self, other):
+        return Sql(f"({self} <= {sql(other)})")
+
+    def __and__(self, other):
+        return Sql(f"({self} and {sql(other)})")
+
+    @property
+    def column(self) -> Column:
+        return F.expr(self.text)
 
-def positive(c) -> Column:
-    """``c`` where it is a number above zero, else NULL.
 
-    Guarding one operand is enough: NULL propagates through the rest of the arithmetic, ANSI mode
-    never sees a zero divisor, and no CASE branch hides shared subexpressions from the optimizer.
-    NaN sorts above every number in Spark, hence the explicit test.
+def sql(value) -> Sql:
+    """Text as it is (in parentheses unless a bare name), bools and numbers as literals."""
+    if isinstance(value, Sql):
+        return value
+    if isinstance(value, str):
+        bare = value.replace("_", "").replace(".", "").isalnum()
+        return Sql(value if bare else f"({value})")
+    if isinstance(value, bool):
+        return Sql(str(value).lower())
+    return Sql(f"({float(value)!r}D)")
+
+
+def positive(value) -> Sql:
+    """``value`` where it is a number above zero, else NULL.
+
+    Guarding one operand is enough, since NULL propagates through the rest of the arithmetic, and
+    no CASE branch hides shared terms from the optimizer. NaN sorts above every number in Spark,
+    hence the explicit test.
     """
-    c = col(c)
-    return F.when((c > 0) & ~F.isnan(c), c)
-
-
-COLUMN = SimpleNamespace(
-    sqrt=F.sqrt,
-    exp=F.exp,
-    log=F.log,
-    pow=F.pow,
-    abs=F.abs,
-    capped=lambda x, top: F.least(x, F.lit(top)),
-    indicator=lambda condition: condition.cast("double"),
-    divisor=positive,
-)
+    value = sql(value)
+    return Sql(f"(case when {value} > 0 and not isnan({value}) then {value} end)")
+
+
+def _function(name: str):
+    return lambda *arguments: Sql(f"{name}({', '.join(str(sql(a)) for a in arguments)})")
+
+
+def _same(*terms):
+    return terms
+
+
+class Inline:
+    sqrt = staticmethod(_function("sqrt"))
+    exp = staticmethod(_function("exp"))
+    log = staticmethod(_function("ln"))
+    pow = staticmethod(_function("power"))
+    abs = staticmethod(_function("abs"))
+    capped = staticmethod(_function("least"))
+    let = staticmethod(_same)
+
+    @staticmethod
+    def indicator(condition) -> Sql:
+        return Sql(f"cast({condition} as double)")
+
+
+class Staged(Inline):
+    """Collects shared terms as columns of a DataFrame; ``done`` leaves only the outputs."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.columns = df.columns
+        self.count = 0
+
+    def let(self, *terms):
+        names = [f"_term{self.count + i}" for i in range(len(terms))]
+        self.count += len(terms)
+        self.df = self.df.selectExpr("*", *[f"{t} as {n}" for t, n in zip(terms, names)])
+        return tuple(Sql(n) for n in names)
+
+    def done(self, **outputs) -> DataFrame:
+        kept = [F.col(f"`{c}`") for c in self.columns if c not in outputs]
+        return self.df.select(*kept, *[F.expr(f"{sql(t)} as {n}") for n, t in outputs.items()])
+
+
+INLINE = Inline()
 
 ARRAY = SimpleNamespace(
     sqrt=np.sqrt,
@@ -47,5 +147,5 @@ ARRAY = SimpleNamespace(
     abs=np.abs,
     capped=np.minimum,
     indicator=lambda condition: np.asarray(condition, dtype=np.float64),
-    divisor=lambda x: x,
+    let=_same,
 )

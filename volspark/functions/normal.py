@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column
 
-from .backend import COLUMN, col
+from .backend import INLINE, sql
 
 # Rational approximation of the upper tail by Hart (1968) as tabulated by
 # West (2005), highest power first.
@@ -25,25 +25,28 @@ def _horner(coefficients, x):
     return total
 
 
-def cdf(x, m=COLUMN):
-    """P(Z <= x), absolute error below 3e-16 on the whole line.
+def cdfs(xs, m=INLINE):
+    """P(Z <= x) for each x, absolute error below 3e-16 on the whole line.
 
     The leading coefficients have the ratio 1/sqrt(2 pi), the true asymptotic constant, so the one
     rational also serves the far tail and no branch is needed.
     """
-    a = m.capped(m.abs(x), TAIL_END)
-    tail = m.exp(a * a * -0.5) * _horner(TAIL_NUMERATOR, a) / _horner(TAIL_DENOMINATOR, a)
-    upper = m.indicator(x > 0.0)
-    return upper + (1.0 - 2.0 * upper) * tail
+    sizes = m.let(*[m.capped(m.abs(x), TAIL_END) for x in xs])
+    tails = m.let(*[
+        m.exp(a * a * -0.5) * _horner(TAIL_NUMERATOR, a) / _horner(TAIL_DENOMINATOR, a)
+        for a in sizes
+    ])
+    uppers = [m.indicator(x > 0.0) for x in xs]
+    return [up + (1.0 - 2.0 * up) * tail for up, tail in zip(uppers, tails)]
 
 
-def pdf(x, m=COLUMN):
+def pdf(x, m=INLINE):
     return m.exp(x * x * -0.5) / SQRT_TWO_PI
 
 
 def norm_cdf(x) -> Column:
-    return cdf(col(x))
+    return cdfs([sql(x)])[0].column
 
 
 def norm_pdf(x) -> Column:
-    return pdf(col(x))
+    return pdf(sql(x)).column

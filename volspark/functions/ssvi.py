@@ -2,15 +2,14 @@
 
 Parameters are columns ``rho, eta, gam, nu``: theta = nu T and
 phi = eta / (theta^gam (1 + theta)^(1 - gam)). ``smile`` computes the shared terms once and the
-derivatives follow from them; each function runs on Columns or on numpy arrays.
+derivatives follow from them.
 """
 
 from types import SimpleNamespace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
-from .backend import COLUMN, col, positive
+from .backend import INLINE, Staged, positive, sql
 
 PARAMS = ("rho", "eta", "gam", "nu")
 
@@ -22,14 +21,14 @@ WING_LIMIT = 4.0
 GAMMA_LIMIT = 0.5
 
 
-def smile(k, T, rho, eta, gam, nu, m=COLUMN):
+def smile(k, T, rho, eta, gam, nu, m=INLINE):
     """Total variance ``w`` at (k, T) with the terms every derivative shares."""
-    theta = nu * T
-    phi = eta / (m.pow(theta, gam) * m.pow(1.0 + theta, 1.0 - gam))
+    (theta,) = m.let(nu * T)
+    (phi,) = m.let(eta / (m.pow(theta, gam) * m.pow(1.0 + theta, 1.0 - gam)))
     skew = phi * k
     shifted = skew + rho
     slack = 1.0 - rho * rho
-    root = m.divisor(m.sqrt(shifted * shifted + slack))
+    (root,) = m.let(m.sqrt(shifted * shifted + slack))
     level = 1.0 + rho * skew + root
     return SimpleNamespace(
         k=k, T=T, rho=rho, eta=eta, gam=gam, nu=nu, theta=theta, phi=phi, skew=skew,
@@ -60,16 +59,15 @@ def slope_in_T(s):
     return s.nu * slope_in_theta(s)
 
 
-def vol(s, m=COLUMN):
+def vol(s, m=INLINE):
     return m.sqrt(s.w / s.T)
 
 
-def vol_jacobian(s, m=COLUMN):
+def vol_jacobian(s, m=INLINE):
     """(iv, d iv / d rho, d eta, d gam, d nu) from the chain rule on w."""
-    iv = vol(s, m)
-    scale = 0.5 / (iv * s.T)
-    through_phi = slope_in_phi(s) * s.phi
-    return (
+    iv, through_phi = m.let(vol(s, m), slope_in_phi(s) * s.phi)
+    (scale,) = m.let(0.5 / (iv * s.T))
+    return m.let(
         iv,
         scale * 0.5 * s.theta * (s.skew + s.skew / s.root),
         scale * through_phi / s.eta,
@@ -78,42 +76,61 @@ def vol_jacobian(s, m=COLUMN):
     )
 
 
-def _smile_columns(k, T, rho, eta, gam, nu):
-    return smile(col(k), positive(T), col(rho), col(eta), col(gam), positive(nu))
+def guarded_smile(k, T, rho, eta, gam, nu, m=INLINE):
+    """Smile of columns; every term is NULL unless T and nu are positive."""
+    T, nu = m.let(positive(T), positive(nu))
+    return smile(sql(k), T, sql(rho), sql(eta), sql(gam), nu, m)
 
 
-def ssvi_theta(T, nu="nu") -> Column:
-    return col(nu) * positive(T)
+def ssvi_theta(T="T", nu="nu") -> Column:
+    return (sql(nu) * positive(T)).column
 
 
-def ssvi_phi(T, eta="eta", gam="gam", nu="nu") -> Column:
-    theta = positive(ssvi_theta(T, nu))
-    gam = col(gam)
-    return col(eta) / (F.pow(theta, gam) * F.pow(1.0 + theta, 1.0 - gam))
+def ssvi_phi(T="T", eta="eta", gam="gam", nu="nu") -> Column:
+    return guarded_smile("0D", T, "0D", eta, gam, nu).phi.column
 
 
 def ssvi_w(k="k", T="T", rho="rho", eta="eta", gam="gam", nu="nu") -> Column:
     """Total variance; NULL when T <= 0."""
-    return _smile_columns(k, T, rho, eta, gam, nu).w
+    return guarded_smile(k, T, rho, eta, gam, nu).w.column
 
 
 def ssvi_iv(k="k", T="T", rho="rho", eta="eta", gam="gam", nu="nu") -> Column:
     """Implied vol sqrt(w/T); NULL when T <= 0."""
-    return vol(_smile_columns(k, T, rho, eta, gam, nu))
+    return vol(guarded_smile(k, T, rho, eta, gam, nu)).column
+
+
+def with_ssvi_iv(
+    frame: DataFrame, name: str = "iv", k="k", T="T", rho="rho", eta="eta", gam="gam", nu="nu"
+) -> DataFrame:
+    """Add ``name``: implied vol."""
+    m = Staged(frame)
+    iv = vol(guarded_smile(k, T, rho, eta, gam, nu, m))
+    return m.done(**{name: iv})
+
+
+def with_ssvi_terms(
+    frame: DataFrame, k="k", T="T", rho="rho", eta="eta", gam="gam", nu="nu"
+) -> DataFrame:
+    """Add theta, phi, w, iv and the derivatives dw_dk, d2w_dk2, dw_dt."""
+    m = Staged(frame)
+    s = guarded_smile(k, T, rho, eta, gam, nu, m)
+    return m.done(
+        theta=s.theta, phi=s.phi, w=s.w, iv=vol(s), dw_dk=slope_in_k(s),
+        d2w_dk2=curvature_in_k(s), dw_dt=slope_in_T(s),
+    )
 
 
 def ssvi_derivs(k="k", T="T", rho="rho", eta="eta", gam="gam", nu="nu") -> Column:
     """Struct of w and its analytic derivatives dw_dk, d2w_dk2, dw_dt."""
-    s = _smile_columns(k, T, rho, eta, gam, nu)
-    return F.struct(
-        s.w.alias("w"),
-        slope_in_k(s).alias("dw_dk"),
-        curvature_in_k(s).alias("d2w_dk2"),
-        slope_in_T(s).alias("dw_dt"),
-    )
+    s = guarded_smile(k, T, rho, eta, gam, nu)
+    return sql(
+        f"named_struct('w', {s.w}, 'dw_dk', {slope_in_k(s)}, "
+        f"'d2w_dk2', {curvature_in_k(s)}, 'dw_dt', {slope_in_T(s)})"
+    ).column
 
 
-def arb_free(rho, eta, gam, m=COLUMN):
+def arb_free(rho, eta, gam, m=INLINE):
     size = m.abs(rho)
     return (
         (size < 1.0)
@@ -125,4 +142,4 @@ def arb_free(rho, eta, gam, m=COLUMN):
 
 def ssvi_arb_free(rho="rho", eta="eta", gam="gam") -> Column:
     """Sufficient parameter condition; nu is not part of it."""
-    return arb_free(col(rho), col(eta), col(gam))
+    return arb_free(sql(rho), sql(eta), sql(gam)).column

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.backend import col
+from ..functions.backend import sql
 from ..functions.ssvi import PARAMS
 from . import pde
 
@@ -24,9 +24,8 @@ def spot_ladder(
 ) -> DataFrame:
     """n + 1 log-spaced scenario spots per contract: S_i = K exp(x_min + i (x_max - x_min) / n)."""
     dx = (float(x_max) - float(x_min)) / n
-    step = F.explode(F.sequence(F.lit(0), F.lit(n)))
     return (
-        contracts.withColumn("step", step)
+        contracts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n))))
         .withColumn("x", F.lit(float(x_min)) + F.col("step") * F.lit(dx))
         .withColumn("scenario_spot", F.col(strike) * F.exp("x"))
     )
@@ -109,7 +108,7 @@ def value_contracts(spot, strike, T, sigma, r, q, is_call, exercise, params=None
 
 
 def contract_value(
-    *contract: Column | str, params: Sequence[Column | str] | None = None,
+    *contract: str | float, params: Sequence[str | float] | None = None,
     n: int = 400, m: int = 200, width: float = 5.0, theta: float = 0.5,
 ) -> Column:
     """Struct ``price, delta, gamma, gamma_raw, status`` of a contract given as spot, strike, T,
@@ -135,9 +134,9 @@ def contract_value(
                                n, m, width, theta)
 
     local = params is not None
-    chosen = params if local else [F.lit(None).cast("double")] * len(PARAMS)
-    surface = F.struct(*[col(c).alias(p) for c, p in zip(chosen, PARAMS)])
-    return valued(*[col(c) for c in contract], surface)
+    chosen = params if local else ["cast(null as double)"] * len(PARAMS)
+    surface = F.struct(*[sql(c).column.alias(p) for c, p in zip(chosen, PARAMS)])
+    return valued(*[sql(c).column for c in contract], surface)
 
 
 def price_book(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
-from ..functions.backend import ARRAY, COLUMN
+from ..functions.backend import ARRAY, Sql, Staged
 from ..functions.ssvi import (
     LOWER_BOUNDS, PARAMS, START, UPPER_BOUNDS, WING_LIMIT, arb_free, smile, vol_jacobian,
 )
@@ -207,7 +207,7 @@ def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
 
     def step(frames):
         for frame in filter(len, frames):
-            state = _state_of(frame)
+            state = _state_of(frame.drop(columns="sse").rename(columns={"best": "sse"}))
             sums = frame.loc[state.active, SUMS].to_numpy(dtype=np.float64)
             advance(state, sums, max_iterations)
             yield _frame_of(frame["surface"], state)
@@ -218,16 +218,18 @@ def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
 
     schema = f"surface {surface}, {STATE}"
     state = checkpointed(spread.select("surface").distinct().mapInPandas(begin, schema))
-    trial = [F.col("trial")[i] for i in range(4)]
-    terms = error_terms(*(F.col(c) for c in ("T", "k", "iv", "weight")), trial, COLUMN)
-    totals = [F.sum(term).alias(name) for name, term in zip(SUMS, terms)]
     while not state.where("active").isEmpty():
-        asked = state.where("active").select(
-            "surface", "trial", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice")
+        asked = state.where("active").selectExpr(
+            "surface", *[f"trial[{i}] as {name}" for i, name in enumerate(PARAMS)],
+            f"explode(sequence(0, {SLICES - 1})) as slice",
         )
-        sums = spread.join(asked, ["surface", "slice"]).groupBy("surface").agg(*totals)
+        m = Staged(spread.join(asked, ["surface", "slice"]))
+        terms = error_terms(*map(Sql, ("T", "k", "iv", "weight")), [Sql(p) for p in PARAMS], m)
+        totals = [F.expr(f"sum({term})").alias(name) for name, term in zip(SUMS, list(terms))]
+        sums = m.df.groupBy("surface").agg(*totals)
         state = checkpointed(
-            state.join(sums, "surface", "left").mapInPandas(step, schema)
+            state.withColumnRenamed("sse", "best").join(sums, "surface", "left")
+            .mapInPandas(step, schema)
         )
     return state.mapInPandas(finish, f"surface {surface}, {FIT}")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .intervals import interval_lookup
-from .ordered import time_bucket, with_next, with_previous
+from .ordered import time_bucket, with_neighbours
 
 SEQ_PER_BUCKET = 4096
 
@@ -18,7 +18,7 @@ def validate_curve(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> Dat
     and ``rows``; an empty result means every curve is valid.
     """
     bucket = F.floor(F.col("seq") / F.lit(SEQ_PER_BUCKET))
-    checked = with_previous(rates, keys, "seq", bucket, "tenor")
+    checked = with_neighbours(rates, keys, "seq", bucket, previous="tenor")
     return (
         checked.groupBy(*keys)
         .agg(
@@ -63,25 +63,18 @@ def curve_segments(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> Dat
     Output: keys, lo, hi (NULL = open end), ``rate_lo`` at lo and ``slope``; the rate at T is
     ``rate_lo + slope * (T - lo)``, with slope 0 on the flat ends.
     """
-    nodes = with_next(rates.select(*keys, "tenor", "rate"), keys, "tenor",
-                      time_bucket("tenor"), ("tenor", "rate"))
-    width = F.col("next.tenor") - F.col("tenor")
-    pieces = nodes.select(
-        *keys,
-        F.col("tenor").alias("lo"),
-        F.col("next.tenor").alias("hi"),
-        F.col("rate").alias("rate_lo"),
-        F.coalesce(
-            F.try_divide(F.col("next.rate") - F.col("rate"), width), F.lit(0.0)
-        ).alias("slope"),
+    nodes = with_neighbours(
+        rates.select(*keys, "tenor", "rate"), keys, "tenor", time_bucket("tenor"),
+        following=("tenor", "rate"),
+    )
+    pieces = nodes.selectExpr(
+        *keys, "tenor as lo", "next.tenor as hi", "rate as rate_lo",
+        "coalesce(try_divide(next.rate - rate, next.tenor - tenor), 0D) as slope",
     )
     first = rates.groupBy(*keys).agg(F.min(F.struct("tenor", "rate")).alias("node"))
-    head = first.select(
-        *keys,
-        F.lit(None).cast("double").alias("lo"),
-        F.col("node.tenor").alias("hi"),
-        F.col("node.rate").alias("rate_lo"),
-        F.lit(0.0).alias("slope"),
+    head = first.selectExpr(
+        *keys, "cast(null as double) as lo", "node.tenor as hi", "node.rate as rate_lo",
+        "0D as slope",
     )
     return head.unionByName(pieces)
 
@@ -89,42 +82,32 @@ def curve_segments(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> Dat
 def zero_rate(
     points: DataFrame,
     segments: DataFrame,
-    at: Column | str = "T",
+    at: str = "T",
     keys: Sequence[str] = ("curve_id",),
     name: str = "rate",
 ) -> DataFrame:
     """Add the zero rate at ``at``: linear between nodes, flat outside."""
-    at = F.col(at) if isinstance(at, str) else at
-    found = interval_lookup(points.withColumn("_t", at), segments, keys, "_t",
-                            ("lo", "rate_lo", "slope"))
-    offset = F.coalesce(F.col("_t") - F.col("lo"), F.lit(0.0))
-    return found.select(
-        *points.columns, (F.col("rate_lo") + offset * F.col("slope")).alias(name)
-    )
+    rate = "_rate_lo + coalesce(_at - _lo, 0D) * _slope"
+    return interval_lookup(points, segments, keys, at, {name: rate}, ("rate_lo", "slope"))
 
 
-def discount_factor(rate, T) -> Column:
+def discount_factor(rate: str = "rate", T: str = "T") -> Column:
     """exp(-r T)."""
-    rate = F.col(rate) if isinstance(rate, str) else rate
-    T = F.col(T) if isinstance(T, str) else T
-    return F.exp(-rate * T)
+    return F.expr(f"exp(-({rate}) * ({T}))")
 
 
 def forward_rate(
     points: DataFrame,
     segments: DataFrame,
-    start: Column | str = "T1",
-    end: Column | str = "T2",
+    start: str = "T1",
+    end: str = "T2",
     keys: Sequence[str] = ("curve_id",),
     name: str = "forward_rate",
 ) -> DataFrame:
     """Add (r2 T2 - r1 T1) / (T2 - T1); NULL when the two dates coincide."""
-    start = F.col(start) if isinstance(start, str) else start
-    end = F.col(end) if isinstance(end, str) else end
-    both = points.withColumn("_t1", start).withColumn("_t2", end)
+    both = points.selectExpr("*", f"{start} as _t1", f"{end} as _t2")
     both = zero_rate(both, segments, "_t1", keys, "_r1")
     both = zero_rate(both, segments, "_t2", keys, "_r2")
-    accrued = F.col("_r2") * F.col("_t2") - F.col("_r1") * F.col("_t1")
-    return both.select(
-        *points.columns, F.try_divide(accrued, F.col("_t2") - F.col("_t1")).alias(name)
+    return both.selectExpr(
+        *points.columns, f"try_divide(_r2 * _t2 - _r1 * _t1, _t2 - _t1) as {name}"
     )

@@ -5,10 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.backend import col, positive
 from .curves import discount_factor, zero_rate
 from .intervals import interval_lookup
-from .ordered import time_bucket, with_next, with_running_sum
+from .ordered import time_bucket, with_neighbours
 
 # Fixed value: days of dividend history kept by the cleaning step.
 LOOKBACK_DAYS = 730
@@ -41,16 +40,12 @@ def cumulative_pv(
     daily = (
         dividends.where(F.col("T") > start)
         .groupBy(*keys, "T")
-        .agg(F.sum(F.coalesce(F.col("alpha") * F.col("df"), F.lit(0.0))).alias("cash"))
+        .agg(F.expr("sum(coalesce(alpha * df, 0D))").alias("cash"))
     )
-    summed = with_running_sum(daily, keys, "T", time_bucket("T"), "cash")
-    steps = with_next(summed, keys, "T", time_bucket("T"), ("T",))
-    return steps.select(
-        *keys,
-        F.col("T").alias("lo"),
-        F.col("next.T").alias("hi"),
-        F.col("running").alias("pv"),
+    steps = with_neighbours(
+        daily, keys, "T", time_bucket("T"), following=("T",), running="cash"
     )
+    return steps.selectExpr(*keys, "T as lo", "next.T as hi", "running as pv")
 
 
 def pv_dividends(
@@ -73,10 +68,11 @@ def pv_dividends(
         "df", discount_factor("zero", "T")
     )
     steps = cumulative_pv(discounted, keys, start)
-    found = interval_lookup(points, steps, keys, at, ("pv",), closed="left")
-    return found.select(*points.columns, F.coalesce("pv", F.lit(0.0)).alias(name))
+    return interval_lookup(
+        points, steps, keys, at, {name: "coalesce(_pv, 0D)"}, ("pv",), closed="left"
+    )
 
 
-def forward_price(spot, pv_div, df) -> Column:
+def forward_price(spot: str, pv_div: str, df: str) -> Column:
     """(S - PV of dividends up to T) / df(T)."""
-    return (col(spot) - col(pv_div)) / positive(df)
+    return F.try_divide(F.col(spot) - F.col(pv_div), F.col(df))

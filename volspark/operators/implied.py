@@ -5,8 +5,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.backend import ARRAY, col
-from ..functions.black import call_sign, undiscounted
+from ..functions.backend import ARRAY, INLINE, sql
+from ..functions.black import undiscounted
 from ..functions.normal import pdf
 
 RESULT = "sigma double, iterations int, status string"
@@ -146,7 +146,7 @@ def implied_vol_forward(
                  c: pd.Series) -> pd.DataFrame:
         return invert(p, f, k, t, d, c, method, lo, hi, tol, max_iter, seed, min_vega)
 
-    return inverted(col(price), col(forward), col(strike), col(T), col(df), col(is_call))
+    return inverted(*[sql(c).column for c in (price, forward, strike, T, df, is_call)])
 
 
 def implied_vol(
@@ -154,10 +154,10 @@ def implied_vol(
     hi: float = 5.0, tol: float = PRICE_TOLERANCE, max_iter: int = 200,
 ) -> Column:
     """The same struct from spot, rate and dividend yield; ``newton`` starts at (lo + hi) / 2."""
-    forward = col(S) * F.exp((col(r) - col(q)) * col(T))
-    df = F.exp(-col(r) * col(T))
+    S, T, r, q = sql(S), sql(T), sql(r), sql(q)
+    forward = S * INLINE.exp((r - q) * T)
     return implied_vol_forward(
-        price, forward, K, T, df, is_call, method, lo, hi, tol, max_iter,
+        price, forward, K, T, INLINE.exp(-(r * T)), is_call, method, lo, hi, tol, max_iter,
         seed=None, min_vega=SPOT_MIN_VEGA,
     )
 

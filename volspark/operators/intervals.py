@@ -1,52 +1,48 @@
 """Point-in-interval lookup as a bucketed equi-join."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import TIME_BUCKETS, time_bucket
 
 
-def bucketed_intervals(intervals: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """One row per (interval, time bucket it touches). A NULL end is open."""
-    first = F.when(F.col(lo).isNull(), F.lit(0)).otherwise(time_bucket(lo))
-    last = F.when(F.col(hi).isNull(), F.lit(TIME_BUCKETS - 1)).otherwise(time_bucket(hi))
-    return intervals.withColumn("bucket", F.explode(F.sequence(first, last)))
-
-
 def interval_lookup(
     points: DataFrame,
     intervals: DataFrame,
     on: Sequence[str],
-    at: Column | str,
+    at: str,
+    outputs: Mapping[str, str],
     values: Sequence[str],
     closed: str = "right",
 ) -> DataFrame:
     """Left-join each point to the one interval of its key that holds ``at``.
 
-    The intervals of a key are disjoint, so a point matches at most one of them; the bucket in the
-    join key keeps the candidates per point to the few intervals that touch its bucket, whatever
-    the size of the key. No broadcast is forced: Spark broadcasts the intervals when their size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, where
-    adaptive execution splits a skewed partition of points.
+    ``intervals`` has the keys, ``lo``, ``hi`` (a NULL end is open) and ``values``. ``outputs`` maps
+    new columns to SQL text over the point, ``_at``, ``_lo``, ``_hi`` and the underscored values.
+
+    The intervals of a key are disjoint, so a point matches at most one of them. Each interval is
+    repeated for the time buckets it touches, and the bucket in the join key keeps the candidates
+    per point to the few intervals that touch its bucket, whatever the size of the key. No
+    broadcast is forced: Spark broadcasts the intervals when their size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, where adaptive
+    execution splits a skewed partition of points.
     """
-    at = F.col(at) if isinstance(at, str) else at
-    left = points.withColumn("_at", at).withColumn("_bucket", time_bucket("_at"))
-    right = bucketed_intervals(intervals).select(
+    left = points.selectExpr("*", f"{at} as _at").withColumn("_bucket", time_bucket("_at"))
+    first = F.when(F.col("lo").isNull(), F.lit(0)).otherwise(time_bucket("lo"))
+    last = F.when(F.col("hi").isNull(), F.lit(TIME_BUCKETS - 1)).otherwise(time_bucket("hi"))
+    right = intervals.select(
         *[F.col(k).alias(f"_key_{k}") for k in on],
-        F.col("bucket").alias("_interval_bucket"),
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        *[F.col(v).alias(f"_value_{v}") for v in values],
+        *[F.col(v).alias(f"_{v}") for v in ("lo", "hi", *values)],
+        F.explode(F.sequence(first, last)).alias("_touched"),
     )
-    if closed == "right":
-        inside = "(_lo is null or _at > _lo) and (_hi is null or _at <= _hi)"
-    else:
-        inside = "(_lo is null or _at >= _lo) and (_hi is null or _at < _hi)"
-    condition = F.expr(inside) & (F.col("_bucket") == F.col("_interval_bucket"))
-    for k in on:
-        condition = condition & (F.col(k) == F.col(f"_key_{k}"))
-    return left.join(right, condition, "left").select(
-        *points.columns, *[F.col(f"_value_{v}").alias(v) for v in values]
+    above, below = (">", "<=") if closed == "right" else (">=", "<")
+    clauses = [f"{k} = _key_{k}" for k in on] + [
+        "_bucket = _touched",
+        f"(_lo is null or _at {above} _lo)",
+        f"(_hi is null or _at {below} _hi)",
+    ]
+    return left.join(right, F.expr(" and ".join(clauses)), "left").selectExpr(
+        *points.columns, *[f"{text} as {name}" for name, text in outputs.items()]
     )

@@ -15,76 +15,56 @@ from pyspark.sql import window as W
 TIME_BUCKETS = 31
 
 
-def time_bucket(T) -> Column:
+def time_bucket(T: str) -> Column:
     """Logarithmic bucket of a year fraction, non-decreasing in T, between 0 and TIME_BUCKETS - 1."""
-    T = F.col(T) if isinstance(T, str) else T
-    days = F.greatest(T, F.lit(0.0)) * 365.0
-    bucket = F.floor(F.log2(1.0 + days) * 2.0).cast("int")
-    return F.least(bucket, F.lit(TIME_BUCKETS - 1))
-
-
-def _edge_join(rows: DataFrame, edges: DataFrame, on: Sequence[str]) -> DataFrame:
-    return rows.join(edges, list(on), "left")
-
-
-def with_previous(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: Column, value: str
-) -> DataFrame:
-    """Add ``previous``: ``value`` of the row before this one by ``order`` within ``keys``."""
-    parts = [*keys, "bucket"]
-    rows = df.withColumn("bucket", bucket)
-    edges = rows.groupBy(*parts).agg(F.max_by(value, order).alias("last_value"))
-    over_buckets = W.Window.partitionBy(*keys).orderBy("bucket")
-    edges = edges.select(*parts, F.lag("last_value").over(over_buckets).alias("before"))
-    inside = W.Window.partitionBy(*parts).orderBy(order)
-    rows = rows.withColumn("row_in_bucket", F.row_number().over(inside)).withColumn(
-        "inner_previous", F.lag(value).over(inside)
-    )
-    return _edge_join(rows, edges, parts).select(
-        *df.columns,
-        F.when(F.col("row_in_bucket") > 1, F.col("inner_previous"))
-        .otherwise(F.col("before"))
-        .alias("previous"),
+    return F.expr(
+        f"least(cast(floor(log2(1D + greatest({T}, 0D) * 365D) * 2D) as int), {TIME_BUCKETS - 1})"
     )
 
 
-def with_next(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: Column, values: Sequence[str]
+def with_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    bucket: Column,
+    previous: str | None = None,
+    following: Sequence[str] = (),
+    running: str | None = None,
 ) -> DataFrame:
-    """Add ``next``: struct of ``values`` of the row after this one by ``order`` within ``keys``."""
-    parts = [*keys, "bucket"]
-    item = F.struct(*values)
-    rows = df.withColumn("bucket", bucket)
-    edges = rows.groupBy(*parts).agg(F.min_by(item, F.col(order)).alias("first_item"))
-    over_buckets = W.Window.partitionBy(*keys).orderBy("bucket")
-    edges = edges.select(*parts, F.lead("first_item").over(over_buckets).alias("after"))
-    inside = W.Window.partitionBy(*parts).orderBy(order)
-    rows = rows.withColumn("inner_next", F.lead(item).over(inside))
-    return _edge_join(rows, edges, parts).select(
-        *df.columns, F.coalesce("inner_next", "after").alias("next")
-    )
+    """Add what is asked for, by ``order`` within ``keys``:
 
+    * ``previous``: the named column of the row before;
+    * ``next``: a struct of the named columns of the row after;
+    * ``running``: the sum of the named column up to and including this row.
 
-def with_running_sum(
-    df: DataFrame, keys: Sequence[str], order: str, bucket: Column, value: str
-) -> DataFrame:
-    """Add ``running``: sum of ``value`` up to and including this row by ``order``."""
-    parts = [*keys, "bucket"]
-    rows = df.withColumn("bucket", bucket)
-    edges = rows.groupBy(*parts).agg(F.sum(value).alias("bucket_sum"))
-    earlier = (
-        W.Window.partitionBy(*keys)
-        .orderBy("bucket")
-        .rowsBetween(W.Window.unboundedPreceding, -1)
-    )
-    edges = edges.select(*parts, F.sum("bucket_sum").over(earlier).alias("before"))
-    inside = (
-        W.Window.partitionBy(*parts)
-        .orderBy(order)
-        .rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)
-    )
-    rows = rows.withColumn("inner_sum", F.sum(value).over(inside))
-    return _edge_join(rows, edges, parts).select(
-        *df.columns,
-        (F.coalesce("before", F.lit(0.0)) + F.coalesce("inner_sum", F.lit(0.0))).alias("running"),
-    )
+    ``order`` is unique within ``keys``.
+    """
+    parts = [*keys, "_bucket"]
+    inside = W.Window.partitionBy(*parts).orderBy(order)
+    across = W.Window.partitionBy(*keys).orderBy("_bucket")
+    summary, from_edges, from_rows, outputs = [], [], [], []
+    if previous:
+        summary.append(F.max_by(previous, order).alias("_last"))
+        from_edges.append(F.lag("_last").over(across).alias("_before"))
+        from_rows += [
+            F.lag(previous).over(inside).alias("_previous"),
+            F.row_number().over(inside).alias("_position"),
+        ]
+        outputs.append("case when _position > 1 then _previous else _before end as previous")
+    if following:
+        item = F.struct(*following)
+        summary.append(F.min_by(item, F.col(order)).alias("_first"))
+        from_edges.append(F.lead("_first").over(across).alias("_after"))
+        from_rows.append(F.lead(item).over(inside).alias("_next"))
+        outputs.append("coalesce(_next, _after) as next")
+    if running:
+        earlier = across.rowsBetween(W.Window.unboundedPreceding, -1)
+        so_far = inside.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)
+        summary.append(F.sum(running).alias("_sum"))
+        from_edges.append(F.sum("_sum").over(earlier).alias("_carried"))
+        from_rows.append(F.sum(running).over(so_far).alias("_running"))
+        outputs.append("coalesce(_carried, 0D) + coalesce(_running, 0D) as running")
+    rows = df.withColumn("_bucket", bucket)
+    edges = rows.groupBy(*parts).agg(*summary).select(*parts, *from_edges)
+    rows = rows.select("*", *from_rows)
+    return rows.join(edges, parts, "left").selectExpr(*df.columns, *outputs)

@@ -5,43 +5,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.local_vol import local_vol_with_reason
-from ..functions.ssvi import PARAMS, ssvi_arb_free, ssvi_iv
+from ..functions.backend import sql
+from ..functions.local_vol import with_local_vol
+from ..functions.ssvi import PARAMS, ssvi_arb_free, with_ssvi_iv
 
 # Fixed value: objective of a parameter set that violates the no-arbitrage condition.
 PENALTY = 1e6
 
 
-def _grid_points(T_grid: Sequence[float], k_grid: Sequence[float]) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(float(T)).alias("T"), F.lit(float(k)).alias("k"))
-            for T in T_grid
-            for k in k_grid
-        ]
+def literal_rows(names: Sequence[str], rows) -> str:
+    """SQL text of an array of structs of DOUBLE literals."""
+    structs = (
+        f"struct({', '.join(f'{sql(v)} as {n}' for v, n in zip(row, names))})" for row in rows
     )
+    return f"array({', '.join(structs)})"
 
 
 def on_grid(surfaces: DataFrame, T_grid: Sequence[float], k_grid: Sequence[float]) -> DataFrame:
     """One row per surface and (T, k), T outermost. The grid is a literal: no join, no shuffle."""
-    return surfaces.withColumn("point", F.explode(_grid_points(T_grid, k_grid))).select(
-        *surfaces.columns, "point.T", "point.k"
-    )
+    points = literal_rows(("T", "k"), [(T, k) for T in T_grid for k in k_grid])
+    return surfaces.selectExpr("*", f"inline({points}) as (T, k)")
 
 
 def iv_grid(surfaces: DataFrame, T_grid: Sequence[float], k_grid: Sequence[float]) -> DataFrame:
     """Implied-vol surface in long form."""
-    return on_grid(surfaces, T_grid, k_grid).withColumn("iv", ssvi_iv())
+    return with_ssvi_iv(on_grid(surfaces, T_grid, k_grid))
 
 
 def local_vol_grid(
     surfaces: DataFrame, T_grid: Sequence[float], k_grid: Sequence[float]
 ) -> DataFrame:
     """Local-vol surface in long form with the reason wherever it is undefined."""
-    rows = on_grid(surfaces, T_grid, k_grid)
-    return rows.withColumn("lv", local_vol_with_reason()).select(
-        *rows.columns, "lv.local_vol", "lv.reason"
-    )
+    return with_local_vol(on_grid(surfaces, T_grid, k_grid))
 
 
 def arbitrage_report(grid: DataFrame, keys: Sequence[str] = ("surface_id",)) -> DataFrame:
@@ -56,8 +51,8 @@ def arbitrage_report(grid: DataFrame, keys: Sequence[str] = ("surface_id",)) ->
 
 
 def _squared_error(weight: str | None) -> Column:
-    miss = ssvi_iv() - F.col("iv")
-    return miss * miss if weight is None else F.col(weight) * miss * miss
+    """Sum over quotes of the squared distance between ``iv`` and the ``_model`` column."""
+    return F.expr(f"sum({weight or '1D'} * (_model - iv) * (_model - iv))")
 
 
 def ssvi_sse(
@@ -71,15 +66,12 @@ def ssvi_sse(
     ``params`` has one row per (key, param_id); ``weight`` names a quote column, for instance the
     inverse bid/ask spread. A set that violates the no-arbitrage condition scores ``PENALTY``.
     """
-    scored = quotes.join(params, key)
-    return scored.groupBy(key, "param_id").agg(
-        F.sum(F.when(ssvi_arb_free(), _squared_error(weight)).otherwise(0.0)).alias("sum_sq"),
-        F.bool_and(ssvi_arb_free()).alias("admissible"),
-    ).select(
-        key,
-        "param_id",
-        F.when(F.col("admissible"), F.col("sum_sq")).otherwise(PENALTY).alias("sse"),
+    scored = with_ssvi_iv(quotes.join(params, key), "_model")
+    sums = scored.groupBy(key, "param_id").agg(
+        _squared_error(weight).alias("sum_sq"), F.bool_and(ssvi_arb_free()).alias("admissible")
     )
+    sse = F.when(F.col("admissible"), F.col("sum_sq")).otherwise(PENALTY)
+    return sums.select(key, "param_id", sse.alias("sse"))
 
 
 def best_candidate(
@@ -93,15 +85,12 @@ def best_candidate(
     Candidates ride along as a literal and are expanded inside the map stage, where the partial
     sums of a (surface, candidate) collapse before the exchange. Ties go to the lower position.
     """
-    listed = F.array(
-        *[F.struct(*[F.lit(float(v)).alias(p) for p, v in zip(PARAMS, c)]) for c in candidates]
-    )
+    listed = literal_rows(PARAMS, candidates)
     base = quotes.select(key, "T", "k", "iv", *([weight] if weight else []))
-    scored = base.select("*", F.posexplode(listed).alias("param_id", "candidate")).select(
-        *base.columns, "param_id", "candidate.*"
-    )
-    sums = scored.groupBy(key, "param_id").agg(F.sum(_squared_error(weight)).alias("sum_sq"))
-    sums = sums.withColumn("c", F.element_at(listed, F.col("param_id") + 1))
+    scored = base.selectExpr("*", f"posexplode({listed}) as (param_id, c)")
+    scored = with_ssvi_iv(scored.select(*base.columns, "param_id", "c.*"), "_model")
+    sums = scored.groupBy(key, "param_id").agg(_squared_error(weight).alias("sum_sq"))
+    sums = sums.withColumn("c", F.expr(f"element_at({listed}, param_id + 1)"))
     admissible = ssvi_arb_free("c.rho", "c.eta", "c.gam")
     sse = F.when(admissible, F.col("sum_sq")).otherwise(PENALTY)
     best = sums.groupBy(key).agg(F.min(F.struct(sse.alias("sse"), "param_id", "c")).alias("best"))

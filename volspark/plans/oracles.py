@@ -311,6 +311,8 @@ with {PRICED} select quote_id, {r("d1", "d1")}, {r("d2", "d2")} from leveled"""
 ORACLES["bs_price"] = f"""
 with {PRICED} select quote_id, {r("price", "price", 5)} from flat"""
 
+ORACLES["bs_price_column"] = ORACLES["bs_price"]
+
 FORWARD = f"""{CHAIN},
 carried as (
   select *, spot*exp(1e-2*T) as forward, exp(-3e-2*T) as df, sigma_true*sqrt(T) as sd from chain),

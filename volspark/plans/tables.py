@@ -7,8 +7,9 @@ curve each, ``orders`` a daily rate history. Everything is a lazy DataFrame over
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.black import bs_price
-from ..functions.ssvi import ssvi_iv
+from ..functions.black import with_bs_price
+from ..functions.ssvi import with_ssvi_iv
+from ..operators.surfaces import literal_rows
 
 # Valuation date, flat rate of the plain pricing queries, and the base zero curve
 # (tenor in years, rate).
@@ -33,30 +34,28 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def curve_of(underlier="underlier") -> Column:
-    return (F.col(underlier) % CURVES).cast("int")
+def with_curve(df: DataFrame) -> DataFrame:
+    return df.selectExpr("*", f"cast(underlier % {CURVES} as int) as curve_id")
 
 
-def with_surface(df: DataFrame, underlier="underlier") -> DataFrame:
+def with_surface(df: DataFrame, underlier: str = "underlier") -> DataFrame:
     """SSVI parameters of an underlier."""
-    u = F.col(underlier)
-    return df.select(
+    return df.selectExpr(
         "*",
-        (u % 7 * 0.1 - 0.7).alias("rho"),
-        (u % 5 * 0.1 + 0.5).alias("eta"),
-        (u % 6 * 0.05 + 0.2).alias("gam"),
-        (u % 8 * 0.01 + 0.03).alias("nu"),
+        f"{underlier} % 7 * 1e-1 - 7e-1 as rho",
+        f"{underlier} % 5 * 1e-1 + 5e-1 as eta",
+        f"{underlier} % 6 * 5e-2 + 2e-1 as gam",
+        f"{underlier} % 8 * 1e-2 + 3e-2 as nu",
     )
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quote per (underlier, qty, days, side): quote_id, T, volume, open_interest, ..."""
-    days = (F.datediff("l_shipdate", asof()) % 359 + 7).cast("int")
-    rows = load(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("underlier"),
-        F.col("l_quantity").cast("int").alias("qty"),
-        days.alias("days"),
-        (F.col("l_linenumber") % 2 == 0).alias("is_call"),
+    rows = load(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey as underlier",
+        "cast(l_quantity as int) as qty",
+        f"cast(datediff(l_shipdate, date '{ASOF}') % 359 + 7 as int) as days",
+        "l_linenumber % 2 = 0 as is_call",
         "l_returnflag",
         "l_quantity",
         "l_discount",
@@ -64,125 +63,115 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ("underlier", "qty", "days", "is_call")
     grouped = rows.groupBy(*keys).agg(
         F.min("l_returnflag").alias("flag"),
-        F.sum("l_quantity").cast("long").alias("volume"),
+        F.sum("l_quantity").alias("quantity"),
         F.count("*").alias("open_interest"),
-        (F.max("l_discount") / 10.0).alias("spread_frac"),
+        F.max("l_discount").alias("discount"),
     )
-    quote_id = (
-        (F.col("underlier") * 64 + F.col("qty")) * 512 + F.col("days")
-    ) * 2 + F.col("is_call").cast("int")
-    return grouped.select(
-        quote_id.alias("quote_id"),
+    return grouped.selectExpr(
+        "((underlier * 64 + qty) * 512 + days) * 2 + cast(is_call as int) as quote_id",
         *keys,
-        (F.col("days") / 365.0).alias("T"),
-        F.when(F.col("flag") == "R", "american").otherwise("european").alias("exercise"),
-        ((F.col("qty") - 25) / 62.5).alias("k"),
-        "volume",
+        "days / 365e0 as T",
+        "case when flag = 'R' then 'american' else 'european' end as exercise",
+        "(qty - 25) / 62.5e0 as k",
+        "cast(quantity as bigint) as volume",
         "open_interest",
-        "spread_frac",
+        "discount / 1e1 as spread_frac",
     )
 
 
 def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("underlier"), F.col("p_retailprice").alias("spot")
+    return load(spark, sf_dir, "part").selectExpr(
+        "p_partkey as underlier", "p_retailprice as spot"
     )
 
 
 def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes with spot, strike = spot e^k, surface parameters and the true vol (4 decimals)."""
-    priced = with_surface(quotes(spark, sf_dir).join(spots(spark, sf_dir), "underlier"))
-    return priced.withColumn("strike", F.col("spot") * F.exp("k")).withColumn(
-        "sigma_true", F.round(ssvi_iv(), 4)
+    rows = with_surface(quotes(spark, sf_dir).join(spots(spark, sf_dir), "underlier"))
+    rows = with_ssvi_iv(rows, "model_iv")
+    return rows.selectExpr(
+        "* except (model_iv)", "spot * exp(k) as strike", "round(model_iv, 4) as sigma_true"
     )
 
 
-def liquid(k="k") -> Column:
+def is_liquid(width: float = 2.0) -> Column:
     """Quotes close enough to the money for a price to pin down its vol."""
-    return F.abs(F.col(k)) <= F.col("sigma_true") * F.sqrt("T") * 2.0
+    return F.expr(f"abs(k) <= sigma_true * sqrt(T) * {width}D")
 
 
-def flat_price(is_call: Column | str = "is_call") -> Column:
-    return bs_price("spot", "strike", "T", FLAT_RATE, 0.0, "sigma_true", is_call)
+def with_flat_price(df: DataFrame, name: str = "price", is_call: str = "is_call") -> DataFrame:
+    """Black-Scholes price at the true vol."""
+    return with_bs_price(df, name, r=FLAT_RATE, q=0.0, sigma="sigma_true", is_call=is_call)
 
 
 def priced_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chain with bid and ask around the Black-Scholes price at the true vol."""
-    rows = chain(spark, sf_dir).withColumn("price", flat_price())
-    return rows.withColumn("bid", F.col("price") * (1.0 - F.col("spread_frac"))).withColumn(
-        "ask", F.col("price") * (1.0 + F.col("spread_frac"))
+    return with_flat_price(chain(spark, sf_dir)).selectExpr(
+        "*", "price * (1e0 - spread_frac) as bid", "price * (1e0 + spread_frac) as ask"
     )
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chain(spark, sf_dir).select(
-        F.col("quote_id").alias("contract_id"), "spot", "strike", "T",
-        F.col("sigma_true").alias("sigma"), F.lit(0.05).alias("r"), F.lit(0.02).alias("q"),
-        "is_call", "exercise", "k", "rho", "eta", "gam", "nu",
+    return chain(spark, sf_dir).selectExpr(
+        "quote_id as contract_id", "spot", "strike", "T", "sigma_true as sigma",
+        "5e-2 as r", "2e-2 as q", "is_call", "exercise", "k", "rho", "eta", "gam", "nu",
     )
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A zero curve per nation: the base curve shifted by its key in basis points."""
-    nodes = F.array(
-        *[F.struct(F.lit(t).alias("tenor"), F.lit(r).alias("rate")) for t, r in BASE_CURVE]
-    )
+    nodes = literal_rows(("tenor", "base"), BASE_CURVE)
     return (
         load(spark, sf_dir, "nation")
-        .select(F.col("n_nationkey").cast("int").alias("curve_id"), F.explode(nodes).alias("node"))
-        .select(
-            "curve_id",
-            "node.tenor",
-            (F.col("node.rate") + F.col("curve_id") * 1e-4).alias("rate"),
-        )
+        .selectExpr("cast(n_nationkey as int) as curve_id", f"inline({nodes}) as (tenor, base)")
+        .selectExpr("curve_id", "tenor", "base + curve_id * 1e-4 as rate")
     )
 
 
 def paid_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight quarterly payments per underlier around the valuation date."""
-    step = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i")
-    rows = load(spark, sf_dir, "part").select("p_partkey", "p_retailprice", step)
-    offset = (F.col("i") * 91 - 365 + F.col("p_partkey") % 30).cast("int")
-    return rows.select(
-        F.col("p_partkey").alias("underlier"),
-        F.date_add(asof(), offset).alias("pay_date"),
-        F.round(F.col("p_retailprice") * 1e-3, 4).alias("amount"),
+    return (
+        load(spark, sf_dir, "part")
+        .selectExpr("p_partkey", "p_retailprice", "explode(sequence(0, 7)) as i")
+        .selectExpr(
+            "p_partkey as underlier",
+            f"date_add(date '{ASOF}', cast(i * 91 - 365 + p_partkey % 30 as int)) as pay_date",
+            "round(p_retailprice * 1e-3, 4) as amount",
+        )
     )
 
 
 def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily percent rates per customer, one column per tenor, with gaps."""
-    base = F.sqrt("o_totalprice") / 100.0
-    columns = [
-        F.when(F.col("o_orderkey") % 11 != i, base + 0.01 * i).alias(name)
-        for i, name in enumerate(HISTORY_TENORS)
-    ]
-    return load(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("curve_id"), F.to_date("o_orderdate").alias("asof"), *columns
+    return load(spark, sf_dir, "orders").selectExpr(
+        "o_custkey as curve_id",
+        "to_date(o_orderdate) as asof",
+        *[
+            f"case when o_orderkey % 11 <> {i} then sqrt(o_totalprice) / 1e2 + 1e-2 * {i} end "
+            f"as {name}"
+            for i, name in enumerate(HISTORY_TENORS)
+        ],
     )
 
 
 def chain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of a chain file as text columns, some of them malformed."""
-    qty = F.col("l_quantity").cast("int")
-    text = lambda c: c.cast("string")
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("underlier"),
-        (F.col("l_linenumber") % 2 == 0).alias("side"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("expiration"),
-        F.concat(text(qty), F.lit("e-2")).alias("T"),
-        F.lit("not read").alias("daysToExpiry"),
-        F.lit("not read").alias("type"),
-        F.when(F.col("l_returnflag") == "R", "American")
-        .when(F.col("l_returnflag") == "A", "american")
-        .otherwise("European")
-        .alias("exerciseType"),
-        F.when(qty == 13, "n/a").otherwise(text(qty * 10)).alias("strike"),
-        F.when(qty % 10 == 0, "").when(qty == 7, "nan").when(qty == 9, "0")
-        .otherwise(F.concat(text(qty), F.lit("e-1"))).alias("bid"),
-        F.when(qty == 17, "-1").otherwise(F.concat(text(qty + 1), F.lit("e-1"))).alias("ask"),
-        F.lit(None).cast("string").alias("lastPrice"),
-        F.when(qty == 23, "12abc").otherwise(F.concat(text(qty), F.lit(".7"))).alias("volume"),
-        F.when(qty == 29, F.lit(None)).otherwise(text(F.col("l_linenumber"))).alias("openInterest"),
-        F.lit(None).cast("string").alias("impliedVolatility"),
+    rows = load(spark, sf_dir, "lineitem").selectExpr("*", "cast(l_quantity as int) as qty")
+    return rows.selectExpr(
+        "l_partkey as underlier",
+        "l_linenumber % 2 = 0 as side",
+        "date_format(l_shipdate, 'yyyy-MM-dd') as expiration",
+        "concat(qty, 'e-2') as T",
+        "'not read' as daysToExpiry",
+        "'not read' as type",
+        "case l_returnflag when 'R' then 'American' when 'A' then 'american' else 'European' end "
+        "as exerciseType",
+        "case when qty = 13 then 'n/a' else string(qty * 10) end as strike",
+        "case when qty % 10 = 0 then '' when qty = 7 then 'nan' when qty = 9 then '0' "
+        "else concat(qty, 'e-1') end as bid",
+        "case when qty = 17 then '-1' else concat(qty + 1, 'e-1') end as ask",
+        "cast(null as string) as lastPrice",
+        "case when qty = 23 then '12abc' else concat(qty, '.7') end as volume",
+        "case when qty <> 29 then string(l_linenumber) end as openInterest",
+        "cast(null as string) as impliedVolatility",
     )
