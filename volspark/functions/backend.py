@@ -20,32 +20,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# How tightly SQL text binds: a comparison, a sum, a product, anything self-contained.
+COMPARISON, SUM, PRODUCT, ATOM = range(4)
+
+
 class Sql:
-    """SQL expression text with arithmetic."""
+    """SQL expression text with arithmetic; parentheses appear only where they are needed."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, binds: int = ATOM):
         self.text = text
+        self.binds = binds
 
     def __str__(self) -> str:
         return self.text
 
+    def _join(self, operator, other, binds, swap=False):
+        left, right = (sql(other), self) if swap else (self, sql(other))
+        a = left.text if left.binds >= binds else f"({left})"
+        b = right.text if right.binds > binds else f"({right})"
+        return Sql(f"{a} {operator} {b}", binds)
+
     def __add__(self, other):
-        return Sql(f"({self} + {sql(other)})")
+        return self._join("+", other, SUM)
 
     def __radd__(self, other):
-        return Sql(f"({sql(other)} + {self})")
+        return self._join("+", other, SUM, swap=True)
 
     def __sub__(self, other):
-        return Sql(f"({self} - {sql(other)})")
+        return self._join("-", other, SUM)
 
     def __rsub__(self, other):
-        return Sql(f"({sql(other)} - {self})")
+        return self._join("-", other, SUM, swap=True)
 
     def __mul__(self, other):
-        return Sql(f"({self} * {sql(other)})")
+        return self._join("*", other, PRODUCT)
 
     def __rmul__(self, other):
-        return Sql(f"({sql(other)} * {self})")
+        return self._join("*", other, PRODUCT, swap=True)
 
     def __truediv__(self, other):
         return Sql(f"try_divide({self}, {sql(other)})")
@@ -54,19 +65,19 @@ class Sql:
         return Sql(f"try_divide({sql(other)}, {self})")
 
     def __neg__(self):
-        return Sql(f"(- {self})")
+        return Sql(f"negative({self})")
 
     def __gt__(self, other):
-        return Sql(f"({self} > {sql(other)})")
+        return self._join(">", other, COMPARISON)
 
     def __lt__(self, other):
-        return Sql(f"({self} < {sql(other)})")
+        return self._join("<", other, COMPARISON)
 
     def __le__(self, other):
-        return Sql(f"({self} <= {sql(other)})")
+        return self._join("<=", other, COMPARISON)
 
     def __and__(self, other):
-        return Sql(f"({self} and {sql(other)})")
+        return Sql(f"(({self}) and ({sql(other)}))")
 
     @property
     def column(self) -> Column:
@@ -79,10 +90,11 @@ def sql(value) -> Sql:
         return value
     if isinstance(value, str):
         bare = value.replace("_", "").replace(".", "").isalnum()
-        return Sql(value if bare else f"({value})")
+        return Sql(value, ATOM if bare else COMPARISON - 1)
     if isinstance(value, bool):
         return Sql(str(value).lower())
-    return Sql(f"({float(value)!r}D)")
+    text = f"{float(value)!r}D"
+    return Sql(f"({text})" if text.startswith("-") else text)
 
 
 def positive(value) -> Sql:
@@ -93,7 +105,7 @@ def positive(value) -> Sql:
     hence the explicit test.
     """
     value = sql(value)
-    return Sql(f"(case when {value} > 0 and not isnan({value}) then {value} end)")
+    return Sql(f"case when {value > 0.0} and not isnan({value}) then {value} end")
 
 
 def _function(name: str):

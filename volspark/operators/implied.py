@@ -62,6 +62,7 @@ def _bracketed(price, forward, strike, root_t, df, sign, slack, lo, hi, max_iter
     high = np.full(price.shape, hi)
     at_lo, _ = _price_and_vega(forward, strike, root_t, df, sign, low)
     at_hi, _ = _price_and_vega(forward, strike, root_t, df, sign, high)
+    outside = sign * (forward - strike) <= 0.0
     inside = (at_lo <= price + slack) & (price <= at_hi)
     steepest = np.sqrt(2.0 * np.abs(np.log(forward / strike))) / root_t
     sigma = np.clip(steepest, max(lo, 1e-3), hi)
@@ -78,8 +79,11 @@ def _bracketed(price, forward, strike, root_t, df, sign, slack, lo, hi, max_iter
         miss = model - price[live]
         low[live] = np.where(miss <= 0.0, x, low[live])
         high[live] = np.where(miss >= 0.0, x, high[live])
+        # Far out of the money the log of the price is the better-behaved function of the vol.
+        logs = outside[live] & (model > 0.0)
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            step = x - miss / vega
+            gap = np.where(logs, model * np.log(model / price[live]), miss)
+            step = x - gap / vega
         usable = (step > low[live]) & (step < high[live])
         moved = np.where(usable, step, 0.5 * (low[live] + high[live]))
         moved = np.where(miss == 0.0, x, moved)

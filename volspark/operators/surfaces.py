@@ -12,6 +12,20 @@ from ..functions.ssvi import PARAMS, ssvi_arb_free, with_ssvi_iv
 # Fixed value: objective of a parameter set that violates the no-arbitrage condition.
 PENALTY = 1e6
 
+SLICE_ROWS = 20_000  # rows of one key that a task may be asked to take
+
+
+def gather(rows: DataFrame, key: str, identity: Sequence[str]) -> DataFrame:
+    """Bring the rows of a key together, but a key with many rows in slices of bounded size.
+
+    ``identity`` names the columns that tell the rows of a key apart; they decide the slice.
+    """
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    slices = F.ceil(F.col("_rows") / SLICE_ROWS)
+    part = F.pmod(F.xxhash64(*identity), slices)
+    return rows.join(sizes, key).repartition(count, key, part).drop("_rows")
+
 
 def literal_rows(names: Sequence[str], rows) -> str:
     """SQL text of an array of structs of DOUBLE literals."""
@@ -82,14 +96,16 @@ def best_candidate(
 ) -> DataFrame:
     """Best of a list of (rho, eta, gam, nu) candidates for every surface.
 
-    Candidates ride along as a literal and are expanded inside the map stage, where the partial
-    sums of a (surface, candidate) collapse before the exchange. Ties go to the lower position.
+    Candidates ride along as a literal and are expanded inside a task, where the partial sums of a
+    (surface, candidate) collapse before the exchange. For that the quotes of a surface are brought
+    together first, a large surface in slices. Ties go to the lower position.
     """
     listed = literal_rows(PARAMS, candidates)
-    base = quotes.select(key, "T", "k", "iv", *([weight] if weight else []))
+    copies = quotes.groupBy(key, "T", "k", "iv").agg(F.sum(weight or F.lit(1.0)).alias("weight"))
+    base = gather(copies, key, ("T", "k", "iv"))
     scored = base.selectExpr("*", f"posexplode({listed}) as (param_id, c)")
-    scored = with_ssvi_iv(scored.select(*base.columns, "param_id", "c.*"), "_model")
-    sums = scored.groupBy(key, "param_id").agg(_squared_error(weight).alias("sum_sq"))
+    scored = with_ssvi_iv(scored.select(*copies.columns, "param_id", "c.*"), "_model")
+    sums = scored.groupBy(key, "param_id").agg(_squared_error("weight").alias("sum_sq"))
     sums = sums.withColumn("c", F.expr(f"element_at({listed}, param_id + 1)"))
     admissible = ssvi_arb_free("c.rho", "c.eta", "c.gam")
     sse = F.when(admissible, F.col("sum_sq")).otherwise(PENALTY)
