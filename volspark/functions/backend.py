@@ -120,7 +120,6 @@ class Inline:
     sqrt = staticmethod(_function("sqrt"))
     exp = staticmethod(_function("exp"))
     log = staticmethod(_function("ln"))
-    pow = staticmethod(_function("power"))
     abs = staticmethod(_function("abs"))
     capped = staticmethod(_function("least"))
     let = staticmethod(_same)
@@ -155,7 +154,6 @@ ARRAY = SimpleNamespace(
     sqrt=np.sqrt,
     exp=np.exp,
     log=np.log,
-    pow=np.power,
     abs=np.abs,
     capped=np.minimum,
     indicator=lambda condition: np.asarray(condition, dtype=np.float64),

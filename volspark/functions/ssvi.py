@@ -24,14 +24,16 @@ GAMMA_LIMIT = 0.5
 def smile(k, T, rho, eta, gam, nu, m=INLINE):
     """Total variance ``w`` at (k, T) with the terms every derivative shares."""
     (theta,) = m.let(nu * T)
-    (phi,) = m.let(eta / (m.pow(theta, gam) * m.pow(1.0 + theta, 1.0 - gam)))
+    # theta^gam (1 + theta)^(1 - gam) with one logarithm, which the Jacobian needs as well.
+    (decay,) = m.let(m.log(theta / (1.0 + theta)))
+    (phi,) = m.let(eta / ((1.0 + theta) * m.exp(gam * decay)))
     skew = phi * k
     shifted = skew + rho
     slack = 1.0 - rho * rho
     (root,) = m.let(m.sqrt(shifted * shifted + slack))
     level = 1.0 + rho * skew + root
     return SimpleNamespace(
-        k=k, T=T, rho=rho, eta=eta, gam=gam, nu=nu, theta=theta, phi=phi, skew=skew,
+        k=k, T=T, rho=rho, eta=eta, gam=gam, nu=nu, theta=theta, decay=decay, phi=phi, skew=skew,
         shifted=shifted, slack=slack, root=root, level=level, w=0.5 * theta * level,
     )
 
@@ -71,7 +73,7 @@ def vol_jacobian(s, m=INLINE):
         iv,
         scale * 0.5 * s.theta * (s.skew + s.skew / s.root),
         scale * through_phi / s.eta,
-        scale * through_phi * m.log((1.0 + s.theta) / s.theta),
+        -(scale * through_phi * s.decay),
         scale * s.T * slope_in_theta(s),
     )
 

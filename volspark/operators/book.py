@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from ..functions.backend import sql
 from ..functions.ssvi import PARAMS
 from . import pde
+from .implied import call_signs
 
 RESULT = "price double, delta double, gamma double, gamma_raw double, status string"
 CONTRACT = ("spot", "strike", "T", "sigma", "r", "q", "is_call", "exercise")
-FLAT_SWEEP = 4096  # contracts per numpy sweep
+FLAT_SWEEP = 2048  # contracts per numpy sweep
 LOCAL_SWEEP = 512  # the same under local vol, where every step holds many grid-sized arrays
 SPREAD = 32  # tasks over which contracts with identical terms may be spread
 
@@ -70,9 +71,9 @@ def value_contracts(spot, strike, T, sigma, r, q, is_call, exercise, params=None
     if params is not None:
         params = [np.asarray(v, dtype=np.float64) for v in params]
         given &= np.isfinite(params).all(axis=0)
-    given &= (spot > 0) & (strike > 0) & (sigma >= 0) & ~pd.isna(is_call)
+    sign, known_side = call_signs(is_call)
+    given &= (spot > 0) & (strike > 0) & (sigma >= 0) & known_side
     given &= style.isin(["european", "american"]).to_numpy()
-    sign = np.where(pd.Series(is_call).fillna(False).astype(bool), 1.0, -1.0)
     american = (style == "american").fillna(False).to_numpy(dtype=bool)
 
     out = np.full((4, spot.size), np.nan)

@@ -71,10 +71,9 @@ def curve_segments(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> Dat
         *keys, "tenor as lo", "next.tenor as hi", "rate as rate_lo",
         "coalesce(try_divide(next.rate - rate, next.tenor - tenor), 0D) as slope",
     )
-    first = rates.groupBy(*keys).agg(F.min(F.struct("tenor", "rate")).alias("node"))
-    head = first.selectExpr(
-        *keys, "cast(null as double) as lo", "node.tenor as hi", "node.rate as rate_lo",
-        "0D as slope",
+    head = rates.groupBy(*keys).agg(
+        F.lit(None).cast("double").alias("lo"), F.min("tenor").alias("hi"),
+        F.min_by("rate", "tenor").alias("rate_lo"), F.lit(0.0).alias("slope"),
     )
     return head.unionByName(pieces)
 

@@ -94,15 +94,21 @@ def _bracketed(price, forward, strike, root_t, df, sign, slack, lo, hi, max_iter
     return sigma, count, solved
 
 
+def call_signs(is_call):
+    """+1 for calls and -1 for puts, and where the side is known at all."""
+    side = pd.array(list(is_call), dtype="boolean")
+    return np.where(side.fillna(False).to_numpy(dtype=bool), 1.0, -1.0), ~np.asarray(side.isna())
+
+
 def invert(price, forward, strike, T, df, is_call, method="bracketed", lo=1e-4, hi=5.0,
            tol=PRICE_TOLERANCE, max_iter=200, seed=None, min_vega=SPOT_MIN_VEGA):
     """Implied vols of arrays of quotes, as the frame the Arrow function returns."""
     price, forward, strike, T, df = (
         np.asarray(v, dtype=np.float64) for v in (price, forward, strike, T, df)
     )
-    given = np.isfinite([price, forward, strike, T, df]).all(axis=0) & ~pd.isna(is_call)
-    valid = given & (price > 0) & (forward > 0) & (strike > 0) & (T > 0) & (df > 0)
-    sign = np.where(np.asarray(pd.Series(is_call).fillna(False), dtype=bool), 1.0, -1.0)
+    sign, known_side = call_signs(is_call)
+    given = np.isfinite([price, forward, strike, T, df]).all(axis=0)
+    valid = given & known_side & (price > 0) & (forward > 0) & (strike > 0) & (T > 0) & (df > 0)
     with np.errstate(invalid="ignore"):
         floor = np.maximum(df * sign * (forward - strike), 0.0)
         ceiling = df * np.where(sign > 0, forward, strike)

@@ -12,8 +12,10 @@ from .dividends import forward_price, pv_dividends
 
 def latest_spot(spots: DataFrame, keys: Sequence[str] = ("underlier",)) -> DataFrame:
     """Most recent spot per key; the larger value wins if a day has two."""
-    last = spots.groupBy(*keys).agg(F.max(F.struct("asof", "spot")).alias("last"))
-    return last.select(*keys, "last.asof", "last.spot")
+    daily = spots.groupBy(*keys, "asof").agg(F.max("spot").alias("spot"))
+    return daily.groupBy(*keys).agg(
+        F.max_by("spot", "asof").alias("spot"), F.max("asof").alias("asof")
+    )
 
 
 def expiry_forwards(
