@@ -70,7 +70,9 @@ def test_american_bounds():
     european = book.value_contracts(**b, exercise=["european"] * 1500).price.to_numpy(dtype=float)
     intrinsic = np.maximum(np.where(b["is_call"], 1, -1) * (b["spot"] - b["strike"]), 0)
     assert (american >= european - 1e-9 * b["strike"]).all()
-    assert (american >= intrinsic - 1e-5 * b["strike"]).all()  # linear interpolation in ln S
+    # Linear interpolation in ln S puts a kinked payoff off by up to S dx^2 / 8.
+    off = b["spot"] * (10 * b["sigma"] * np.sqrt(b["T"]) / 400) ** 2 / 8
+    assert (american >= intrinsic - 1.1 * off).all()
     # Without dividends and with positive rates an American call is worth the European one.
     b["q"], b["r"], b["is_call"] = np.zeros(1500), np.abs(b["r"]), np.ones(1500, dtype=bool)
     american = book.value_contracts(**b, exercise=["american"] * 1500).price.to_numpy(dtype=float)

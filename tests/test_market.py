@@ -6,11 +6,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from volspark.functions.backend import ARRAY
+from volspark.functions.black import undiscounted
 from volspark.operators import curves, dividends, snapshot
+from volspark.operators.implied import with_implied_vol
 from volspark.operators.ordered import time_bucket, with_neighbours
 from volspark.plans.tables import BASE_CURVE
 from volspark.sources.chain import CHAIN_COLUMNS, read_chain
-from volspark.sources.market import future_dividends, read_dividends, read_rates, read_spots
+from volspark.sources.market import (
+    future_dividends, read_dividends, read_market, read_rates, read_spots,
+)
 from volspark.sources.sink import write_table
 
 GOOD = "2026-06-19,0.09315,34,call,american,300,5.1,5.3,5.2,12.0,7,0.2"
@@ -84,6 +89,31 @@ def test_market_of_the_sample_day(spark, files):
         [303.0124360, 305.9277147, 311.8270938], abs=1e-7)
 
 
+def test_market_folder_to_implied_vols(spark, files, tmp_path):
+    """A folder of two underliers, from files to vols; quotes are made from a known vol."""
+    rate, T, sigma = 0.0376, 0.5, 0.25
+    header = ",".join(CHAIN_COLUMNS) + "\n"
+    for name, spot in (("abc", 300.23), ("xyz", 50.0)):
+        (tmp_path / f"{name}_spot.csv").write_text(f"date,spot\n2026-05-16,{spot}\n")
+        (tmp_path / f"{name}_dividends.csv").write_text("Date,amount\n2026-05-11,0.27\n2027-05-11,9.0\n")
+        forward, df = spot * np.exp(rate * T), np.exp(-rate * T)
+        for kind, sign in (("calls", 1.0), ("puts", -1.0)):
+            lines = []
+            for strike in (0.9 * spot, spot, 1.1 * spot):
+                sd = sigma * np.sqrt(T)
+                p = float(df * undiscounted(forward, strike, sd, sign, ARRAY))
+                lines.append(f"2026-11-14,{T},182,{kind[:-1]},american,{strike!r},{p!r},{p!r},{p!r},10,20,0.2\n")
+            (tmp_path / f"{name}_{kind}.csv").write_text(header + "".join(lines))
+    (tmp_path / "treasury_rates.csv").write_text((files / "rates.csv").read_text())
+    market = read_market(spark, str(tmp_path), "2026-05-16")
+    rows = with_implied_vol(snapshot.enrich_quotes(*market)).toPandas()
+    assert len(rows) == 12 and set(rows.underlier) == {"abc", "xyz"}
+    assert rows.is_call.sum() == 6 and (rows.exercise == "american").all()
+    assert np.abs(rows.sigma - sigma).max() < 1e-9
+    assert np.allclose(rows.k, np.log(rows.strike / rows.forward))
+    assert (rows.pv_div == 0).all()  # one payment is past, the other after expiry
+
+
 def test_write_table_round_trip(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "cast(id % 3 as int) as part", "id / 7e0 as x")
     for fmt in ("parquet", "csv"):

@@ -1,9 +1,20 @@
-"""Spots, zero curves and dividends: two-column CSV files, optionally under partition directories."""
+"""Spots, zero curves and dividends: two-column CSV files, and whole market folders.
+
+Extra columns named in ``keep`` come from partition directories.
+"""
+
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, year_frac
+from .chain import CHAIN_SCHEMA, parse_chain
+
+# Endings of the files of a market folder and the name of its curve.
+SPOT_FILE, DIVIDEND_FILE = "_spot.csv", "_dividends.csv"
+CALL_FILE, PUT_FILE, RATE_FILE = "_calls.csv", "_puts.csv", "treasury_rates.csv"
+CURVE = "usd"
 
 
 def _read_text(spark: SparkSession, path, columns: str) -> DataFrame:
@@ -54,3 +65,46 @@ def future_dividends(paid: DataFrame, asof: Column | str) -> DataFrame:
         .withColumnRenamed("amount", "alpha")
         .withColumn("beta", F.lit(0.0))
     )
+
+
+class Market(NamedTuple):
+    """Tables of one valuation date, in the order ``enrich_quotes`` takes them."""
+
+    quotes: DataFrame
+    spots: DataFrame
+    rates: DataFrame
+    dividends: DataFrame
+
+
+def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
+    """All underliers of a folder with ``<underlier>_calls.csv``, ``_puts.csv``, ``_spot.csv`` and
+    ``_dividends.csv`` files and one ``treasury_rates.csv``.
+
+    Each kind of file is one scan; the underlier is taken from the file name. A folder without
+    any file of a kind fails when it is read, except dividends, which may be absent for some.
+    """
+
+    def named(ending: str, schema) -> DataFrame:
+        files = spark.read.schema(schema).option("header", True).csv(f"{folder}/*{ending}")
+        name = F.regexp_extract("_metadata.file_name", f"^(.*){ending}$", 1)
+        return files.withColumn("underlier", name)
+
+    sides = [
+        parse_chain(named(ending, CHAIN_SCHEMA), is_call, ("underlier",))
+        for ending, is_call in ((CALL_FILE, True), (PUT_FILE, False))
+    ]
+    spots = named(SPOT_FILE, "date string, spot string").select(
+        "underlier", F.col("spot").cast("double").alias("spot")
+    )
+    paid = named(DIVIDEND_FILE, "Date string, amount string").select(
+        "underlier",
+        parse_date(F.substring("Date", 1, 10)).alias("pay_date"),
+        F.col("amount").cast("double").alias("amount"),
+    )
+    curve = F.lit(CURVE).alias("curve_id")
+    return Market(
+        sides[0].unionByName(sides[1]).select("*", curve),
+        spots,
+        read_rates(spark, f"{folder}/{RATE_FILE}").select("*", curve),
+        future_dividends(paid, asof).select("*", curve),
+    )
