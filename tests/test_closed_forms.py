@@ -87,6 +87,19 @@ def test_forms_of_the_same_price_agree(book):
     assert (rows.staged > 0).all()
 
 
+def test_price_rises_with_vol_and_stays_inside_its_bounds(book):
+    rows = book.selectExpr("* except (sigma)", "sigma as id", "explode(sequence(1, 20)) as step")
+    rows = rows.withColumn("sigma", F.expr("step / 1e1"))
+    rows = black.with_bs_price(rows, "price").toPandas().sort_values("sigma")
+    df = np.exp(-rows.r * rows["T"])
+    sign = np.where(rows.is_call, 1, -1)
+    asset = rows.spot * np.exp(-rows.q * rows["T"])
+    assert (rows.price >= np.maximum(sign * (asset - rows.strike * df), 0) - 1e-12).all()
+    assert (rows.price < np.where(rows.is_call, asset, rows.strike * df)).all()
+    steps = rows.groupby(["id", "strike"]).price.diff().dropna()
+    assert len(steps) == 200 * 19 and (steps > -1e-12).all()
+
+
 def test_greeks_match_finite_differences(book):
     def price(**shift):
         terms = {n: f"{n} + {shift.get(n, 0.0)!r}D" for n in ("spot", "T", "r", "sigma")}

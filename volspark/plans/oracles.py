@@ -582,6 +582,18 @@ with {ENRICHED}
 select quote_id, 'ok' as status, case when {LIQUID} then sigma_true + 0e0 end as sigma from enriched"""
 
 _NEAR = "abs(k) <= sigma_true*sqrt(T)*5e-1"
+ORACLES["call_vol_report"] = f"""
+with {ENRICHED},
+ranked as (
+  select e.*, sigma_true*sqrt(T) as sd,
+    row_number() over (partition by underlier order by T, strike) as i
+  from enriched e where is_call),
+levels as (select *, -k/sd+5e-1*sd as d1, -k/sd-5e-1*sd as d2 from ranked)
+select underlier, cast(i as int) as rank, {r("strike", "strike", 5)}, {r("T", "T")},
+  {r(f'df*(forward*{cdf("d1")}-strike*{cdf("d2")})', "mid", 5)}, {r("k", "k")},
+  case when {_NEAR} then sigma_true + 0e0 end as sigma
+from levels where i <= 5"""
+
 ORACLES["implied_vol_newton"] = f"""
 with {CHAIN}
 select quote_id, case when {_NEAR} then 'ok' end as status,

@@ -512,6 +512,18 @@ def implied_vol_fwd(spark, sf):
     )
 
 
+@query
+def call_vol_report(spark, sf):
+    """Mid, moneyness and vol of the first five calls of every underlier, by the plain iteration."""
+    rows = black.with_black_price(_enriched(spark, sf).drop("mid"), "mid", sigma="sigma_true")
+    first = chain.first_n(rows.where("is_call"), 5, ("days", "qty"), ("underlier",))
+    solved = implied.with_implied_vol(first, method="newton")
+    return solved.select(
+        "underlier", "rank", r6("strike", "strike", 5), r6("T", "T"), r6("mid", "mid", 5),
+        r6("k", "k"), r6(F.when(tables.is_liquid(0.5), F.col("sigma")), "sigma", 5),
+    )
+
+
 @query
 def implied_vol_newton(spark, sf):
     """The plain iteration: certain to converge near the money, checked by repricing elsewhere."""
