@@ -20,7 +20,7 @@ from ..functions.ssvi import smile, vol
 # Fixed value: vols below this, or undefined, are replaced by it inside the scheme.
 VOL_FLOOR = 1e-4
 
-MAX_SKEW = 15.0  # largest exponent of the eigenvector scaling that is still well conditioned
+MAX_SKEW = 8.0  # largest exponent of the eigenvector scaling that keeps about nine digits
 
 
 def make_grid(vol_atm, T, n, width):
