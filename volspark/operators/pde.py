@@ -20,7 +20,7 @@ from ..functions.ssvi import smile, vol
 # Fixed value: vols below this, or undefined, are replaced by it inside the scheme.
 VOL_FLOOR = 1e-4
 
-MAX_SKEW = 8.0  # largest exponent of the eigenvector scaling that keeps about nine digits
+MAX_SKEW = 8.0  # largest exponent in the closed form that leaves about nine digits
 
 
 def make_grid(vol_atm, T, n, width):
@@ -147,7 +147,7 @@ def spectral_ready(grid, c):
     plain discounted forward payoff until today."""
     tilt = np.abs(spectral_scale(grid, c)) * grid.n / 2.0
     plain_edge = grid.half + c.sign * (c.r - c.q) * c.T >= 0.0
-    return ~c.american & (tilt <= MAX_SKEW) & plain_edge
+    return ~c.american & (tilt + grid.half <= MAX_SKEW) & plain_edge
 
 
 def spectral(grid, c, m, theta):
@@ -176,8 +176,14 @@ def spectral(grid, c, m, theta):
     for rate, weight in ((c.q, c.sign * edge), (c.r, -c.sign)):
         z, z_m = np.exp(-rate * dt), np.exp(-rate * c.T)
         gap = factor - z
-        with np.errstate(invalid="ignore", divide="ignore"):
-            series = np.where(np.abs(gap) > 1e-12, (factor_m - z_m) / gap, m * z_m / z)
+        near_equal = np.abs(gap) < 1e-3 * z
+        series = (factor_m - z_m) / np.where(near_equal, 1.0, gap)
+        if near_equal.any():
+            # (a^m - z^m) / (a - z) without cancellation where a is close to z.
+            last = np.broadcast_to(z_m / z, gap.shape)[near_equal]
+            u = (gap / z)[near_equal]
+            u = np.where(u == 0.0, 1e-300, u)
+            series[near_equal] = last * np.expm1(m * np.log1p(u)) / u
         amplitude += dt * solve * source * (weight * (theta * z + 1.0 - theta)) * series
     v = np.empty((n + 1, c.T.size))
     v[0], v[-1] = edge_values(grid, c, c.T)
