@@ -52,11 +52,8 @@ def _sweep(c, local, n, m, width, theta):
         lo, hi = np.searchsorted(inverse[order], (start, start + chosen.size))
         rows = order[lo:hi]
         column = inverse[rows] - start
-        wide = SimpleNamespace(
-            n=n, half=grid.half[column], dx=grid.dx[column], spot=grid.spot[:, column]
-        )
-        out[:, rows] = pde.read_grid(wide, v[:, column], c.log_ratio[rows])
-        inside[rows] = np.abs(c.log_ratio[rows]) <= wide.half
+        out[:, rows] = pde.read_grid(grid, v, column, c.log_ratio[rows])
+        inside[rows] = np.abs(c.log_ratio[rows]) <= grid.half[column]
     return out, inside
 
 
@@ -75,6 +72,9 @@ def value_contracts(spot, strike, T, sigma, r, q, is_call, exercise, params=None
     given &= (spot > 0) & (strike > 0) & (sigma >= 0) & known_side
     given &= style.isin(["european", "american"]).to_numpy()
     american = (style == "american").fillna(False).to_numpy(dtype=bool)
+    # Waiting costs nothing and earns the carry: such contracts are never exercised early.
+    patient = np.where(sign > 0, (q <= 0) & (r >= 0), (r <= 0) & (q >= 0))
+    american &= ~patient
 
     out = np.full((4, spot.size), np.nan)
     status = np.where(given, "ok", "invalid_input").astype(object)

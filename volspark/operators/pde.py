@@ -9,6 +9,7 @@ contracts that share those share one sweep. Three ways through the same scheme:
 * local vol: coefficients and factors are refreshed every step.
 """
 
+from functools import lru_cache
 from types import SimpleNamespace
 
 import numpy as np
@@ -20,6 +21,7 @@ from ..functions.ssvi import smile, vol
 # Fixed value: vols below this, or undefined, are replaced by it inside the scheme.
 VOL_FLOOR = 1e-4
 
+CLOSED_BLOCK = 256  # contracts per evaluation of the closed form
 MAX_SKEW = 8.0  # largest exponent in the closed form that leaves about nine digits
 
 
@@ -120,6 +122,7 @@ def march(grid, c, m, theta, variance_at):
     return v
 
 
+@lru_cache(maxsize=2)
 def sine_matrix(n):
     j = np.arange(1, n)
     return np.sqrt(2.0 / n) * np.sin(np.outer(j, j) * (np.pi / n))
@@ -196,15 +199,15 @@ def flat_values(c, n, m, width, theta):
     grid = make_grid(c.sigma, c.T, n, width)
     v = np.empty((n + 1, c.T.size))
     fast = spectral_ready(grid, c)
-    for mask, closed in ((fast, True), (~fast, False)):
-        if mask.any():
-            part = take(c, mask)
-            sub = make_grid(part.sigma, part.T, n, width)
-            if closed:
-                v[:, mask] = spectral(sub, part, m, theta)
-            else:
-                once = iter([part.sigma**2])
-                v[:, mask] = march(sub, part, m, theta, lambda t: next(once, None))
+    closed = np.flatnonzero(fast)
+    # The closed form has no loop over nodes to amortise: small blocks keep its arrays in cache.
+    for block in np.split(closed, range(CLOSED_BLOCK, closed.size, CLOSED_BLOCK)):
+        if block.size:
+            v[:, block] = spectral(pick_grid(grid, block), take(c, block), m, theta)
+    if not fast.all():
+        part = take(c, ~fast)
+        once = iter([part.sigma**2])
+        v[:, ~fast] = march(pick_grid(grid, ~fast), part, m, theta, lambda t: next(once, None))
     return grid, v
 
 
@@ -235,20 +238,26 @@ def take(c, pick):
     return SimpleNamespace(**{name: values[pick] for name, values in vars(c).items()})
 
 
-def read_grid(grid, v, log_ratio):
-    """Price, delta and gamma per unit of strike (spot in strikes) at ln(S0/K), by linear
-    interpolation of nodal values. The last output is the second difference alone, without the
-    slope term of the change of variable."""
-    n, columns = grid.n, np.arange(log_ratio.size)
-    position = (log_ratio + grid.half) / grid.dx
-    j = np.clip(np.floor(position).astype(np.int64), 1, n - 2)
+def pick_grid(grid, pick):
+    return SimpleNamespace(
+        n=grid.n, half=grid.half[pick], dx=grid.dx[pick], spot=grid.spot[:, pick]
+    )
+
+
+def read_grid(grid, v, column, log_ratio):
+    """Price, delta and gamma per unit of strike (spot in strikes) at ln(S0/K), each row from its
+    ``column`` of the grid, by linear interpolation of nodal values. The last output is the second
+    difference alone, without the slope term of the change of variable."""
+    dx = grid.dx[column]
+    position = (log_ratio + grid.half[column]) / dx
+    j = np.clip(np.floor(position).astype(np.int64), 1, grid.n - 2)
     share = position - j
-    at = lambda i: v[i, columns]
-    spot = lambda i: grid.spot[i, columns]
+    at = lambda i: v[i, column]
+    spot = lambda i: grid.spot[i, column]
 
     def node(i):
         delta = (at(i + 1) - at(i - 1)) / (spot(i + 1) - spot(i - 1))
-        bend = (at(i + 1) - 2.0 * at(i) + at(i - 1)) / (grid.dx * spot(i)) ** 2
+        bend = (at(i + 1) - 2.0 * at(i) + at(i - 1)) / (dx * spot(i)) ** 2
         return at(i), delta, bend - delta / spot(i), bend
 
     return [(1.0 - share) * a + share * b for a, b in zip(node(j), node(j + 1))]
