@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import packing, quality, records, toxicity
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,33 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(fold("doc_id", 3) != 1))
     return judged(docs, 3, 1, quality.score(model), quality.THRESHOLD)
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+PLACED = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Documents cut, checksummed and packed; the ids themselves stay in the tasks that made them."""
+    cut = packing.pieces(docs, vocabulary("byte_bpe_50k.json"))
+    items = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(items, ["doc_id", "piece", "ids_crc32"]).select(*PLACED)
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = records.shared_folder(spark)
+    records.write(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), 2)
+    return records.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
