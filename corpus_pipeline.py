@@ -7,10 +7,10 @@ the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from volspark.llm import quality, toxicity
 from volspark.llm.corpus import fold, table
+from volspark.llm.queries import packed
 
 
 def _training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +31,15 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.score(model) < toxicity.THRESHOLD)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    return packed(docs)
+
+
 STAGES = [
     ("quality", good_quality),
     ("toxicity", not_toxic),
+    ("packing", pack_sequences),
 ]
 
 #: SQL cannot express trained models and tokenizers; tests compare the stages with plain versions.
