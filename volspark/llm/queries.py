@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, records, toxicity
+from . import language, packing, quality, records, toxicity
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,12 @@ def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(fold("doc_id", 4) != 2))
+    return docs.select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), language.predict(model).alias("_p")
+    ).select("doc_id", "held_out", "_p.*")
