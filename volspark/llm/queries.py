@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, records, toxicity
+from . import language, packing, quality, records, toxicity, winnow
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), language.predict(model).alias("_p")
     ).select("doc_id", "held_out", "_p.*")
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256",
+        winnow.written("entries").alias("fingerprint"),
+        winnow.written("edited_entries").alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
