@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, records, toxicity, winnow
+from . import jaccard, language, packing, quality, records, toxicity, winnow
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,41 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnow.written("edited_entries").alias("edited_fingerprint"),
         "near_edited", "near_next",
     )
+
+
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+ORACLES["op8_jaccard"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case
+        when len(w) = 0 then []::varchar[]
+        when len(w) < 4 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s
+    from words
+), grams as (
+    select doc_id, len(s) as n, unnest(s) as g from sets
+), pairs as (
+    select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as o
+    from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+        and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
+    group by all
+), links as (
+    select a, b from pairs where 100 * o >= 85 * (na + nb - o)
+), reach as (
+    select doc_id as a, doc_id as b from sets
+    union
+    select r.a, l.b from reach r join links l on r.b = l.a
+)
+select s.doc_id, len(s.s)::bigint as n_shingles, c.component_id, coalesce(k.n_links, 0)::bigint as n_links
+from sets s
+join (select a, min(b) as component_id from reach group by a) c on c.a = s.doc_id
+left join (select a, count(*) as n_links from links group by a) k on k.a = s.doc_id
+"""
