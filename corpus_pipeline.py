@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from volspark.llm import quality, toxicity
+from volspark.llm import jaccard, quality, toxicity
 from volspark.llm.corpus import fold, table
 from volspark.llm.queries import packed
 
@@ -31,6 +31,14 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.score(model) < toxicity.THRESHOLD)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near copies; rows repeated as a whole stay once."""
+    groups = jaccard.join(docs, size=5, percent=80)
+    first = groups.where("doc_id <=> component_id").select(groups["doc_id"].alias("_kept")).distinct()
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
     return packed(docs)
@@ -39,6 +47,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality", good_quality),
     ("toxicity", not_toxic),
+    ("near copies", one_of_each_group),
     ("packing", pack_sequences),
 ]
 
