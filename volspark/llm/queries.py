@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, packing, quality, records, toxicity, winnow
+from . import jaccard, language, neighbours, packing, quality, records, toxicity, winnow
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,8 @@ from sets s
 join (select a, min(b) as component_id from reach group by a) c on c.a = s.doc_id
 left join (select a, count(*) as n_links from links group by a) k on k.a = s.doc_id
 """
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5)
