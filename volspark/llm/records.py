@@ -13,7 +13,7 @@ vocabulary has at most 65,536 entries, else four.
 Tasks write a shard under a name of their own and rename it when it is whole; a repeated task
 writes the same bytes. A manifest (Parquet) tells the shards, their order and their sizes.
 
-Defined results: documents are in ascending order of id, null ids first, ties by their text; a
+Defined results: documents are in ascending order of id, null ids first, ties by a hash of their text; a
 null or empty text is the end id alone; repeated rows are records of their own; an empty table
 makes no record. Texts are encoded whole. Only ``doc_id`` and ``text`` are read.
 """
@@ -113,7 +113,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None:
         if records:
             yield pd.DataFrame({"shard": [shard], "records": [records], "tokens": [tokens]})
 
-    ordered = docs.select("doc_id", "text").orderBy("doc_id", "text")
+    ordered = docs.select("doc_id", "text").orderBy("doc_id", F.xxhash64("text"))
     manifest = ordered.mapInPandas(run, "shard int, records long, tokens long")
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
 
