@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, neighbours, packing, quality, records, toxicity, winnow
+from . import jaccard, language, licenses, neighbours, packing, quality, records, sentencepiece, toxicity, winnow
 from .corpus import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,19 @@ left join (select a, count(*) as n_links from links group by a) k on k.a = s.doc
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), "id % 50 = 0", k=5)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and a checksum of the text that they decode to."""
+    model = vocabulary("piece_bpe_32k.model")
+    coded = sentencepiece.decode(sentencepiece.encode(table(spark, sf_dir, "documents"), model), model)
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
