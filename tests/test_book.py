@@ -1,155 +1,9 @@
-"""Spot ladders and finite-difference prices."""
-
-from types import SimpleNamespace
+"""Spot ladders."""
 
 import numpy as np
 import pytest
 
-from volspark.functions import ssvi
-from volspark.functions.backend import ARRAY
-from volspark.functions.black import undiscounted
-from volspark.operators import book, pde
-
-
-def one(**changes):
-    base = dict(spot=[100.0], strike=[100.0], T=[1.0], sigma=[0.2], r=[0.05], q=[0.02],
-                is_call=[True], exercise=["european"])
-    return book.value_contracts(**{**base, **changes}).iloc[0]
-
-
-def random_book(n, seed=0):
-    rng = np.random.default_rng(seed)
-    T, sigma = rng.uniform(0.02, 2, n), rng.uniform(0.08, 0.8, n)
-    strike = 100 * np.exp(rng.uniform(-2.5, 2.5, n) * sigma * np.sqrt(T))
-    return dict(spot=np.full(n, 100.0), strike=strike, T=T, sigma=sigma, r=rng.uniform(-0.02, 0.1, n),
-                q=rng.uniform(0, 0.06, n), is_call=rng.random(n) < 0.5)
-
-
-def exact(b, sigma=None):
-    forward = b["spot"] * np.exp((b["r"] - b["q"]) * b["T"])
-    sd = (b["sigma"] if sigma is None else sigma) * np.sqrt(b["T"])
-    return np.exp(-b["r"] * b["T"]) * undiscounted(
-        forward, b["strike"], sd, np.where(b["is_call"], 1.0, -1.0), ARRAY)
-
-
-def test_golden_prices():
-    call, put = one(), one(is_call=[False])
-    assert call.price == pytest.approx(9.2264368768, abs=1e-8)
-    assert put.price == pytest.approx(6.3295192385, abs=1e-4)  # the lower edge value differs
-    assert abs(call.price - 9.2270055082) < 0.01 and abs(put.price - 6.3300806275) < 0.01
-    american = one(is_call=[False], exercise=["American"])
-    assert american.price == pytest.approx(6.6581289669, abs=1e-8)
-    assert american.price >= put.price
-    assert call.delta == pytest.approx(0.5868558, abs=1e-6)
-    assert call.gamma_raw == pytest.approx(0.0248205, abs=1e-6)
-    assert call.gamma == pytest.approx(0.0189506, abs=2e-5)
-    assert put.gamma == pytest.approx(0.0189506, abs=2e-5)
-
-
-def test_european_prices_match_black_scholes_everywhere():
-    """Moneyness up to half the grid, where a crude lower edge value for puts shows."""
-    b = random_book(3000)
-    got = book.value_contracts(**b, exercise=["european"] * 3000)
-    assert (got.status == "ok").all()
-    assert np.abs(got.price.to_numpy(dtype=float) - exact(b)).max() / 100 < 1e-4
-
-
-@pytest.mark.parametrize("theta", [0.5, 0.7, 1.0])
-def test_closed_form_equals_the_stepped_scheme(theta, monkeypatch):
-    b = random_book(400, 1)
-    fast = book.value_contracts(**b, exercise=["european"] * 400, n=60, m=37, theta=theta)
-    monkeypatch.setattr(pde, "MAX_SKEW", -1.0)
-    slow = book.value_contracts(**b, exercise=["european"] * 400, n=60, m=37, theta=theta)
-    for column in ("price", "delta", "gamma", "gamma_raw"):
-        assert np.allclose(fast[column].to_numpy(dtype=float), slow[column].to_numpy(dtype=float), atol=1e-8)
-
-
-def test_american_bounds():
-    b = random_book(1500, 2)
-    american = book.value_contracts(**b, exercise=["american"] * 1500).price.to_numpy(dtype=float)
-    european = book.value_contracts(**b, exercise=["european"] * 1500).price.to_numpy(dtype=float)
-    intrinsic = np.maximum(np.where(b["is_call"], 1, -1) * (b["spot"] - b["strike"]), 0)
-    assert (american >= european - 1e-9 * b["strike"]).all()
-    # Linear interpolation in ln S puts a kinked payoff off by up to S dx^2 / 8.
-    off = b["spot"] * (10 * b["sigma"] * np.sqrt(b["T"]) / 400) ** 2 / 8
-    assert (american >= intrinsic - 1.1 * off).all()
-    # Without dividends and with positive rates an American call is worth the European one.
-    # A dividend yield too small to matter keeps the exercise test in the sweep.
-    b["q"], b["r"], b["is_call"] = np.full(1500, 1e-12), np.abs(b["r"]), np.ones(1500, dtype=bool)
-    american = book.value_contracts(**b, exercise=["american"] * 1500).price.to_numpy(dtype=float)
-    european = book.value_contracts(**b, exercise=["european"] * 1500).price.to_numpy(dtype=float)
-    assert np.abs(american - european).max() < 1e-6
-    b["q"] = np.zeros(1500)
-    patient = book.value_contracts(**b, exercise=["american"] * 1500).price.to_numpy(dtype=float)
-    assert np.abs(patient - european).max() < 1e-6
-
-
-def test_edge_rows():
-    assert one(T=[0.0], spot=[110.0]).to_dict() == dict(
-        price=10.0, delta=1.0, gamma=0.0, gamma_raw=0.0, status="ok")
-    assert one(T=[-1.0], spot=[90.0], is_call=[False]).price == 10.0
-    assert one(spot=[300.0]).status == "out_of_grid" and one(sigma=[0.0], spot=[101.0]).status == "out_of_grid"
-    for bad in (dict(spot=[-1.0]), dict(strike=[0.0]), dict(sigma=[np.nan]), dict(T=[None]),
-                dict(exercise=["bermudan"]), dict(exercise=[None]), dict(is_call=[None])):
-        row = one(**bad)
-        assert row.status == "invalid_input" and row[["price", "delta", "gamma"]].isna().all()
-    mixed = book.value_contracts([100.0, -1.0, 100.0], [100.0] * 3, [1.0, 1.0, 0.0], [0.2] * 3, [0.05] * 3,
-                                 [0.02] * 3, [True] * 3, ["european"] * 3)
-    assert mixed.price.iloc[0] == pytest.approx(9.2264368768, abs=1e-8)
-    assert list(mixed.status) == ["ok", "invalid_input", "ok"]
-
-
-def test_equal_terms_share_a_sweep(monkeypatch):
-    seen = []
-    solve = pde.flat_values
-    monkeypatch.setattr(pde, "flat_values", lambda c, *a: seen.append(c.T.size) or solve(c, *a))
-    n = 50
-    spread = book.value_contracts(np.linspace(80, 120, n), np.full(n, 100.0), np.ones(n), np.full(n, 0.2),
-                                  np.full(n, 0.05), np.full(n, 0.02), [True] * n, ["european"] * n)
-    assert seen == [1]
-    assert np.all(np.diff(spread.price.to_numpy(dtype=float)) > 0)
-
-
-def test_local_vol_prices_return_the_implied_vols():
-    b = random_book(300, 4)
-    b["sigma"] = np.full(300, 0.2)
-    b["strike"] = 100 * np.exp(np.random.default_rng(0).uniform(-2, 2, 300) * 0.2 * np.sqrt(b["T"]))
-    params = [np.full(300, v) for v in (-0.3, 0.5, 0.3, 0.04)]
-    k = np.log(b["strike"] / 100) - (b["r"] - b["q"]) * b["T"]
-    iv = ssvi.vol(ssvi.smile(k, b["T"], *params, ARRAY), ARRAY)
-    got = book.value_contracts(**b, exercise=["european"] * 300, params=params, n=200, m=100)
-    assert np.abs(got.price.to_numpy(dtype=float) - exact(b, iv)).max() / 100 < 2e-4
-
-
-def test_tridiagonal_systems():
-    two, minus = np.full((3, 1), 2.0), np.full((3, 1), -1.0)
-    out, zero = np.empty((3, 1)), np.zeros(1)
-    pde.substitute(pde.factorise(minus, two, minus, 3), np.array([[1.0], [0.0], [1.0]]), zero, zero, out)
-    assert np.allclose(out, 1.0, atol=1e-12)
-    rhs = np.arange(1.0, 400.0)[:, None] * np.ones(3)
-    low, mid, up = np.array([-1.0, -0.7, 0.2]), np.array([4.0, 3.0, 2.5]), np.array([-1.0, -1.1, -0.9])
-    out, first, last = np.empty_like(rhs), np.array([0.0, 1.0, 2.0]), np.array([3.0, 0.0, 1.0])
-    factors = pde.factorise(low, mid, up, 399)
-    assert factors.settled is not None and len(factors.inverse) < 100
-    pde.substitute(factors, rhs, first, last, out)
-    full = np.vstack([first, out, last])
-    residual = low * full[:-2] + mid * full[1:-1] + up * full[2:] - rhs
-    assert np.abs(residual).max() < 1e-10
-
-
-def test_price_book_job(spark):
-    rows = [(i, 100.0, 80.0 + i % 40, 0.5, 0.2, 0.05, 0.02, i % 2 == 0, "american" if i % 3 else "european")
-            for i in range(400)]
-    schema = ("contract_id long, spot double, strike double, T double, sigma double, r double, q double, "
-              "is_call boolean, exercise string")
-    got = book.price_book(spark.createDataFrame(rows, schema), n=100, m=50).toPandas().set_index("contract_id")
-    assert len(got) == 400
-    columns = list(zip(*rows))
-    want = book.value_contracts(*columns[1:], n=100, m=50)
-    assert np.allclose(got.loc[range(400), "price"], want.price.to_numpy(dtype=float), atol=1e-10)
-    for bad in (dict(theta=0.0), dict(n=2)):
-        with pytest.raises(ValueError):
-            book.contract_value(*book.CONTRACT, **bad)
+from volspark.operators import book
 
 
 def test_spot_ladder(spark):

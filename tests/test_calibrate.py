@@ -153,3 +153,76 @@ def test_sse_and_best_candidate_match_brute_force(spark, monkeypatch):
         assert r.param_id == int(np.argmin(want[r.surface_id]))
         assert (r.rho, r.eta, r.gam, r.nu) == candidates[r.param_id]
         assert r.sse == pytest.approx(min(want[r.surface_id]), rel=1e-9)
+
+
+def test_fit_beyond_the_wing_limit_is_no_worse_than_a_feasible_search():
+    """Noisy quotes of surfaces beyond eta (1 + |rho|) = 4; most fits end on the limit."""
+    rng = np.random.default_rng(17)
+    frames, best = [], {}
+    for i in range(100):
+        p = (rng.uniform(-0.9, 0.9), rng.uniform(3, 6), rng.uniform(0.05, 0.5), rng.uniform(0.01, 0.2))
+        k, T = rng.uniform(-0.6, 0.6, 45), rng.uniform(0.05, 2, 45)
+        iv = ssvi.vol(ssvi.smile(k, T, *p, ARRAY), ARRAY) + rng.normal(0, 0.003, 45)
+        frames.append(pd.DataFrame({"surface": i, "T": T, "k": k, "iv": iv, "weight": 1.0}))
+        centre, width, low = np.array([p[0], 4.0, p[2], p[3]]), 1.0, np.inf
+        for _ in range(60):  # random search in (rho, u, gam, nu) around the best point so far
+            x = centre + width * rng.normal(0, (0.3, 1.0, 0.1, 0.05), (200, 4))
+            x = np.clip(x, (-0.99, 0.02, 0.01, 0.001), (0.99, 4.0, 0.5, 1.0))
+            sets = [v[:, None] for v in (x[:, 0], x[:, 1] / (1 + abs(x[:, 0])), x[:, 2], x[:, 3])]
+            model = ssvi.vol(ssvi.smile(k[None], T[None], *sets, ARRAY), ARRAY)
+            sse = ((model - iv) ** 2).sum(1)
+            if sse.min() < low:
+                low, centre = sse.min(), x[sse.argmin()]
+            else:
+                width *= 0.8
+        best[i] = low
+    fit = calibrate.fit_bundle(pd.concat(frames)).set_index("surface")
+    wing = fit.eta * (1 + fit.rho.abs())
+    assert (wing <= ssvi.WING_LIMIT).all() and (wing > 3.999).sum() > 50
+    ok = fit[fit.status == "ok"]
+    assert len(ok) > 90
+    assert (ok.sse <= 1.01 * pd.Series(best)[ok.index]).all()
+
+
+def test_an_iteration_of_the_distributed_fit_leaves_the_quotes_in_place(spark, monkeypatch):
+    plans, keep = [], calibrate.checkpointed
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return keep(df)
+
+    monkeypatch.setattr(calibrate, "checkpointed", spy)
+    quotes, _ = quotes_of(8, 3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        calibrate.calibrate_ssvi(spark.createDataFrame(quotes), max_rows=0).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    steps = [p for p in plans if any("HashJoin" in line for line in p) and any("slice" in line for line in p)]
+    assert steps
+    for plan in steps:
+        at = next(i for i, line in enumerate(plan) if "InMemoryTableScan" in line)
+        depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+        for line in reversed(plan[:at]):  # ancestors up to the join
+            own = len(line) - len(line.lstrip(" :+-"))
+            if own < depth:
+                assert "Exchange" not in line
+                depth = own
+            if "HashJoin" in line and own == depth:
+                break
+
+
+def test_a_hot_surface_is_met_in_slices(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    quotes, _ = quotes_of(8, 2)
+    df = spark.createDataFrame(pd.concat([quotes, quotes[quotes.surface_id == "s0"].iloc[[0] * 2000]]))
+    params = spark.createDataFrame([("s0", 0, *TRUE), ("s1", 0, *TRUE)],
+                                   "surface_id string, param_id int, rho double, eta double, gam double, nu double")
+    try:
+        scored = surfaces.ssvi_sse(df, params)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("Exchange") < plan.index("SortMergeJoin") < plan.index("_slice")
+    assert scored.count() == 2

@@ -11,7 +11,6 @@ from volspark.functions.black import undiscounted
 from volspark.operators import curves, dividends, snapshot
 from volspark.operators.implied import with_implied_vol
 from volspark.operators.ordered import time_bucket, with_neighbours
-from volspark.plans.tables import BASE_CURVE
 from volspark.sources.chain import CHAIN_COLUMNS, read_chain
 from volspark.sources.market import (
     future_dividends, read_dividends, read_market, read_rates, read_spots,
@@ -20,6 +19,12 @@ from volspark.sources.sink import write_table
 
 GOOD = "2026-06-19,0.09315,34,call,american,300,5.1,5.3,5.2,12.0,7,0.2"
 
+# The zero curve of the sample day.
+SAMPLE_CURVE = (
+    (1.0 / 12.0, 0.0372), (0.25, 0.0369), (0.5, 0.0376), (1.0, 0.0379),
+    (2.0, 0.04), (5.0, 0.0413), (10.0, 0.0447), (30.0, 0.0502),
+)
+
 
 def chain_file(folder, lines):
     folder.mkdir(parents=True, exist_ok=True)
@@ -63,7 +68,7 @@ def files(tmp_path_factory):
     """The reference market of 2026-05-16: spot, treasury curve and paid dividends."""
     folder = tmp_path_factory.mktemp("market")
     (folder / "spot.csv").write_text("date,spot\n2026-05-16,300.23\n")
-    lines = "".join(f"{t!r},{r:.6f}\n" for t, r in BASE_CURVE)
+    lines = "".join(f"{t!r},{r:.6f}\n" for t, r in SAMPLE_CURVE)
     (folder / "rates.csv").write_text("tenor,rate\n" + lines)
     (folder / "dividends.csv").write_text(
         "Date,amount\n2024-08-12,0.25\n2025-11-10,0.26\n2026-05-11,0.27\n"
@@ -94,7 +99,7 @@ def test_market_folder_to_implied_vols(spark, files, tmp_path):
     rate, T, sigma = 0.0376, 0.5, 0.25
     header = ",".join(CHAIN_COLUMNS) + "\n"
     for name, spot in (("abc", 300.23), ("xyz", 50.0)):
-        (tmp_path / f"{name}_spot.csv").write_text(f"date,spot\n2026-05-16,{spot}\n")
+        (tmp_path / f"{name}_spot.csv").write_text(f"date,spot\n2026-05-15,7.0\n2026-05-16,{spot}\n2026-05-17,9.0\n")
         (tmp_path / f"{name}_dividends.csv").write_text("Date,amount\n2026-05-11,0.27\n2027-05-11,9.0\n")
         forward, df = spot * np.exp(rate * T), np.exp(-rate * T)
         for kind, sign in (("calls", 1.0), ("puts", -1.0)):
@@ -114,6 +119,28 @@ def test_market_folder_to_implied_vols(spark, files, tmp_path):
     assert (rows.pv_div == 0).all()  # one payment is past, the other after expiry
 
 
+def test_quotes_without_spot_curve_or_maturity_stay(spark):
+    quotes = spark.createDataFrame(
+        [("a", "usd", 0.5, 100.0), ("b", "usd", 0.5, 100.0), ("a", "eur", 0.5, 100.0), ("a", "usd", None, 100.0)],
+        "underlier string, curve_id string, T double, strike double",
+    ).selectExpr("*", "1D as bid", "2D as ask")
+    spots = spark.createDataFrame([("a", 100.0)], "underlier string, spot double")
+    none = spark.createDataFrame([], "underlier string, curve_id string, T double, alpha double, beta double")
+    rates = curve(spark, SAMPLE_CURVE).withColumn("curve_id", F.lit("usd"))
+    got = sorted((r.underlier, r.curve_id, r.status, r.k is None)
+                 for r in snapshot.enrich_quotes(quotes, spots, rates, none).collect())
+    assert got == [("a", "eur", "no_curve", True), ("a", "usd", "no_maturity", True),
+                   ("a", "usd", "ok", False), ("b", "usd", "no_spot", True)]
+
+
+def test_null_tenors_are_violations(spark):
+    rows = [("good", 0, 0.25), ("good", 1, 0.5), ("null", 0, 0.5), ("null", 1, None), ("null", 2, 0.25), ("one", 0, None)]
+    nodes = spark.createDataFrame(rows, "curve_id string, seq int, tenor double")
+    sound, report = curves.sound_curves(nodes)
+    assert {r.curve_id: (r.violations, r.rows) for r in report.collect()} == {"null": (2, 3), "one": (1, 1)}
+    assert {r.curve_id for r in sound.collect()} == {"good"}
+
+
 def test_write_table_round_trip(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "cast(id % 3 as int) as part", "id / 7e0 as x")
     for fmt in ("parquet", "csv"):
@@ -145,8 +172,8 @@ def lookup(spark, nodes, at):
 
 def test_zero_rate_edges(spark):
     at = [-1.0, 0.0, 0.01, 1 / 12, 0.1, 0.25, 0.3, 0.5, 30.0, 31.0, 500.0]
-    got = lookup(spark, BASE_CURVE, at)
-    t, r = zip(*BASE_CURVE)
+    got = lookup(spark, SAMPLE_CURVE, at)
+    t, r = zip(*SAMPLE_CURVE)
     for point in at:
         assert got[point] == pytest.approx(np.interp(point, t, r), abs=1e-15)
 
@@ -163,7 +190,7 @@ def test_zero_rate_matches_interpolation_for_any_curve(spark, count):
 
 
 def test_forward_rate(spark):
-    segments = curves.curve_segments(curve(spark, BASE_CURVE))
+    segments = curves.curve_segments(curve(spark, SAMPLE_CURVE))
     points = spark.createDataFrame([("c", 0.5, 2.0), ("c", 1.0, 1.0)],
                                    "curve_id string, T1 double, T2 double")
     rows = {r.T1: r.forward_rate for r in curves.forward_rate(points, segments).collect()}
@@ -222,11 +249,11 @@ def test_dividends_of_a_hot_underlier_match_brute_force(spark):
     paid = spark.createDataFrame(
         [("hot", "c", float(t), float(a)) for t, a in zip(T, alpha)] + [("b", "c", 1.0, 1.0)],
         "underlier string, curve_id string, T double, alpha double").withColumn("beta", F.lit(0.0))
-    segments = curves.curve_segments(curve(spark, BASE_CURVE))
+    segments = curves.curve_segments(curve(spark, SAMPLE_CURVE))
     at = np.unique(np.round(rng.uniform(0, 12, 400), 2))
     points = spark.createDataFrame([("hot", float(t)) for t in at], "underlier string, T double")
     got = {r.T: r.pv_div for r in dividends.pv_dividends(points, paid, segments).collect()}
-    t, r = zip(*BASE_CURVE)
+    t, r = zip(*SAMPLE_CURVE)
     pv = alpha * np.exp(-np.interp(T, t, r) * T)
     assert len(got) == at.size
     assert np.allclose([got[x] for x in at], [pv[T <= x].sum() for x in at], atol=1e-9)
@@ -272,7 +299,7 @@ def test_enrich_keeps_every_quote_of_several_dates(spark):
     spots = spark.createDataFrame([("a", day(1), 100.0), ("a", day(2), 110.0)],
                                   "underlier string, asof date, spot double")
     rates = spark.createDataFrame(
-        [("c", day(d), t, r + d / 100) for d in (1, 2) for t, r in BASE_CURVE],
+        [("c", day(d), t, r + d / 100) for d in (1, 2) for t, r in SAMPLE_CURVE],
         "curve_id string, asof date, tenor double, rate double")
     paid = spark.createDataFrame([("a", day(2), "c", 0.75, 2.0, 0.0)],
                                  "underlier string, asof date, curve_id string, T double, alpha double, beta double")
@@ -280,8 +307,8 @@ def test_enrich_keeps_every_quote_of_several_dates(spark):
                                   ("curve_id", "asof")).toPandas()
     assert len(rows) == 12 and (rows.mid == 5.0).all()
     later = rows[(rows["asof"] == day(2)) & (rows["T"] == 1.0)]
-    r = np.interp(1.0, *zip(*BASE_CURVE)) + 0.02
-    paid_r = np.interp(0.75, *zip(*BASE_CURVE)) + 0.02
+    r = np.interp(1.0, *zip(*SAMPLE_CURVE)) + 0.02
+    paid_r = np.interp(0.75, *zip(*SAMPLE_CURVE)) + 0.02
     forward = (110 - 2 * np.exp(-paid_r * 0.75)) / np.exp(-r)
     assert np.allclose(later.forward, forward) and np.allclose(later.k, np.log(later.strike / forward))
     assert (rows[rows["asof"] == day(1)].pv_div == 0).all()

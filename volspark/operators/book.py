@@ -1,24 +1,8 @@
-"""Contract books: scenario ladders and finite-difference prices."""
+"""Contract books: scenario ladders."""
 
-from collections.abc import Sequence
-from types import SimpleNamespace
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.backend import sql
-from ..functions.ssvi import PARAMS
-from . import pde
-from .implied import call_signs
-
-RESULT = "price double, delta double, gamma double, gamma_raw double, status string"
-CONTRACT = ("spot", "strike", "T", "sigma", "r", "q", "is_call", "exercise")
-FLAT_SWEEP = 2048  # contracts per numpy sweep
-LOCAL_SWEEP = 512  # the same under local vol, where every step holds many grid-sized arrays
-SPREAD = 32  # tasks over which contracts with identical terms may be spread
-
 
 def spot_ladder(
     contracts: DataFrame, x_min: float, x_max: float, n: int, strike: str = "strike"
@@ -30,134 +14,3 @@ def spot_ladder(
         .withColumn("x", F.lit(float(x_min)) + F.col("step") * F.lit(dx))
         .withColumn("scenario_spot", F.col(strike) * F.exp("x"))
     )
-
-
-def _sweep(c, local, n, m, width, theta):
-    """Values of valid, unexpired contracts; identical terms share one sweep."""
-    # Under a smile the coefficients also depend on where the spot sits relative to the strike.
-    names = ("T", "r", "q", "sign", "american") + (
-        ("log_ratio", *PARAMS) if local else ("sigma",)
-    )
-    terms = np.stack([getattr(c, name).astype(np.float64) for name in names])
-    _, first, inverse = np.unique(terms, axis=1, return_index=True, return_inverse=True)
-    inverse = inverse.reshape(-1)
-    order = np.argsort(inverse, kind="stable")
-    out = np.empty((4, c.T.size))
-    inside = np.empty(c.T.size, dtype=bool)
-    solve = pde.smile_values if local else pde.flat_values
-    size = LOCAL_SWEEP if local else FLAT_SWEEP
-    for start in range(0, first.size, size):
-        chosen = first[start:start + size]
-        grid, v = solve(pde.take(c, chosen), n, m, width, theta)
-        lo, hi = np.searchsorted(inverse[order], (start, start + chosen.size))
-        rows = order[lo:hi]
-        column = inverse[rows] - start
-        out[:, rows] = pde.read_grid(grid, v, column, c.log_ratio[rows])
-        inside[rows] = np.abs(c.log_ratio[rows]) <= grid.half[column]
-    return out, inside
-
-
-def value_contracts(spot, strike, T, sigma, r, q, is_call, exercise, params=None,
-                    n=400, m=200, width=5.0, theta=0.5):
-    """Prices and Greeks of arrays of contracts, as the frame the Arrow function returns."""
-    spot, strike, T, sigma, r, q = (
-        np.asarray(v, dtype=np.float64) for v in (spot, strike, T, sigma, r, q)
-    )
-    style = pd.Series(exercise).str.strip().str.lower()
-    given = np.isfinite([spot, strike, T, sigma, r, q]).all(axis=0)
-    if params is not None:
-        params = [np.asarray(v, dtype=np.float64) for v in params]
-        given &= np.isfinite(params).all(axis=0)
-    sign, known_side = call_signs(is_call)
-    given &= (spot > 0) & (strike > 0) & (sigma >= 0) & known_side
-    given &= style.isin(["european", "american"]).to_numpy()
-    american = (style == "american").fillna(False).to_numpy(dtype=bool)
-    # Waiting costs nothing and earns the carry: such contracts are never exercised early.
-    patient = np.where(sign > 0, (q <= 0) & (r >= 0), (r <= 0) & (q >= 0))
-    american &= ~patient
-
-    out = np.full((4, spot.size), np.nan)
-    status = np.where(given, "ok", "invalid_input").astype(object)
-
-    expired = given & (T <= 0)
-    moneyness = sign * (spot - strike)
-    out[:, expired] = 0.0
-    out[0, expired] = np.maximum(moneyness, 0.0)[expired]
-    out[1, expired] = (sign * (moneyness > 0))[expired]
-
-    live = np.flatnonzero(given & (T > 0))
-    if live.size:
-        contracts = SimpleNamespace(
-            T=T[live], sigma=np.maximum(sigma[live], pde.VOL_FLOOR), r=r[live], q=q[live],
-            sign=sign[live], american=american[live],
-            log_ratio=np.log(spot[live] / strike[live]),
-        )
-        if params is not None:
-            for name, values in zip(PARAMS, params):
-                setattr(contracts, name, values[live])
-        values, inside = _sweep(contracts, params is not None, n, m, width, theta)
-        values[0] *= strike[live]
-        values[2:] /= strike[live]
-        values[:, ~inside] = np.nan
-        out[:, live] = values
-        status[live[~inside]] = "out_of_grid"
-    frame = {
-        name: pd.Series(values).where(~np.isnan(values), None).astype("Float64")
-        for name, values in zip(("price", "delta", "gamma", "gamma_raw"), out)
-    }
-    return pd.DataFrame({**frame, "status": status})
-
-
-def contract_value(
-    *contract: str | float, params: Sequence[str | float] | None = None,
-    n: int = 400, m: int = 200, width: float = 5.0, theta: float = 0.5,
-) -> Column:
-    """Struct ``price, delta, gamma, gamma_raw, status`` of a contract given as spot, strike, T,
-    sigma, r, q, is_call, exercise.
-
-    The grid has n + 1 nodes over +-width standard deviations around the strike and m time steps.
-    With ``params`` (rho, eta, gam, nu) the vol is the local vol of that surface and ``sigma`` is
-    not used. Gamma is (V_xx - V_x) / S^2; ``gamma_raw`` is V_xx / S^2. ``status`` is ok,
-    out_of_grid (spot beyond the grid, values NULL) or invalid_input; an expired contract is worth
-    its intrinsic value.
-    """
-    if not 0.0 < theta <= 1.0:
-        raise ValueError("theta must be in (0, 1]")
-    if n < 3 or m < 1:
-        raise ValueError("the grid needs n >= 3 and m >= 1")
-
-    local = params is not None
-
-    @F.pandas_udf(RESULT)
-    def valued(spot: pd.Series, strike: pd.Series, T: pd.Series, sigma: pd.Series,
-               r: pd.Series, q: pd.Series, is_call: pd.Series, exercise: pd.Series,
-               smile: pd.DataFrame) -> pd.DataFrame:
-        surface = [smile[p] for p in PARAMS] if local else None
-        return value_contracts(spot, strike, T, sigma, r, q, is_call, exercise, surface,
-                               n, m, width, theta)
-
-    chosen = params if local else ["cast(null as double)"] * len(PARAMS)
-    surface = F.struct(*[sql(c).column.alias(p) for c, p in zip(chosen, PARAMS)])
-    return valued(*[sql(c).column for c in contract], surface)
-
-
-def price_book(
-    contracts: DataFrame, key: str = "contract_id", local_vol: bool = False,
-    partitions: int | None = None, **grid,
-) -> DataFrame:
-    """Add price, delta, gamma, gamma_raw and status to every contract.
-
-    A sweep costs far more than moving its row, so the book is spread over ``partitions`` tasks
-    (default: the session's shuffle partitions) instead of following the file layout. Contracts
-    with the same terms go to the same few tasks and share sweeps there; the salt keeps a hot set
-    of terms from landing in one task.
-    """
-    spark = contracts.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    terms = ("T", "r", "q", "is_call", "exercise") + (PARAMS if local_vol else ("sigma",))
-    salt = F.pmod(F.xxhash64(key), F.lit(SPREAD))
-    spread = contracts.repartition(count, *terms, salt)
-    value = contract_value(*CONTRACT, params=PARAMS if local_vol else None, **grid)
-    return spread.withColumn("_value", value).select(
-        *contracts.columns, *[f"_value.{c.split()[0]}" for c in RESULT.split(", ")]
-    )

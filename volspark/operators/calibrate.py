@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..checkpoint import checkpointed
 from ..functions.backend import ARRAY, Sql, Staged
@@ -27,12 +28,15 @@ from ..functions.ssvi import (
 
 # Relative step that ends the iteration, and fewest quotes for four parameters.
 STEP_TOLERANCE = 1e-8
+# Largest cosine between the residuals and the model's slope in a free parameter, and largest
+# step in units of vol, at which a fit counts as converged.
+ANGLE_TOLERANCE, VOL_TOLERANCE = 1e-4, 1e-8
 MIN_QUOTES = 4
 
 MAX_ITERATIONS = 60
 MAX_ROWS = 20_000  # quotes of the largest surface that one task may hold
 BUNDLE_ROWS = 50_000  # quotes a bundle of surfaces aims for
-SLICES = 16  # parts a large surface is cut into
+SLICE_ROWS = 20_000  # quotes of a large surface that one task sums, about
 FIRST_DAMPING = 1e-3
 SMALLEST_DAMPING = 1e-12
 LARGEST_DAMPING = 1e12
@@ -66,23 +70,45 @@ def start_state(count, start=START):
 
 
 def propose(state):
-    """Next trial point of every surface from its normal equations and damping."""
-    gradient = state.normal[:, :4]
-    h = np.zeros((len(gradient), 4, 4))
+    """Next trial point of every surface from its normal equations and damping; whether the
+    present point is stationary.
+
+    Steps are taken in (rho, u, gam, nu) with u = eta (1 + |rho|): the wing limit is then a plain
+    bound of u, and the active set treats it like any other.
+    """
+    wing = 1.0 + np.abs(state.x[:, 0])
+    x = state.x.copy()
+    x[:, 1] *= wing
+    turn = np.zeros((len(x), 4, 4))  # derivative of (rho, eta, gam, nu) by (rho, u, gam, nu)
+    turn[:, range(4), range(4)] = 1.0
+    turn[:, 1, 1] = 1.0 / wing
+    turn[:, 1, 0] = -state.x[:, 1] * np.sign(state.x[:, 0]) / wing
+    h = np.zeros((len(x), 4, 4))
     for column, (i, j) in enumerate(PAIRS, start=4):
         h[:, i, j] = h[:, j, i] = state.normal[:, column]
+    gradient = np.einsum("nji,nj->ni", turn, state.normal[:, :4])
+    h = np.einsum("nji,njk,nkl->nil", turn, h, turn)
     low, high = np.asarray(LOWER_BOUNDS), np.asarray(UPPER_BOUNDS)
+    high[1] = WING_LIMIT
     # A parameter on its bound with the descent direction pointing out sits this step out.
-    held = ((state.x <= low) & (gradient > 0)) | ((state.x >= high) & (gradient < 0))
+    edge = 1e-12 * (high - low)
+    held = ((x <= low + edge) & (gradient > 0)) | ((x >= high - edge) & (gradient < 0))
     diagonal = np.einsum("nii->ni", h)
+    slope = np.sqrt(diagonal)
+    small = ANGLE_TOLERANCE * np.sqrt(state.sse)[:, None] + VOL_TOLERANCE
+    stationary = (held | (np.abs(gradient) <= small * slope)).all(axis=1)
     floor = 1e-14 * diagonal.max(axis=1, keepdims=True) + 1e-300
     diagonal += state.damping[:, None] * np.maximum(diagonal, floor)
     h[held[:, :, None] | held[:, None, :]] = 0.0
     diagonal[held] = 1.0
     step = np.linalg.solve(h, np.where(held, 0.0, -gradient)[:, :, None])[:, :, 0]
-    trial = np.clip(state.x + step, low, high)
-    trial[:, 1] = np.minimum(trial[:, 1], WING_LIMIT / (1.0 + np.abs(trial[:, 0])))
-    return trial
+    trial = np.clip(x + step, low, high)
+    trial[:, 1] = np.clip(
+        trial[:, 1] / (1.0 + np.abs(trial[:, 0])), LOWER_BOUNDS[1], UPPER_BOUNDS[1]
+    )
+    # Rounding must not carry a point over the limit.
+    trial[:, 1] = np.minimum(trial[:, 1], np.nextafter(WING_LIMIT, 0) / (1.0 + np.abs(trial[:, 0])))
+    return trial, stationary
 
 
 def advance(state, sums, max_iterations):
@@ -105,14 +131,17 @@ def advance(state, sums, max_iterations):
     lost = ~np.isfinite(state.sse[rows])
     current = SimpleNamespace(
         x=state.x[rows], normal=np.where(lost[:, None], 0.0, state.normal[rows]),
-        damping=state.damping[rows],
+        damping=state.damping[rows], sse=np.where(lost, 0.0, state.sse[rows]),
     )
-    trial = propose(current)
+    trial, stationary = propose(current)
     moved = np.abs(trial - current.x) > STEP_TOLERANCE * np.abs(current.x)
-    settled = ~moved.any(axis=1)
+    still = ~moved.any(axis=1)
+    # A short step alone may come from damping; a point that it cannot leave has not converged.
+    stuck = still & ~stationary & (state.damping[rows] >= LARGEST_DAMPING)
+    settled = still & stationary
     state.trial[rows] = trial
     state.converged[rows] = settled & ~lost
-    state.active[rows] = ~settled & ~lost & (state.iterations[rows] < max_iterations)
+    state.active[rows] = ~settled & ~stuck & ~lost & (state.iterations[rows] < max_iterations)
 
 
 def fit_status(state):
@@ -187,18 +216,22 @@ def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
     """Fit surfaces of any size, one aggregation over all tasks per iteration.
 
     Copies of a quote collapse into its weight first. The quotes are then spread by (surface,
-    slice) once and checkpointed; an iteration moves only the state, a row per surface, and the
-    partial sums.
+    slice) once and kept on the executors' disks in that layout (a lost part is made again from
+    the checkpointed input); an iteration moves only the state, a row per surface and slice, and
+    the partial sums.
     """
     spark = points.sparkSession
     surface = points.schema["surface"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slice_of = F.pmod(F.xxhash64("T", "k", "iv"), F.lit(SLICES)).cast("int")
-    spread = checkpointed(
+    largest = points.groupBy("surface").count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, -(-largest // SLICE_ROWS))
+    slice_of = F.pmod(F.xxhash64("T", "k", "iv"), F.lit(slices)).cast("int")
+    spread = (
         points.groupBy("surface", "T", "k", "iv")
         .agg(F.sum("weight").alias("weight"))
         .withColumn("slice", slice_of)
         .repartition(parts, "surface", "slice")
+        .persist(StorageLevel.DISK_ONLY)
     )
 
     def begin(frames):
@@ -221,9 +254,10 @@ def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
     while not state.where("active").isEmpty():
         asked = state.where("active").selectExpr(
             "surface", *[f"trial[{i}] as {name}" for i, name in enumerate(PARAMS)],
-            f"explode(sequence(0, {SLICES - 1})) as slice",
+            f"explode(sequence(0, {slices - 1})) as slice",
         )
-        m = Staged(spread.join(asked, ["surface", "slice"]))
+        asked = asked.repartition(parts, "surface", "slice")
+        m = Staged(spread.join(asked.hint("shuffle_hash"), ["surface", "slice"]))
         terms = error_terms(*map(Sql, ("T", "k", "iv", "weight")), [Sql(p) for p in PARAMS], m)
         totals = [F.expr(f"sum({term})").alias(name) for name, term in zip(SUMS, list(terms))]
         sums = m.df.groupBy("surface").agg(*totals)
@@ -231,6 +265,7 @@ def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
             state.withColumnRenamed("sse", "best").join(sums, "surface", "left")
             .mapInPandas(step, schema)
         )
+    spread.unpersist()
     return state.mapInPandas(finish, f"surface {surface}, {FIT}")
 
 
@@ -246,7 +281,8 @@ def calibrate_ssvi(
     ``weight`` names a column of quote weights, for instance the inverse bid/ask spread. Output:
     key, rho, eta, gam, nu, sse, iterations and status: ok, did_not_converge, arbitrage_violation,
     or invalid_input (fewer than four quotes, or one without a usable T, k or iv), where the
-    parameters are NULL.
+    parameters are NULL. Quotes are checkpointed and counted, and large surfaces fitted, when the
+    result is built; surfaces of bounded size are fitted when it is read.
     """
     points = checkpointed(
         quotes.select(

@@ -12,23 +12,36 @@ SEQ_PER_BUCKET = 4096
 
 
 def validate_curve(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> DataFrame:
-    """Curves whose tenors, in ``seq`` order, are not strictly increasing.
+    """Curves whose tenors, in ``seq`` order, are not strictly increasing or are missing.
 
+    A NULL tenor is a violation of its own, and the next one is compared with the last before it.
     ``seq`` is the row position carried as a column. Output: keys, ``violations`` (offending rows)
     and ``rows``; an empty result means every curve is valid.
     """
     bucket = F.floor(F.col("seq") / F.lit(SEQ_PER_BUCKET))
-    checked = with_neighbours(rates, keys, "seq", bucket, previous="tenor")
+    known = rates.where("tenor is not null")
+    checked = with_neighbours(known, keys, "seq", bucket, previous="tenor")
+    missing = rates.where("tenor is null").select(*keys, "tenor", F.col("tenor").alias("previous"))
+    bad = F.col("tenor").isNull() | (F.col("tenor") <= F.col("previous"))
     return (
-        checked.groupBy(*keys)
+        checked.select(*keys, "tenor", "previous").unionByName(missing)
+        .groupBy(*keys)
         .agg(
-            F.sum(F.when(F.col("tenor") <= F.col("previous"), 1).otherwise(0)).alias("violations"),
+            F.sum(F.when(bad, 1).otherwise(0)).alias("violations"),
             F.count("*").alias("rows"),
         )
         .where(F.col("violations") > 0)
     )
 
 
+def sound_curves(
+    rates: DataFrame, keys: Sequence[str] = ("curve_id",)
+) -> tuple[DataFrame, DataFrame]:
+    """Nodes of the curves that pass ``validate_curve``, and the report on those that do not."""
+    report = validate_curve(rates, keys)
+    return rates.join(report.select(*keys), list(keys), "left_anti"), report
+
+
 def curve_snapshot(
     history: DataFrame, tenors: Mapping[str, float], keys: Sequence[str] = ("curve_id",)
 ) -> DataFrame:

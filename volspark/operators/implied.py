@@ -173,10 +173,16 @@ def implied_vol(
 
 
 def with_implied_vol(enriched: DataFrame, price: str = "mid", **options) -> DataFrame:
-    """Add sigma, iterations and status to quotes that carry forward, df, strike and T."""
+    """Add sigma, iterations and status to quotes that carry forward, df, strike and T.
+
+    A quote that already has a status other than ok (from ``enrich_quotes``) keeps it.
+    """
+    kept = [c for c in enriched.columns if c not in ("sigma", "iterations", "status")]
+    before = F.col("status") if "status" in enriched.columns else F.lit("ok")
     solved = enriched.withColumn(
         "_iv", implied_vol_forward(price, "forward", "strike", "T", "df", "is_call", **options)
     )
     return solved.select(
-        *enriched.columns, "_iv.sigma", "_iv.iterations", "_iv.status"
+        *kept, "_iv.sigma", "_iv.iterations",
+        F.when(before == "ok", F.col("_iv.status")).otherwise(before).alias("status"),
     )

@@ -12,10 +12,8 @@ from .dividends import forward_price, pv_dividends
 
 def latest_spot(spots: DataFrame, keys: Sequence[str] = ("underlier",)) -> DataFrame:
     """Most recent spot per key; the larger value wins if a day has two."""
-    daily = spots.groupBy(*keys, "asof").agg(F.max("spot").alias("spot"))
-    return daily.groupBy(*keys).agg(
-        F.max_by("spot", "asof").alias("spot"), F.max("asof").alias("asof")
-    )
+    last = spots.groupBy(*keys).agg(F.max(F.struct("asof", "spot")).alias("_last"))
+    return last.select(*keys, "_last.spot", "_last.asof")
 
 
 def expiry_forwards(
@@ -34,7 +32,7 @@ def expiry_forwards(
     join_keys = list(dict.fromkeys([*keys, *curve_keys]))
     segments = curve_segments(rates, curve_keys)
     slices = quotes.select(*join_keys, "T").distinct()
-    slices = slices.join(spots.select(*keys, "spot"), list(keys))
+    slices = slices.join(spots.select(*keys, "spot"), list(keys), "left")
     slices = zero_rate(slices, segments, "T", curve_keys, "r")
     slices = slices.withColumn("df", discount_factor("r", "T"))
     slices = pv_dividends(slices, dividends, segments, keys, curve_keys)
@@ -49,15 +47,23 @@ def enrich_quotes(
     keys: Sequence[str] = ("underlier",),
     curve_keys: Sequence[str] = ("curve_id",),
 ) -> DataFrame:
-    """Quotes with spot, r, df, pv_div, forward, mid and k = ln(K/F).
+    """Quotes with spot, r, df, pv_div, forward, mid, k = ln(K/F) and status.
 
-    ``keys`` identify a market (say underlier and date) and ``curve_keys`` its curve; quotes and
+    No quote is lost: status is ok, no_spot or no_curve (no spot or no curve for the quote's
+    market), no_maturity (no T), and what depends on the missing part is NULL. ``keys`` identify a market (say underlier and date) and ``curve_keys`` its curve; quotes and
     dividends carry both. Quotes move at most once, to meet their expiry slice.
     """
     join_keys = list(dict.fromkeys([*keys, *curve_keys, "T"]))
     slices = expiry_forwards(quotes, spots, rates, dividends, keys, curve_keys)
     return (
-        quotes.join(slices, join_keys)
+        quotes.join(slices, join_keys, "left")
         .withColumn("mid", mid())
         .withColumn("k", log_moneyness("strike", "forward"))
+        .withColumn(
+            "status",
+            F.expr(
+                "case when T is null then 'no_maturity' when spot is null then 'no_spot' "
+                "when r is null then 'no_curve' else 'ok' end"
+            ),
+        )
     )

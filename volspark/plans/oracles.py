@@ -5,8 +5,8 @@ than the way the operators compute them. Inversion and calibration oracles selec
 parameters the prices were made from.
 """
 
-from .queries import CANDIDATES, K_GRID, T_GRID, WIDE_K_GRID, WIDE_T_GRID
-from .tables import BASE_CURVE, HISTORY_TENORS
+from .queries import BOUND_CANDIDATES, CANDIDATES, K_GRID, T_GRID, WIDE_K_GRID, WIDE_T_GRID
+from .tables import BASE_CURVE, CURVES, HISTORY_TENORS
 
 ORACLES: dict[str, str] = {}
 
@@ -14,8 +14,13 @@ ASOF = "date '1995-01-01'"
 
 
 def r(expression: str, name: str, digits: int = 6) -> str:
-    """Rounded output column; adding zero turns -0 into 0."""
-    return f"round({expression}, {digits}) + 0e0 as {name}"
+    """Rounded output column."""
+    return f"{rounded(expression, digits)} as {name}"
+
+
+def rounded(expression: str, digits: int = 6) -> str:
+    """Adding zero turns -0 into 0."""
+    return f"round({expression}, {digits}) + 0e0"
 
 
 def number(value: float) -> str:
@@ -222,13 +227,15 @@ select underlier, "asof", spot from (
 
 ORACLES["curve_validate"] = """
 with nodes as (
-  select l_orderkey as curve_id, l_linenumber as seq, max(l_quantity) as tenor
+  select l_orderkey as curve_id, l_linenumber as seq,
+    case when l_linenumber <> 2 or l_orderkey%4 <> 0 then max(l_quantity) end as tenor
   from lineitem group by 1, 2),
 marked as (
-  select *, lag(tenor) over (partition by curve_id order by seq) as before from nodes)
-select curve_id, cast(sum(case when tenor <= before then 1 else 0 end) as bigint) as violations,
-  count(*) as rows
-from marked group by 1 having sum(case when tenor <= before then 1 else 0 end) > 0"""
+  select *, lag(tenor ignore nulls) over (partition by curve_id order by seq) as before from nodes),
+judged as (
+  select curve_id, case when tenor is null or tenor <= before then 1 else 0 end as bad from marked)
+select curve_id, cast(sum(bad) as bigint) as violations, count(*) as rows
+from judged group by 1 having sum(bad) > 0"""
 
 ORACLES["dividends_future"] = f"""
 with {DIVIDENDS}
@@ -236,10 +243,16 @@ select underlier, pay_date, {r("T", "T")}, alpha, beta from future"""
 
 ORACLES["quotes_enriched"] = f"""
 with {ENRICHED}
-select quote_id, spot, {r("r", "r")}, {r("df", "df")}, {r("pv_div", "pv_div", 5)},
-  {r("forward", "forward", 5)},
-  {r("(price*(1e0-spread_frac)+price*(1e0+spread_frac))/2e0", "mid", 5)}, {r("k", "k")}
-from enriched"""
+select quote_id,
+  case when no_spot then 'no_spot' when no_curve then 'no_curve' else 'ok' end as status,
+  case when not no_spot then spot end as spot,
+  case when not no_curve then {rounded("r")} end as r,
+  case when not no_curve then {rounded("df")} end as df,
+  case when not no_curve then {rounded("pv_div", 5)} else 0e0 end as pv_div,
+  case when not (no_spot or no_curve) then {rounded("forward", 5)} end as forward,
+  {r("(price*(1e0-spread_frac)+price*(1e0+spread_frac))/2e0", "mid", 5)},
+  case when not (no_spot or no_curve) then {rounded("k")} end as k
+from (select *, underlier%17 = 0 as no_spot, underlier%{CURVES}%11 = 3 as no_curve from enriched) e"""
 
 ORACLES["chain_normalise"] = f"""
 with {CHAIN}
@@ -565,6 +578,23 @@ select underlier as surface_id, {_TRUE_PARAMS},
 from (select underlier, rho, eta, gam, nu, count(*) as n from quotes group by 1, 2, 3, 4, 5) t"""
 ORACLES["ssvi_calibrate_distributed"] = ORACLES["ssvi_calibrate"]
 
+_BOUND = ", ".join(
+    f"({i}, {', '.join(number(v) for v in c)})" for i, c in enumerate(BOUND_CANDIDATES)
+)
+ORACLES["ssvi_calibrate_bound"] = f"""
+with {QUOTES.replace("5e-1+1e-1*(underlier%5)", "6e0*(5e-1+1e-1*(underlier%5))")}, {SURFACED},
+candidates(param_id, rho, eta, gam, nu) as (values {_BOUND}),
+scored as (
+  select q.underlier as surface_id, q.T, q.k, q.iv as quoted, 1e0 as weight, c.*
+  from surfaced q cross join candidates c),
+scores as (
+  select surface_id, param_id, {_SSE} as sse, count(*) as n
+  from {ssvi_terms("scored")} group by surface_id, param_id)
+select surface_id, case when max(n) >= 4 then 'ok' else 'invalid_input' end as status,
+  {r("min(sse)", "best_candidate", 7)}, case when max(n) >= 4 then true end as as_good,
+  case when max(n) >= 4 then true end as within_limit
+from scores group by surface_id"""
+
 # Implied vol
 
 LIQUID = "abs(k) <= sigma_true*sqrt(T)*2e0"
@@ -596,36 +626,6 @@ from levels where i <= 5"""
 
 ORACLES["implied_vol_newton"] = f"""
 with {CHAIN}
-select quote_id, case when {_NEAR} then 'ok' end as status,
-  case when {_NEAR} then sigma_true + 0e0 end as sigma, true as reprices
-from chain"""
-
-# Contract books
-
-BOOK = f"""{CHAIN},
-placed as (
-  select *, sigma_true*sqrt(T) as sd, abs(k) <= 5e0*sigma_true*sqrt(T) as inside from chain),
-levels as (
-  select *, (-k+3e-2*T)/sd+5e-1*sd as d1, (-k+3e-2*T)/sd-5e-1*sd as d2 from placed)"""
-
-ORACLES["price_book_eu_vs_bs"] = f"""
-with {BOOK}
-select quote_id as contract_id, case when inside then 'ok' else 'out_of_grid' end as status,
-  case when inside then true end as close, case when inside then true end as delta_close,
-  {r(f'''case when is_call then spot*exp(-2e-2*T)*{cdf("d1")}-strike*exp(-5e-2*T)*{cdf("d2")}
-    else strike*exp(-5e-2*T)*{cdf("-d2")}-spot*exp(-2e-2*T)*{cdf("-d1")} end''', "exact", 5)}
-from levels"""
-
-ORACLES["price_book_am_ge_eu"] = f"""
-with {BOOK}
-select quote_id as contract_id, case when inside then 'ok' else 'out_of_grid' end as status,
-  case when inside then true end as above_european,
-  case when inside then true end as above_intrinsic
-from levels where exercise = 'american'"""
-
-ORACLES["price_book_local_vol"] = f"""
-with {CHAIN}
-select quote_id as contract_id,
-  case when abs(k) <= 5e0*sqrt(nu)*sqrt(T) then 'ok' else 'out_of_grid' end as status,
-  case when abs(k) <= 5e0*sqrt(nu)*sqrt(T) then true end as close
+select quote_id, 'ok' as status,
+  case when {LIQUID} then sigma_true + 0e0 end as sigma, true as reprices
 from chain"""

@@ -64,6 +64,7 @@ def curve_validate(spark, sf):
         tables.load(spark, sf, "lineitem")
         .groupBy(F.col("l_orderkey").alias("curve_id"), F.col("l_linenumber").alias("seq"))
         .agg(F.max("l_quantity").alias("tenor"))
+        .withColumn("tenor", F.expr("case when seq <> 2 or curve_id % 4 <> 0 then tenor end"))
     )
     return curves.validate_curve(nodes)
 
@@ -86,8 +87,12 @@ def _enriched(spark, sf):
 
 @query
 def quotes_enriched(spark, sf):
-    return _enriched(spark, sf).select(
-        "quote_id", "spot", r6("r", "r"), r6("df", "df"), r6("pv_div", "pv_div", 5),
+    """With underliers that have no spot, and curves that are missing."""
+    spots, rates, paid = _market(spark, sf)
+    market = spots.where("underlier % 17 <> 0"), rates.where("curve_id % 11 <> 3"), paid
+    rows = tables.with_curve(tables.priced_quotes(spark, sf)).drop("spot", "k")
+    return snapshot.enrich_quotes(rows, *market).select(
+        "quote_id", "status", "spot", r6("r", "r"), r6("df", "df"), r6("pv_div", "pv_div", 5),
         r6("forward", "forward", 5), r6("mid", "mid", 5), r6("k", "k"),
     )
 
@@ -485,6 +490,28 @@ def ssvi_calibrate_distributed(spark, sf):
     return _fitted(calibrate.calibrate_ssvi(_surface_quotes(spark, sf), weight="weight", max_rows=0))
 
 
+BOUND_CANDIDATES = [
+    (rho, round(4.0 / (1.0 + abs(rho)) - 1e-6, 6), gam, nu)
+    for rho in (-0.8, -0.6, -0.4, -0.2, 0.0)
+    for gam in (0.2, 0.3, 0.4, 0.5)
+    for nu in (0.03, 0.05, 0.08, 0.12)
+]
+
+
+@query
+def ssvi_calibrate_bound(spark, sf):
+    """Quotes of surfaces beyond the wing limit: no candidate on the limit may fit better."""
+    rows = tables.with_surface(tables.quotes(spark, sf)).withColumn("eta", F.col("eta") * 6)
+    quotes = ssvi.with_ssvi_iv(rows).selectExpr("underlier as surface_id", "T", "k", "iv")
+    best = surfaces.best_candidate(quotes, BOUND_CANDIDATES).select("surface_id", "sse")
+    fit = calibrate.calibrate_ssvi(quotes).withColumnRenamed("sse", "fitted")
+    return best.join(fit, "surface_id").select(
+        "surface_id", "status", r6("sse", "best_candidate", 7),
+        F.expr("fitted <= sse * (1 + 1e-9) + 1e-12").alias("as_good"),
+        F.expr("eta * (1 + abs(rho)) <= 4").alias("within_limit"),
+    )
+
+
 # Implied vol
 
 
@@ -526,7 +553,7 @@ def call_vol_report(spark, sf):
 
 @query
 def implied_vol_newton(spark, sf):
-    """The plain iteration: certain to converge near the money, checked by repricing elsewhere."""
+    """The plain iteration."""
     rows = tables.with_flat_price(tables.chain(spark, sf))
     inverted = implied.implied_vol(
         "price", *FLAT_TERMS, "is_call", method="newton", lo=0.01, hi=2.0, tol=1e-8, max_iter=200
@@ -534,49 +561,9 @@ def implied_vol_newton(spark, sf):
     rows = black.with_bs_price(
         rows.withColumn("iv", inverted), "again", r=tables.FLAT_RATE, q=0.0, sigma="iv.sigma"
     )
-    near = tables.is_liquid(0.5)
     return rows.select(
         "quote_id",
-        F.when(near, F.col("iv.status")).alias("status"),
-        r6(F.when(near, F.col("iv.sigma")), "sigma", 5),
+        "iv.status",
+        r6(F.when(tables.is_liquid(), F.col("iv.sigma")), "sigma", 5),
         F.expr("coalesce(abs(again - price) < 1e-7, true) as reprices"),
     )
-
-
-# Contract books
-
-
-@query
-def price_book_eu_vs_bs(spark, sf):
-    rows = tables.contracts(spark, sf).withColumn("exercise", F.lit("european"))
-    priced = book.price_book(rows.drop("rho"))
-    priced = black.with_bs_greeks(black.with_bs_price(priced, "exact"), prefix="exact_")
-    return priced.select(
-        "contract_id", "status", r6("exact", "exact", 5),
-        F.expr("abs(price - exact) < strike * 1e-4 as close"),
-        F.expr("abs(delta - exact_delta) < 2e-3 as delta_close"),
-    )
-
-
-@query
-def price_book_am_ge_eu(spark, sf):
-    rows = chain.americans(tables.contracts(spark, sf))
-    priced = black.with_bs_price(book.price_book(rows), "european")
-    # The American and the exact European price carry different discretisation errors.
-    return priced.selectExpr(
-        "contract_id", "status",
-        "price >= european - strike * 1e-4 as above_european",
-        "price >= case when is_call then spot - strike else strike - spot end - strike * 1e-4 "
-        "as above_intrinsic",
-    )
-
-
-@query
-def price_book_local_vol(spark, sf):
-    """Dupire round trip: European prices under local vol against the surface's implied vol."""
-    rows = tables.contracts(spark, sf).withColumn("exercise", F.lit("european"))
-    priced = book.price_book(rows, local_vol=True, n=100, m=50)
-    priced = ssvi.with_ssvi_iv(priced, "iv", k="k - (r - q) * T")
-    return black.with_bs_price(priced, "exact", sigma="iv").selectExpr(
-        "contract_id", "status", "abs(price - exact) < strike * 1e-3 as close"
-    )

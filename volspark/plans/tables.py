@@ -16,8 +16,8 @@ from ..operators.surfaces import literal_rows
 ASOF = "1995-01-01"
 FLAT_RATE = 0.03
 BASE_CURVE = (
-    (1.0 / 12.0, 0.0372), (0.25, 0.0369), (0.5, 0.0376), (1.0, 0.0379),
-    (2.0, 0.04), (5.0, 0.0413), (10.0, 0.0447), (30.0, 0.0502),
+    (1.0 / 12.0, 0.021), (0.25, 0.0235), (0.5, 0.022), (1.0, 0.026),
+    (2.0, 0.0305), (5.0, 0.029), (10.0, 0.0365), (30.0, 0.041),
 )
 HISTORY_TENORS = {
     "m1": 1.0 / 12.0, "m3": 0.25, "m6": 0.5, "y1": 1.0,

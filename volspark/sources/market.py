@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, year_frac
+from ..operators.snapshot import latest_spot
 from .chain import CHAIN_SCHEMA, parse_chain
 
 # Endings of the files of a market folder and the name of its curve.
@@ -80,7 +81,8 @@ def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
     """All underliers of a folder with ``<underlier>_calls.csv``, ``_puts.csv``, ``_spot.csv`` and
     ``_dividends.csv`` files and one ``treasury_rates.csv``.
 
-    Each kind of file is one scan; the underlier is taken from the file name. A folder without
+    A spot file may hold a history: the last spot up to ``asof`` counts. Each kind of file is one
+    scan; the underlier is taken from the file name. A folder without
     any file of a kind fails when it is read, except dividends, which may be absent for some.
     """
 
@@ -93,9 +95,10 @@ def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
         parse_chain(named(ending, CHAIN_SCHEMA), is_call, ("underlier",))
         for ending, is_call in ((CALL_FILE, True), (PUT_FILE, False))
     ]
-    spots = named(SPOT_FILE, "date string, spot string").select(
-        "underlier", F.col("spot").cast("double").alias("spot")
+    history = named(SPOT_FILE, "date string, spot string").select(
+        "underlier", parse_date("date").alias("asof"), F.col("spot").try_cast("double").alias("spot")
     )
+    known = history.where((F.col("asof") <= F.to_date(F.lit(asof))) & (F.col("spot") > 0))
     paid = named(DIVIDEND_FILE, "Date string, amount string").select(
         "underlier",
         parse_date(F.substring("Date", 1, 10)).alias("pay_date"),
@@ -104,7 +107,7 @@ def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
     curve = F.lit(CURVE).alias("curve_id")
     return Market(
         sides[0].unionByName(sides[1]).select("*", curve),
-        spots,
+        latest_spot(known).select("underlier", "spot"),
         read_rates(spark, f"{folder}/{RATE_FILE}").select("*", curve),
         future_dividends(paid, asof).select("*", curve),
     )
