@@ -4,8 +4,8 @@ Two documents link when ``100 · |A ∩ B| >= percent · |A ∪ B|`` for their s
 bits). Documents of equal sets are one node from the start. A node of n grams overlaps any partner
 in at least T = ⌈percent n / 100⌉ of them, which the search uses three times:
 
-1. *Sketch.* Of all its grams in hash order, a node shows the first n - T + 1 + EXTRA. Linked nodes
-   share at least EXTRA + 1 of them (or T, if less). Grams shown by one node only are counted out;
+1. *Sketch.* Of all its grams in hash order, a node shows the first n - T + 1 + extra(n). Linked
+   nodes share more than extra of them, of the smaller node (or its T, if less). Grams shown by one node only are counted out;
    nodes left with too few shared ones link to nothing. This takes one small table for all data.
 2. *Rare first.* The nodes that remain are encoded again in full, and their grams ordered by how
    many of these nodes have them. Linked nodes share one of their n - T + 1 rarest; a copy with
@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from ..checkpoint import checkpointed
 from .graph import components
 
-#: Grams shown beyond the n - T + 1 that one shared gram needs.
-EXTRA = 8
+#: Grams shown beyond the n - T + 1 that one shared gram needs: so many, or this part of n if more.
+EXTRA, EXTRA_PART = 8, 20
 #: Grams in a block of a cluster, about.
 BLOCK_GRAMS = 2_000_000
 #: Weight of the merge in DivideSkip's choice of long lists.
@@ -84,6 +84,10 @@ def least_overlap(n, percent: int):
     return -(-n * percent // 100)
 
 
+def extra(n: int) -> int:
+    return max(EXTRA, n // EXTRA_PART)
+
+
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n, sig (of the set), shown (the first grams in hash order)."""
 
@@ -93,7 +97,7 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
             for text in batch["text"]:
                 tokens = grams(text, size)
                 n = len(tokens)
-                shown = tokens[: n - least_overlap(n, percent) + 1 + EXTRA]
+                shown = tokens[: n - least_overlap(n, percent) + 1 + extra(n)]
                 rows.append((n, signature(tokens), shown.tobytes()))
             out = pd.DataFrame(rows, columns=["n", "sig", "shown"])
             yield pd.concat((batch[["doc_id"]].astype("Int64").reset_index(drop=True), out), axis=1)
@@ -127,11 +131,13 @@ def suspects(nodes: DataFrame, percent: int) -> DataFrame:
     brief = nodes.select(F.xxhash64("sig").alias("brief"), "shown")
     hits = shared_only(brief.mapInPandas(_flat("shown", "brief"), "token long, brief long"))
     hits = hits.groupBy("brief").agg(F.count(F.lit(1)).alias("hits"))
-    least = F.col("n")
-    for _ in range(2):  # the partner's own bound, and it has at least T grams
-        least = F.floor((least * percent + 99) / 100)
+    overlap = lambda n: F.floor((n * percent + 99) / 100)
+    smallest = overlap(F.col("n"))  # no partner has fewer grams
+    least = F.least(
+        F.greatest(F.lit(EXTRA), F.floor(smallest / EXTRA_PART)) + 1, overlap(smallest)
+    )
     found = nodes.withColumn("brief", F.xxhash64("sig")).join(hits, "brief")
-    return found.where(F.col("hits") >= F.least(F.lit(EXTRA + 1), least)).drop("brief", "hits")
+    return found.where(F.col("hits") >= least).drop("brief", "hits")
 
 
 def member_filter(ids: DataFrame, column: str):
