@@ -34,6 +34,8 @@ MOST_BYTES = 24
 UNKNOWN = "und"
 #: Words remembered by a task with their summed probabilities.
 REMEMBERED = 300_000
+#: Texts whose words a task counts at a time.
+TEXTS_AT_ONCE = 1000
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -197,7 +199,7 @@ def predict(model: Model, text: str | Column = "text") -> Column:
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         table = np.zeros((0, 1 + len(model.languages)), np.float32)
-        for batch in batches:
+        for batch in parts(batches):
             counts = [Counter(text.split()) if text else Counter() for text in batch]
             if len(known) > REMEMBERED:
                 known, table = {}, table[:0]
@@ -218,4 +220,9 @@ def predict(model: Model, text: str | Column = "text") -> Column:
                     out.append((UNKNOWN, 0.0))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
+    def parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                yield batch[start : start + TEXTS_AT_ONCE]
+
     return predicted(F.col(text) if isinstance(text, str) else text)
