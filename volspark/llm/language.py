@@ -98,7 +98,7 @@ class Model:
         out = np.zeros((len(words), 1 + len(self.languages)), np.float32)
         by_length = defaultdict(list)
         for i, word in enumerate(words):
-            if has_letter(word):
+            if self.languages and has_letter(word):
                 for run in runs(word):
                     by_length[len(run)].append((i, run))
         for length, group in sorted(by_length.items()):

@@ -134,6 +134,11 @@ class Template:
             end = min(start + self.window, b)
             pairs = align(text[start:end], self.words)
             if len(pairs) >= need:
+                spans = [(start, pairs)]
+                for place in (start + pairs[0][0], start + pairs[-1][0] + 1 - self.window):
+                    place = max(a, place)  # the window may have cut the copy's end or start
+                    spans.append((place, align(text[place : min(b, place + self.window)], self.words)))
+                start, pairs = max(spans, key=lambda s: len(s[1]))
                 first, last = start + pairs[0][0], start + pairs[-1][0] + 1
                 out.append((self.name, len(pairs) / len(self.words), first, last))
                 todo += [(a, first), (last, b)]
