@@ -35,12 +35,12 @@ def plain(rows, size, percent):
         if doc_id is not None:
             least[top(i)] = min(doc_id, least.get(top(i), doc_id))
     return sorted(
-        (doc_id is None, doc_id or 0, len(sets[i]), least.get(top(i)), links[i]) for i, (doc_id, _) in enumerate(rows)
+        (doc_id is None, doc_id or 0, len(sets[i]), least.get(top(i), -1), links[i]) for i, (doc_id, _) in enumerate(rows)
     )
 
 
 def found(df):
-    return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id, r.n_links) for r in df.collect())
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, -1 if r.component_id is None else r.component_id, r.n_links) for r in df.collect())
 
 
 def edited(rng, words, edits):
