@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Units remembered by a task with their ids, and cells of one batch of equal-length units.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Texts that a task encodes or decodes at a time.
+TEXTS_AT_ONCE = 250
 BATCH_CELLS = 1 << 20
 UNKNOWN_PENALTY = 10.0
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -163,8 +165,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(model)
         for batch in batches:
-            for start in range(0, len(batch), 1000):
-                part = batch[start : start + 1000]
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch[start : start + TEXTS_AT_ONCE]
                 keys = part["doc_id"].astype("Int64")
                 yield pd.DataFrame({"doc_id": keys.array, "ids": codec.encode(list(part["text"]))})
 
@@ -178,6 +180,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(model)
         for batch in batches:
-            yield pd.Series([None if raw is None else codec.decode(raw) for raw in batch])
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch[start : start + TEXTS_AT_ONCE]
+                yield pd.Series([None if raw is None else codec.decode(raw) for raw in part])
 
     return encoded.select("doc_id", "ids", decoded("ids").alias("text"))
