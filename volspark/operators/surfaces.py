@@ -1,13 +1,15 @@
 """SSVI surfaces as tables: grids, fit errors, best candidate and arbitrage report."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.backend import sql
+from ..functions.backend import ARRAY, sql
 from ..functions.local_vol import with_local_vol
-from ..functions.ssvi import PARAMS, ssvi_arb_free, with_ssvi_iv
+from ..functions.ssvi import PARAMS, smile, ssvi_arb_free, vol, with_ssvi_iv
 
 # Fixed value: objective of a parameter set that violates the no-arbitrage condition.
 PENALTY = 1e6
@@ -92,6 +94,31 @@ def ssvi_sse(
     return sums.select(key, "param_id", sse.alias("sse"))
 
 
+def _candidate_errors(candidates: Sequence[Sequence[float]]):
+    """A row per surface and batch with the weighted squared error of every candidate."""
+
+    numbers = ["T", "k", "iv", "weight"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.astype(dict.fromkeys(numbers, np.float64))
+            batch = batch[np.isfinite(batch[numbers]).all(axis=1) & (batch["T"] > 0)]
+            if batch.empty:
+                continue
+            codes, ids = pd.factorize(batch["surface"])
+            order = np.argsort(codes, kind="stable")
+            T, k, iv, weight = (batch[c].to_numpy()[order] for c in numbers)
+            first = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            out = np.empty((len(ids), len(candidates)))
+            with np.errstate(all="ignore"):
+                for i, candidate in enumerate(candidates):
+                    miss = vol(smile(k, T, *map(np.float64, candidate), ARRAY), ARRAY) - iv
+                    out[:, i] = np.add.reduceat(weight * miss * miss, first)
+            yield pd.DataFrame({"surface": ids, "errors": list(out)})
+
+    return run
+
+
 def best_candidate(
     quotes: DataFrame,
     candidates: Sequence[Sequence[float]],
@@ -100,16 +127,22 @@ def best_candidate(
 ) -> DataFrame:
     """Best of a list of (rho, eta, gam, nu) candidates for every surface.
 
-    Candidates ride along as a literal and are expanded inside a task, where the partial sums of a
-    (surface, candidate) collapse before the exchange. For that the quotes of a surface are brought
-    together first, a large surface in slices. Ties go to the lower position.
+    The candidates travel with the function. Tasks hold quotes as arrays and sum the errors of a
+    surface for every candidate at once, so no quote is copied per candidate; a row per surface and
+    slice leaves them. For that the quotes of a surface are brought together first, a large surface
+    in slices. Ties go to the lower position. Quotes without a usable T, k, iv or weight do
+    not count, and a surface that has no other is left out.
     """
     listed = literal_rows(PARAMS, candidates)
     copies = quotes.groupBy(key, "T", "k", "iv").agg(F.sum(weight or F.lit(1.0)).alias("weight"))
-    base = gather(copies, key, ("T", "k", "iv"))
-    scored = base.selectExpr("*", f"posexplode({listed}) as (param_id, c)")
-    scored = with_ssvi_iv(scored.select(*copies.columns, "param_id", "c.*"), "_model")
-    sums = scored.groupBy(key, "param_id").agg(_squared_error("weight").alias("sum_sq"))
+    base = gather(copies, key, ("T", "k", "iv")).select(F.col(key).alias("surface"), "T", "k", "iv", "weight")
+    kind = base.schema["surface"].dataType.simpleString()
+    errors = base.mapInPandas(_candidate_errors(candidates), f"surface {kind}, errors array<double>")
+    sums = (
+        errors.select(F.col("surface").alias(key), F.posexplode("errors").alias("param_id", "part"))
+        .groupBy(key, "param_id")
+        .agg(F.sum("part").alias("sum_sq"))
+    )
     sums = sums.withColumn("c", F.expr(f"element_at({listed}, param_id + 1)"))
     admissible = ssvi_arb_free("c.rho", "c.eta", "c.gam")
     sse = F.when(admissible, F.col("sum_sq")).otherwise(PENALTY)
