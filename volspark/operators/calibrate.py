@@ -33,7 +33,7 @@ STEP_TOLERANCE = 1e-8
 ANGLE_TOLERANCE, VOL_TOLERANCE = 1e-4, 1e-8
 MIN_QUOTES = 4
 
-MAX_ITERATIONS = 60
+MAX_ITERATIONS = 300  # finished surfaces drop out; few need more than 30
 MAX_ROWS = 20_000  # quotes of the largest surface that one task may hold
 BUNDLE_ROWS = 50_000  # quotes a bundle of surfaces aims for
 SLICE_ROWS = 20_000  # quotes of a large surface that one task sums, about

@@ -5,7 +5,7 @@ than the way the operators compute them. Inversion and calibration oracles selec
 parameters the prices were made from.
 """
 
-from .queries import BOUND_CANDIDATES, CANDIDATES, K_GRID, T_GRID, WIDE_K_GRID, WIDE_T_GRID
+from .queries import BOUND_CANDIDATES, CANDIDATES, K_GRID, MANY, T_GRID, WIDE_K_GRID, WIDE_T_GRID
 from .tables import BASE_CURVE, CURVES, HISTORY_TENORS
 
 ORACLES: dict[str, str] = {}
@@ -611,6 +611,20 @@ ORACLES["implied_vol_fwd"] = f"""
 with {ENRICHED}
 select quote_id, 'ok' as status, case when {LIQUID} then sigma_true + 0e0 end as sigma from enriched"""
 
+ORACLES["chain_to_local_vol"] = f"""
+with {ENRICHED},
+placed as (
+  select e.underlier, e.T, e.k, q.rho, q.eta, q.gam, q.nu
+  from enriched e join quotes q on q.quote_id = e.quote_id),
+modelled as (
+  select underlier, T, k, rho, eta, gam, nu, sqrt(({SURFACE_W})/T) as iv from {ssvi_terms("placed")}),
+surfaces as (
+  select underlier as surface_id, any_value(rho) as rho, any_value(eta) as eta, any_value(gam) as gam,
+    any_value(nu) as nu
+  from modelled where abs(k) <= iv*sqrt(T) group by 1 having count(*) >= {MANY}),
+{grid([0.25, 0.5, 1.0], [-0.1, 0.0, 0.1])}, {local_vol("grid", "surface_id, T")}
+select surface_id, T, k, {r("local_vol", "local_vol", 3)}, reason from lv"""
+
 _NEAR = "abs(k) <= sigma_true*sqrt(T)*5e-1"
 ORACLES["call_vol_report"] = f"""
 with {ENRICHED},

@@ -490,6 +490,7 @@ def ssvi_calibrate_distributed(spark, sf):
     return _fitted(calibrate.calibrate_ssvi(_surface_quotes(spark, sf), weight="weight", max_rows=0))
 
 
+MANY = 10  # quotes near the money that pin down a surface
 BOUND_CANDIDATES = [
     (rho, round(4.0 / (1.0 + abs(rho)) - 1e-6, 6), gam, nu)
     for rho in (-0.8, -0.6, -0.4, -0.2, 0.0)
@@ -539,6 +540,24 @@ def implied_vol_fwd(spark, sf):
     )
 
 
+@query
+def chain_to_local_vol(spark, sf):
+    """From chain prices to local vols: implied vols, surfaces fitted to them, and their grids.
+
+    Underliers with at least ``MANY`` quotes near the money, whose surface they pin down.
+    """
+    rows = ssvi.with_ssvi_iv(_enriched(spark, sf), "model_iv")
+    priced = black.with_black_price(rows, "theory", sigma="model_iv")
+    vols = implied.with_implied_vol(priced, "theory").where(
+        "status = 'ok' and abs(k) <= 1e0 * model_iv * sqrt(T)"
+    )
+    quotes = vols.selectExpr("underlier as surface_id", "T", "k", "sigma as iv")
+    many = quotes.groupBy("surface_id").count().where(F.col("count") >= MANY)
+    fitted = calibrate.calibrate_ssvi(quotes.join(many, "surface_id", "left_semi"))
+    grid = surfaces.local_vol_grid(fitted.where("status = 'ok'"), [0.25, 0.5, 1.0], [-0.1, 0.0, 0.1])
+    return grid.select("surface_id", "T", "k", r6("local_vol", "local_vol", 3), "reason")
+
+
 @query
 def call_vol_report(spark, sf):
     """Mid, moneyness and vol of the first five calls of every underlier, by the plain iteration."""
