@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +35,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
-def by_volume(texts: Iterable[str], most: int) -> Iterator[list[str]]:
-    """Consecutive texts in lists of about ``most`` characters, one text at least in each."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    It does so once the driver has collected what refers to them, which may otherwise be much later
+    than the next step needs the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
+from .corpus import release
 from .graph import components
 
 #: Grams shown beyond the n - T + 1 that one shared gram needs: so many, or this part of n if more.
@@ -195,6 +196,7 @@ def clusters(sets: DataFrame, percent: int) -> DataFrame:
         .select("token", "sig")
     )
     ranked = checkpointed(ranked)
+    release(sets.sparkSession)
     first = ranked.groupBy("token").agg(F.min("sig").alias("b"))
     return components(ranked.join(first, "token").select(F.col("sig").alias("a"), "b"))
 
@@ -308,13 +310,16 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         )
     )
     found = checkpointed(suspects(nodes, percent).drop("shown"))
+    release(session)
     sets = checkpointed(full_sets(docs, found, size))
+    release(session)
     grouped = clusters(sets, percent)
     total = sets.agg(F.sum("n")).first()[0] or 0
     work = tiles(sets, grouped, max(2 * spread, -(-total // BLOCK_GRAMS)))
     links = checkpointed(
         work.groupBy("tile", "cross").applyInPandas(_search(percent), "a binary, b binary, links long")
     )
+    release(session)
     members = components(links.where("b is not null"))
     counts = links.where("b is null").groupBy(F.col("a").alias("sig")).agg(F.sum("links").alias("links"))
     named = (
