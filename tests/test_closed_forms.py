@@ -213,3 +213,13 @@ def test_columns_and_arrays_agree_on_local_vol(spark):
     assert np.allclose(got.local_vol[fine], np.sqrt(t.dw_dT[fine] / t.g[fine]), rtol=1e-12)
     assert np.allclose(got.inline[fine], got.local_vol[fine], rtol=1e-12)
     assert got.reason.isna().to_numpy()[fine].all() and got.reason[~fine].notna().all()
+
+
+def test_theta_and_phi_columns_equal_the_staged_terms(spark):
+    rows = spark.createDataFrame(
+        [(0.1, 0.5, -0.3, 0.5, 0.3, 0.04), (0.1, 0.0, -0.3, 0.5, 0.3, 0.04)],
+        "k double, T double, rho double, eta double, gam double, nu double")
+    inline = rows.select("*", ssvi.ssvi_theta().alias("th"), ssvi.ssvi_phi().alias("ph"))
+    for r in ssvi.with_ssvi_terms(inline).collect():
+        assert r.th == r.theta and (r.ph is None) == (r.phi is None)
+        assert r.ph is None or abs(r.ph - r.phi) < 1e-12

@@ -96,8 +96,9 @@ def _bracketed(price, forward, strike, root_t, df, sign, slack, lo, hi, max_iter
 
 def call_signs(is_call):
     """+1 for calls and -1 for puts, and where the side is known at all."""
-    side = pd.array(list(is_call), dtype="boolean")
-    return np.where(side.fillna(False).to_numpy(dtype=bool), 1.0, -1.0), ~np.asarray(side.isna())
+    side = pd.Series(is_call).astype("boolean")
+    calls = side.fillna(False).to_numpy(dtype=bool)
+    return np.where(calls, 1.0, -1.0), side.notna().to_numpy()
 
 
 def invert(price, forward, strike, T, df, is_call, method="bracketed", lo=1e-4, hi=5.0,
