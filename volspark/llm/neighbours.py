@@ -143,7 +143,7 @@ def _routed(centres: np.ndarray, beam: int, slack: float, most: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         graph = Graph(centres)
-        for batch in batches:
+        for batch in filter(len, batches):
             vectors = unit(np.stack(batch["vec"].to_numpy())).astype(np.float32)
             times, lists = [], []
             for vector in vectors:
