@@ -14,7 +14,6 @@ from ..functions.ssvi import PARAMS, smile, ssvi_arb_free, vol, with_ssvi_iv
 # Fixed value: objective of a parameter set that violates the no-arbitrage condition.
 PENALTY = 1e6
 
-SSE_SLICES = 8  # parts in which the error of one surface is summed
 SLICE_ROWS = 20_000  # rows of one key that a task may be asked to take
 
 
@@ -83,13 +82,12 @@ def ssvi_sse(
     ``params`` has one row per (key, param_id); ``weight`` names a quote column, for instance the
     inverse bid/ask spread. A set that violates the no-arbitrage condition scores ``PENALTY``.
     """
-    # A surface meets its sets in slices, so a hot one is spread; partial sums meet after that.
-    quotes = quotes.withColumn("_slice", F.pmod(F.xxhash64("T", "k", "iv"), F.lit(SSE_SLICES)).cast("int"))
-    sliced = params.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SSE_SLICES - 1))))
-    scored = with_ssvi_iv(quotes.join(sliced, [key, "_slice"]), "_model")
-    sums = scored.groupBy(key, "param_id").agg(
+    # Grouped by a struct, the sums do not count as clustered by the join: partial sums cross an
+    # exchange after it, and adaptive execution may split a hot surface in the join.
+    scored = with_ssvi_iv(quotes.join(params, key), "_model")
+    sums = scored.groupBy(F.struct(F.col(key).alias("key")).alias("_surface"), "param_id").agg(
         _squared_error(weight).alias("sum_sq"), F.bool_and(ssvi_arb_free()).alias("admissible")
-    )
+    ).withColumn(key, F.col("_surface.key"))
     sse = F.when(F.col("admissible"), F.col("sum_sq")).otherwise(PENALTY)
     return sums.select(key, "param_id", sse.alias("sse"))
 
