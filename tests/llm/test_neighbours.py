@@ -69,3 +69,19 @@ def test_small_tables(spark):
     assert neighbours.search(table_of(spark, [(50, [1.0, 2.0])]), "id % 50 = 0").count() == 0
     few = neighbours.search(table_of(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])]), "id % 50 = 0").collect()
     assert [(r.query_id, r["rank"], r.vec_id) for r in few] == [(0, 1, 2), (0, 2, 1)]
+
+
+def test_recall_holds_with_many_lists(spark, monkeypatch):
+    """Vectors without clusters in 64 dimensions, in 1,250 lists."""
+    monkeypatch.setattr(neighbours, "LIST_LENGTH", 16)
+    data = np.random.default_rng(7).normal(size=(20_000, 64)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.search(rows, "id % 50 = 0").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    own, hits = neighbours.unit(data.astype(float)), 0
+    for q in range(0, len(data), 50):
+        scores = own @ own[q]
+        scores[q] = -2
+        hits += len(got[q] & set(np.argsort(-scores)[:5].tolist()))
+    assert hits / (5 * len(got)) >= 0.95

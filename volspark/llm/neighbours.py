@@ -3,9 +3,14 @@
 Centroids are fitted on a bounded sample of unit vectors; their number follows the number of
 vectors, so posting lists keep their length. Every vector goes to its nearest centroid's list and,
 if it lies near a boundary, to those of other centroids at most (1 + REPLICATE) times as far, up
-to COPIES lists. A query finds its centroids in an in-memory graph of the centroids (each linked
-with its nearest ones; best-first search), and drops lists whose centroid is more than
-(1 + PRUNE) times as far as the nearest. The vectors in the chosen lists are compared exactly.
+to COPIES lists, which it finds in an in-memory graph of the centroids (each linked with its
+nearest ones; best-first search). A query ranks all centroids, goes to the nearest ``probes`` lists
+and drops lists whose centroid is more than (1 + slack) times as far as the nearest. The vectors in
+the chosen lists are compared exactly.
+
+No fixed number of probes holds the recall as lists grow in number, so ``probes`` and ``slack`` are
+measured: TUNED queries are compared with every vector, and both are taken so large that RECALL of
+the neighbours so found lie in a searched list, PROBES and PRUNE at least.
 
 Equal vectors are one entry that carries their least ids, as many as can matter; so a vector that
 a third of all rows have makes no long list and no repeated search. A list longer than LIST_CHUNK
@@ -37,7 +42,9 @@ SAMPLE = 40_000
 LIST_LENGTH, MOST_CENTROIDS = 128, 1 << 14
 COPIES, REPLICATE = 4, 0.25
 PROBES, PRUNE = 48, 0.6
-GRAPH_DEGREE, BEAM = 24, 96
+#: Queries that are compared with all vectors, at most, and the share of their neighbours to find.
+TUNED, RECALL = 256, 0.98
+GRAPH_DEGREE, BEAM = 24, 24
 LIST_CHUNK = 4096
 ROUNDS = 6
 
@@ -156,6 +163,84 @@ def _routed(centres: np.ndarray, beam: int, slack: float, most: int):
     return run
 
 
+def ranked(centres: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All centroids of each vector, nearest first, and their cosines."""
+    for part in np.array_split(vectors, len(vectors) // 512 + 1):
+        for cosines in part @ centres.T:
+            order = np.argsort(-cosines, kind="stable")
+            yield order, cosines[order]
+
+
+def _asked(centres: np.ndarray, slack: float, most: int):
+    """Queries once for each list to search (``list``)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            for start in range(0, len(batch), 512):
+                rows = batch.iloc[start : start + 512]
+                vectors = unit(np.stack(rows["vec"].to_numpy())).astype(np.float32)
+                times, lists = [], []
+                for found, cosines in ranked(centres, vectors):
+                    n = near_enough(cosines, slack, most)
+                    times.append(n)
+                    lists += found[:n].tolist()
+                yield rows.iloc[np.repeat(np.arange(len(rows)), times)].assign(list=lists)
+
+    return run
+
+
+def _nearest(asked: np.ndarray, k: int):
+    """The ``k`` nearest vectors of each query among the rows of a task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept, scores = np.empty((len(asked), 0, asked.shape[1])), np.empty((len(asked), 0))
+        for batch in filter(len, batches):
+            data = np.stack(batch["vec"].to_numpy())
+            fresh = asked @ unit(data).T
+            take = np.argsort(-fresh, axis=1, kind="stable")[:, :k]
+            scores = np.concatenate((scores, np.take_along_axis(fresh, take, 1)), axis=1)
+            kept = np.concatenate((kept, data[take]), axis=1)
+            take = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            scores = np.take_along_axis(scores, take, 1)
+            kept = np.take_along_axis(kept, take[:, :, None], 1)
+        yield pd.DataFrame(
+            {"q": np.repeat(np.arange(len(asked)), scores.shape[1]), "score": scores.ravel(), "vec": list(kept.reshape(-1, asked.shape[1]))}
+        )
+
+    return run
+
+
+def reach(index: DataFrame, questions: DataFrame, centres: np.ndarray, k: int) -> tuple[int, float]:
+    """(probes, slack) by which RECALL of the true neighbours of some queries are found."""
+    few = questions.select("vec").orderBy(F.xxhash64("vec")).limit(TUNED).collect()
+    if len(centres) == 1 or not few:
+        return PROBES, PRUNE
+    asked = unit(np.array([r.vec for r in few]))
+    near = index.select("vec").mapInPandas(_nearest(asked, k + 1), "q int, score double, vec array<double>")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), F.xxhash64("vec"))
+    near = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).collect()
+    found = list(ranked(centres, asked.astype(np.float32)))
+    graph, ranks, ratios = Graph(centres), [], []
+    for row in near:
+        if row.vec == few[row.q].vec:  # the query itself
+            continue
+        lists, cosines = graph.search(unit(np.array([row.vec])).astype(np.float32)[0], BEAM)
+        held = lists[: near_enough(cosines, REPLICATE, COPIES)]
+        centroids, cosines = found[row.q]
+        rank = int(np.flatnonzero(np.isin(centroids, held))[0])
+        distance = np.sqrt(np.maximum(2 - 2 * cosines[[0, rank]], 0))
+        ranks.append(rank + 1)
+        ratios.append(distance[1] / max(distance[0], 1e-6) - 1)
+    if not ranks:
+        return PROBES, PRUNE
+    ranks, ratios = np.array(ranks), np.array(ratios)
+    for level in np.linspace(RECALL, 1, 9):
+        probes, slack = (np.quantile(x, level, method="higher") for x in (ranks, ratios))
+        if ((ranks <= probes) & (ratios <= slack)).mean() >= RECALL:
+            break
+    return max(PROBES, int(probes)), max(PRUNE, float(slack))
+
+
 def _compared(k: int):
     """Queries and candidates of one chunk of a list: each query's best ids, by exact cosine."""
 
@@ -206,13 +291,14 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     sample = unit(np.array([r.vec for r in chosen.orderBy(F.xxhash64("vec")).limit(SAMPLE).collect()]))
     centres = fit_centroids(sample, max(1, min(len(sample) // 4, n // LIST_LENGTH, MOST_CENTROIDS)))
 
-    lists = index.mapInPandas(_routed(centres, 24, REPLICATE, COPIES), "vec array<double>, ids array<long>, list int")
+    lists = index.mapInPandas(_routed(centres, BEAM, REPLICATE, COPIES), "vec array<double>, ids array<long>, list int")
     lists = checkpointed(lists)
     sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_CHUNK).cast("int").alias("chunks"))
     asked = plain.where(is_query)
     questions = asked.groupBy("vec").agg(F.min("id").alias("qid"))
+    probes, slack = reach(index, questions, centres, k)
     questions = checkpointed(
-        questions.mapInPandas(_routed(centres, BEAM, PRUNE, PROBES), "vec array<double>, qid long, list int")
+        questions.mapInPandas(_asked(centres, slack, probes), "vec array<double>, qid long, list int")
     )
     spread = questions.join(sizes, "list").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     stored = lists.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("vec"), F.col("chunks")).cast("int"))
