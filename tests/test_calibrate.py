@@ -1,5 +1,7 @@
 """SSVI errors, candidates, calibration and arbitrage report."""
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from volspark.functions import ssvi
 from volspark.functions.backend import ARRAY
 from volspark.operators import calibrate, surfaces
+from volspark.plans import queries, tables
 
 TRUE = (-0.3, 0.5, 0.3, 0.04)
 T_GRID = [0.25, 0.5, 1.0, 2.0]
@@ -226,3 +229,15 @@ def test_an_exchange_of_partial_sums_follows_the_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.index("Exchange") < plan.index("SortMergeJoin")
     assert scored.count() == 2
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="tables are not here")
+def test_every_underlier_of_the_chain_is_fitted(spark):
+    """On all of its quotes: those far from the money neither drop out nor spoil the fit."""
+    sf = "/root/testdata/sf0.001"
+    asked = {r.underlier for r in tables.chain(spark, sf).select("underlier").distinct().collect()}
+    got = queries.QUERIES["chain_to_local_vol_all"](spark, sf).collect()
+    assert {r.surface_id for r in got} == asked and len(got) == 9 * len(asked)
+    assert {r.status for r in got} == {"ok"}
+    shown = {r.surface_id for r in queries.QUERIES["chain_to_local_vol"](spark, sf).collect()}
+    assert shown < asked

@@ -187,3 +187,12 @@ def with_implied_vol(enriched: DataFrame, price: str = "mid", **options) -> Data
         *kept, "_iv.sigma", "_iv.iterations",
         F.when(before == "ok", F.col("_iv.status")).otherwise(before).alias("status"),
     )
+
+
+def price_weight(k: str = "k", T: str = "T", sigma: str = "sigma") -> Column:
+    """Weight of a solved vol in a fit: its squared vega, as a share of the largest.
+
+    Far from the money a price hardly depends on its vol, and rounding of the price decides the
+    vol found. So weighted, vols count as much as their prices say, and no quote has to be dropped.
+    """
+    return F.expr(f"exp(-power(-{k} / ({sigma} * sqrt({T})) + 5e-1 * {sigma} * sqrt({T}), 2))")

@@ -625,6 +625,16 @@ surfaces as (
 {grid([0.25, 0.5, 1.0], [-0.1, 0.0, 0.1])}, {local_vol("grid", "surface_id, T")}
 select surface_id, T, k, {r("local_vol", "local_vol", 3)}, reason from lv"""
 
+_FOUR = ", ".join(f"case when count(*) >= 4 then any_value({p}) end as {p}" for p in ("rho", "eta", "gam", "nu"))
+ORACLES["chain_to_local_vol_all"] = f"""
+with {ENRICHED},
+surfaces as (
+  select e.underlier as surface_id, {_FOUR},
+    case when count(*) >= 4 then 'ok' else 'invalid_input' end as status
+  from enriched e join quotes q on q.quote_id = e.quote_id group by 1),
+{grid([0.25, 0.5, 1.0], [-0.1, 0.0, 0.1])}, {local_vol("grid", "surface_id, status, T")}
+select surface_id, status, T, k, {r("local_vol", "local_vol", 3)}, reason from lv"""
+
 _NEAR = "abs(k) <= sigma_true*sqrt(T)*5e-1"
 ORACLES["call_vol_report"] = f"""
 with {ENRICHED},

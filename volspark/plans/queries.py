@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoint import checkpointed
 from ..functions import black, local_vol, quotes as quote_columns, ssvi
 from ..functions.dates import parse_date, year_frac
 from ..functions.normal import norm_cdf, norm_pdf
@@ -540,24 +541,44 @@ def implied_vol_fwd(spark, sf):
     )
 
 
+def _chain_surfaces(spark, sf):
+    """Vols of all chain prices, and a row per underlier: the fit to all of its invertible quotes."""
+    rows = ssvi.with_ssvi_iv(_enriched(spark, sf), "model_iv")
+    priced = black.with_black_price(rows, "theory", sigma="model_iv")
+    vols = implied.with_implied_vol(priced, "theory").withColumn("weight", implied.price_weight())
+    vols = checkpointed(
+        vols.selectExpr("underlier as surface_id", "T", "k", "model_iv", "status", "sigma as iv", "weight")
+    )
+    fitted = calibrate.calibrate_ssvi(vols.where("status = 'ok'"), weight="weight")
+    fitted = vols.select("surface_id").distinct().join(fitted, "surface_id", "left")
+    return vols, fitted.fillna("invalid_input", ["status"])
+
+
+CHAIN_GRID = [0.25, 0.5, 1.0], [-0.1, 0.0, 0.1]
+
+
 @query
 def chain_to_local_vol(spark, sf):
     """From chain prices to local vols: implied vols, surfaces fitted to them, and their grids.
 
-    Underliers with at least ``MANY`` quotes near the money, whose surface they pin down.
+    All quotes count in the fits. Shown are, as in the SQL, underliers with at least ``MANY`` quotes
+    near the money; ``chain_to_local_vol_all`` shows every one.
     """
-    rows = ssvi.with_ssvi_iv(_enriched(spark, sf), "model_iv")
-    priced = black.with_black_price(rows, "theory", sigma="model_iv")
-    vols = implied.with_implied_vol(priced, "theory").where(
-        "status = 'ok' and abs(k) <= 1e0 * model_iv * sqrt(T)"
-    )
-    quotes = vols.selectExpr("underlier as surface_id", "T", "k", "sigma as iv")
-    many = quotes.groupBy("surface_id").count().where(F.col("count") >= MANY)
-    fitted = calibrate.calibrate_ssvi(quotes.join(many, "surface_id", "left_semi"))
-    grid = surfaces.local_vol_grid(fitted.where("status = 'ok'"), [0.25, 0.5, 1.0], [-0.1, 0.0, 0.1])
+    vols, fitted = _chain_surfaces(spark, sf)
+    near = vols.where("abs(k) <= 1e0 * model_iv * sqrt(T)").groupBy("surface_id").count()
+    many = near.where(F.col("count") >= MANY)
+    grid = surfaces.local_vol_grid(fitted.join(many, "surface_id", "left_semi"), *CHAIN_GRID)
     return grid.select("surface_id", "T", "k", r6("local_vol", "local_vol", 3), "reason")
 
 
+@query
+def chain_to_local_vol_all(spark, sf):
+    """The same for every underlier of the chain, with the status of its fit."""
+    _, fitted = _chain_surfaces(spark, sf)
+    grid = surfaces.local_vol_grid(fitted, *CHAIN_GRID)
+    return grid.select("surface_id", "status", "T", "k", r6("local_vol", "local_vol", 3), "reason")
+
+
 @query
 def call_vol_report(spark, sf):
     """Mid, moneyness and vol of the first five calls of every underlier, by the plain iteration."""
