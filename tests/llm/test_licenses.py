@@ -51,3 +51,27 @@ def test_scan(spark):
     assert got.pop(14) == [("MIT", 1.0, 5)] * 4
     assert not got
     assert licenses.scan(docs_of(spark, [])).count() == 0
+
+
+def test_near_misses(spark):
+    gpl = licenses.TEMPLATES["GPL-3.0"][1]
+    cases = [
+        ("Released under the BSD License.", []),
+        ("Licensed under the Mozilla Public License, Version 2.0.", ["MPL-2.0"]),
+        ("Licensed under the Eclipse Public License, Version 2.0.", []),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("This work is licensed under the GNU Library General Public License, version 3.", []),
+        (gpl, ["GPL-3.0"]), (gpl.replace("version 3", "version 2"), ["GPL-2.0"]),
+        (gpl.replace("GNU General", "GNU Affero General"), ["AGPL-3.0"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+        ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY-NC 3.0.", []),
+        (licenses.TEMPLATES["BSD-2-Clause"][0], ["BSD-2-Clause"]),
+        (licenses.TEMPLATES["BSD-3-Clause"][1], ["BSD-3-Clause"]),
+        ("Released under the BSD License. Released under the MIT License.", ["MIT"]),
+    ]
+    got = {}
+    for r in licenses.scan(docs_of(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert [got.get(i, []) for i in range(len(cases))] == [want for _, want in cases]
