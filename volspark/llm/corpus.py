@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
+def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
+    """Batches (key, text as bytes) cut so that a slice holds about ``most`` bytes, or one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps.
 
