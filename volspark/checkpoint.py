@@ -1,6 +1,7 @@
 """Reliable checkpoints for iterative jobs."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` materialised in the checkpoint folder, with its lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, where the driver and all executors read and write. It
+    stays until whoever owns ``spark.checkpoint.dir`` clears it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

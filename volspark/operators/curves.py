@@ -4,6 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .intervals import interval_lookup
 from .ordered import time_bucket, with_neighbours
@@ -15,10 +16,13 @@ def validate_curve(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> Dat
     """Curves whose tenors, in ``seq`` order, are not strictly increasing or are missing.
 
     A NULL tenor is a violation of its own, and the next one is compared with the last before it.
-    ``seq`` is the row position carried as a column. Output: keys, ``violations`` (offending rows)
-    and ``rows``; an empty result means every curve is valid.
+    ``seq`` is the row position carried as a column, a number or a ``file_position``. Output: keys,
+    ``violations`` (offending rows) and ``rows``; an empty result means every curve is valid.
     """
-    bucket = F.floor(F.col("seq") / F.lit(SEQ_PER_BUCKET))
+    if isinstance(rates.schema["seq"].dataType, T.StructType):
+        bucket = F.struct("seq.file", "seq.block", F.floor(F.col("seq.line") / SEQ_PER_BUCKET).alias("line"))
+    else:
+        bucket = F.floor(F.col("seq") / F.lit(SEQ_PER_BUCKET))
     known = rates.where("tenor is not null")
     checked = with_neighbours(known, keys, "seq", bucket, previous="tenor")
     missing = rates.where("tenor is null").select(*keys, "tenor", F.col("tenor").alias("previous"))
@@ -42,6 +46,12 @@ def sound_curves(
     return rates.join(report.select(*keys), list(keys), "left_anti"), report
 
 
+def marked_curves(rates: DataFrame, keys: Sequence[str] = ("curve_id",)) -> DataFrame:
+    """``rates`` with ``sound``: whether the curve passes ``validate_curve``."""
+    bad = validate_curve(rates, keys).select(*keys, F.lit(True).alias("_bad"))
+    return rates.join(bad, list(keys), "left").selectExpr(*rates.columns, "_bad is null as sound")
+
+
 def curve_snapshot(
     history: DataFrame, tenors: Mapping[str, float], keys: Sequence[str] = ("curve_id",)
 ) -> DataFrame:

@@ -30,7 +30,8 @@ def expiry_forwards(
     table of expiries and not on the quotes.
     """
     join_keys = list(dict.fromkeys([*keys, *curve_keys]))
-    segments = curve_segments(rates, curve_keys)
+    known = rates.where("sound") if "sound" in rates.columns else rates
+    segments = curve_segments(known, curve_keys)
     slices = quotes.select(*join_keys, "T").distinct()
     slices = slices.join(spots.select(*keys, "spot"), list(keys), "left")
     slices = zero_rate(slices, segments, "T", curve_keys, "r")
@@ -50,11 +51,18 @@ def enrich_quotes(
     """Quotes with spot, r, df, pv_div, forward, mid, k = ln(K/F) and status.
 
     No quote is lost: status is ok, no_spot or no_curve (no spot or no curve for the quote's
-    market), no_maturity (no T), and what depends on the missing part is NULL. ``keys`` identify a market (say underlier and date) and ``curve_keys`` its curve; quotes and
-    dividends carry both. Quotes move at most once, to meet their expiry slice.
+    market), invalid_curve (a curve that ``rates`` marks as not ``sound``), no_maturity (no T), and
+    what depends on the missing part is NULL. ``keys`` identify a market (say underlier and date)
+    and ``curve_keys`` its curve; quotes and dividends carry both. Quotes move at most once, to
+    meet their expiry slice.
     """
     join_keys = list(dict.fromkeys([*keys, *curve_keys, "T"]))
     slices = expiry_forwards(quotes, spots, rates, dividends, keys, curve_keys)
+    no_curve = "'no_curve'"
+    if "sound" in rates.columns:
+        unsound = rates.where("not sound").select(*curve_keys, F.lit(True).alias("_unsound")).distinct()
+        slices = slices.join(unsound, list(curve_keys), "left")
+        no_curve = "if(_unsound, 'invalid_curve', 'no_curve')"
     return (
         quotes.join(slices, join_keys, "left")
         .withColumn("mid", mid())
@@ -63,7 +71,8 @@ def enrich_quotes(
             "status",
             F.expr(
                 "case when T is null then 'no_maturity' when spot is null then 'no_spot' "
-                "when r is null then 'no_curve' else 'ok' end"
+                f"when r is null then {no_curve} else 'ok' end"
             ),
         )
+        .drop("_unsound")
     )

@@ -218,6 +218,58 @@ select * from typed
 where strike is not null and T is not null and bid > 0 and not isnan(bid) and ask > 0
   and not isnan(ask) and volume is not null and open_interest is not null"""
 
+ORACLES["chain_rejects"] = """
+with text as (select (l_linenumber % 2 = 0) as side, cast(l_quantity as int) as qty from lineitem),
+judged as (
+  select side, case when qty = 13 then 'malformed_strike' when qty%10 = 0 or qty = 7 then 'malformed_bid'
+    when qty = 23 then 'malformed_volume' when qty = 29 then 'malformed_openInterest'
+    when qty in (9, 17) then 'one_sided' end as cause from text)
+select side, cause, count(*) as rows from judged where cause is not null group by 1, 2"""
+
+FOLDER = f"""
+listed as (
+  select 'S' || l_suppkey as underlier, (l_linenumber % 2 = 0) as is_call, trunc(l_quantity*7)/365e0 as T,
+    case when l_returnflag = 'R' then 'american' else 'european' end as exercise,
+    case when l_returnflag = 'R' then 'A' else 'e' end as written,
+    trunc(l_extendedprice)+0e0 as strike, 1e0+l_discount as bid, 2e0+l_tax as ask,
+    cast(l_quantity as int) as volume, cast(l_linenumber as int) as open_interest,
+    cast(l_orderkey*8+l_linenumber as varchar) as row
+  from lineitem where l_linenumber < 5)"""
+
+ORACLES["market_folder"] = f"""
+with {RATES}, {FOLDER},
+paid as (select d/365.25e0 as T from (values (1), (92), (183), (274)) v(d)),
+discounted as (select T, exp(-T*zero) as df from (select T, {rate_at("0", "paid.T")} as zero from paid) p),
+slices as (
+  select T, exp(-T*r) as df, coalesce((select sum(df) from discounted d where d.T <= t.T), 0e0) as coupons
+  from (select T, {rate_at("0", "l.T")} as r from (select distinct T from listed) l) t),
+enriched as (
+  select l.*, 1e2+length(underlier) as spot, (1e0+length(underlier)/8e0)*coupons as pv_div, df
+  from listed l join slices using (T))
+select underlier, is_call, strike, {r("T", "T", 8)}, exercise, bid, ask, volume, open_interest, spot,
+  {r("pv_div", "pv_div")}, {r("(spot-pv_div)/df", "forward", 5)}, 'ok' as status
+from enriched"""
+
+ORACLES["first_calls_in_file"] = f"""
+with {FOLDER}
+select underlier, row_number() over (partition by underlier
+    order by T, strike, written, bid, ask, row) as rank,
+  strike, {r("T", "T", 8)}, exercise, bid, ask, volume, open_interest
+from listed where is_call qualify rank <= 5"""
+
+ORACLES["curve_file_validate"] = """
+with nodes as (
+  select cast(o_custkey%97 as int) as curve_id, o_orderkey as seq,
+    case when o_custkey%97%7 = 3 and o_orderkey%50 = 1 then null
+      when o_custkey%97%5 = 2 and o_orderkey%20 = 3 then 1e-3 else o_orderkey/36e1 end as tenor
+  from orders),
+marked as (
+  select *, lag(tenor ignore nulls) over (partition by curve_id order by seq) as before from nodes),
+judged as (
+  select curve_id, case when tenor is null or tenor <= before then 1 else 0 end as bad from marked)
+select curve_id, cast(sum(bad) as bigint) as violations, count(*) as rows
+from judged group by 1 having sum(bad) > 0"""
+
 ORACLES["spot_latest"] = """
 select underlier, "asof", spot from (
   select l_partkey as underlier, cast(l_shipdate as date) as "asof", l_extendedprice as spot,

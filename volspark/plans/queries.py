@@ -5,13 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..checkpoint import checkpointed
+from ..checkpoint import checkpointed, scratch_folder
 from ..functions import black, local_vol, quotes as quote_columns, ssvi
 from ..functions.dates import parse_date, year_frac
 from ..functions.normal import norm_cdf, norm_pdf
 from ..operators import book, calibrate, chain, curves, dividends, implied, snapshot, surfaces
 from ..sources import chain as chain_source
-from ..sources.market import future_dividends
+from ..sources.folder import write_market
+from ..sources.market import CALL_FILE, future_dividends, read_market, read_rates, underlier_of
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,44 @@ def chain_scan(spark, sf):
     return chain_source.parse_chain(tables.chain_text(spark, sf), F.col("side"), ("underlier",))
 
 
+@query
+def chain_rejects(spark, sf):
+    """Lines that the chain reader drops, by cause and side."""
+    rejects = chain_source.chain_rejects(tables.chain_text(spark, sf), ("side",))
+    return chain_source.reject_report(rejects, ("side",))
+
+
+def _written_market(spark, sf) -> str:
+    """The path of a market folder with the chain, spots, curve and dividends of all suppliers."""
+    folder = scratch_folder(spark, "market")
+    curve = tables.rates(spark, sf).where("curve_id = 0").select("tenor", "rate")
+    write_market(
+        folder, tables.folder_quotes(spark, sf), tables.folder_spots(spark, sf), curve,
+        tables.folder_dividends(spark, sf),
+    )
+    return folder
+
+
+@query
+def market_folder(spark, sf):
+    """A market folder written and read back: its quotes, enriched."""
+    market = read_market(spark, _written_market(spark, sf), tables.ASOF)
+    return snapshot.enrich_quotes(*market).select(
+        "underlier", "is_call", "strike", r6("T", "T", 8), "exercise", "bid", "ask", "volume",
+        "open_interest", "spot", r6("pv_div", "pv_div"), r6("forward", "forward", 5), "status",
+    )
+
+
+@query
+def first_calls_in_file(spark, sf):
+    """The first five good calls of every chain file, in the order of its lines."""
+    path = f"{_written_market(spark, sf)}/*{CALL_FILE}"
+    calls = chain_source.read_chain(spark, path, True, ("position",))
+    calls = calls.withColumn("underlier", underlier_of("position.file", CALL_FILE))
+    first = chain.first_n(calls, 5, ("position",), ("underlier",))
+    return first.select("underlier", "rank", "strike", r6("T", "T", 8), "exercise", "bid", "ask", "volume", "open_interest")
+
+
 @query
 def spot_latest(spark, sf):
     history = tables.load(spark, sf, "lineitem").select(
@@ -70,6 +109,16 @@ def curve_validate(spark, sf):
     return curves.validate_curve(nodes)
 
 
+@query
+def curve_file_validate(spark, sf):
+    """Curves written to a file each, in the order of their nodes, and checked as they are read."""
+    folder = scratch_folder(spark, "curves")
+    nodes = tables.curve_nodes(spark, sf).repartition("curve_id").sortWithinPartitions("curve_id", "seq")
+    nodes.drop("seq").write.partitionBy("curve_id").option("header", True).csv(folder)
+    rates = read_rates(spark, f"{folder}", ("curve_id",))
+    return curves.validate_curve(rates).select(F.col("curve_id").cast("int").alias("curve_id"), "violations", "rows")
+
+
 @query
 def dividends_future(spark, sf):
     future = future_dividends(tables.paid_dividends(spark, sf), tables.ASOF)

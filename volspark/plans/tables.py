@@ -175,3 +175,46 @@ def chain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when qty <> 29 then string(l_linenumber) end as openInterest",
         "cast(null as string) as impliedVolatility",
     )
+
+
+def folder_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of a market folder with an underlier per supplier: columns of a chain file, some
+    of them malformed, and ``row``, the key of the line item (as lastPrice in the file)."""
+    return load(spark, sf_dir, "lineitem").selectExpr(
+        "concat('S', l_suppkey) as underlier",
+        "l_linenumber % 2 = 0 as is_call",
+        f"date_add(date '{ASOF}', cast(l_quantity * 7 as int)) as expiration",
+        "cast(l_quantity * 7 as int) / 365e0 as T",
+        "if(l_returnflag = 'R', 'American', 'european') as exerciseType",
+        "if(l_linenumber = 5, 'n/a', string(cast(l_extendedprice as int))) as strike",
+        "if(l_linenumber = 6, 0e0, 1e0 + l_discount) as bid",
+        "2e0 + l_tax as ask",
+        "l_orderkey * 8 + l_linenumber as lastPrice",
+        "cast(l_quantity as int) as volume",
+        "if(l_linenumber = 7, null, l_linenumber) as openInterest",
+    )
+
+
+def folder_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of spots per supplier."""
+    return load(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', s_suppkey) as underlier", f"explode(sequence(date '{ASOF}', date '{ASOF}' + 1)) as date"
+    ).selectExpr("underlier", "date", f"1e2 + datediff(date, date '{ASOF}') + length(underlier) as spot")
+
+
+def folder_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', s_suppkey) as underlier", f"explode(sequence(date '{ASOF}' - 90, date '{ASOF}' + 300, interval 91 days)) as Date"
+    ).selectExpr("underlier", "Date", "1e0 + length(underlier) / 8e0 as amount")
+
+
+def curve_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of 97 curves in the order of ``seq``: every fifth curve steps back at times, and every
+    seventh lacks tenors."""
+    return load(spark, sf_dir, "orders").selectExpr(
+        "cast(o_custkey % 97 as int) as curve_id",
+        "o_orderkey as seq",
+        "case when o_custkey % 97 % 7 = 3 and o_orderkey % 50 = 1 then null "
+        "when o_custkey % 97 % 5 = 2 and o_orderkey % 20 = 3 then 1e-3 else o_orderkey / 36e1 end as tenor",
+        "2e-2 + o_custkey % 97 * 1e-4 as rate",
+    )

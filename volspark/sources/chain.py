@@ -1,10 +1,11 @@
-"""Option-chain files: CSV, positional, header skipped, bad lines dropped."""
+"""Option-chain files: CSV, positional, header skipped, bad lines dropped, counted or kept apart."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quotes import has_exercise, is_two_sided
+from .positions import file_position
 
 # Column order of a chain file.
 CHAIN_COLUMNS = (
@@ -53,11 +54,44 @@ def parse_chain(raw: DataFrame, is_call: bool | Column, keep: tuple[str, ...] =
     )
 
 
-def read_chain(
-    spark: SparkSession, path, is_call: bool | Column, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Read chain CSV files. Partition directories (``underlier=…/asof=…``) become columns;
-    name them in ``keep`` to carry them along."""
+# The columns that must be numbers, in file order, and the cause of what is left without a market.
+NUMBERS = ("T", "strike", "bid", "ask", "volume", "openInterest")
+ONE_SIDED = "one_sided"
+
+
+def reject_cause() -> Column:
+    """Why ``parse_chain`` drops a row of text columns: ``malformed_<column>`` for the first column
+    that is not a number, else ``one_sided`` where bid or ask is not above zero; NULL if it stays."""
+    cause = F.when(_number("T").isNull(), f"malformed_{NUMBERS[0]}")
+    for name in NUMBERS[1:]:
+        value = _count(name) if name in ("volume", "openInterest") else _number(name)
+        cause = cause.when(value.isNull(), f"malformed_{name}")
+    return cause.when((_number("bid") <= 0) | (_number("ask") <= 0), ONE_SIDED)
+
+
+def chain_rejects(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that ``parse_chain`` drops, as they were read, with their ``cause``."""
+    return raw.select(*keep, *CHAIN_COLUMNS, reject_cause().alias("cause")).where("cause is not null")
+
+
+def reject_report(rejects: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per cause (and key)."""
+    return rejects.groupBy(*keys, "cause").agg(F.count("*").alias("rows"))
+
+
+def observed_chain(
+    raw: DataFrame, is_call: bool | Column, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, Observation]:
+    """``parse_chain``, and an observation that holds, once an action has run over the quotes, the
+    rows read (``rows``) and the rows dropped for each cause. It costs no pass of its own."""
+    seen = Observation()
+    causes = [f"malformed_{name}" for name in NUMBERS] + [ONE_SIDED]
+    counts = [F.count_if(F.coalesce(reject_cause() == c, F.lit(False))).alias(c) for c in causes]
+    return parse_chain(raw.observe(seen, F.count("*").alias("rows"), *counts), is_call, keep), seen
+
+
+def read_chain_text(spark: SparkSession, path, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The lines of chain CSV files as text columns, with their ``position`` in the files."""
     schema = T.StructType(CHAIN_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in keep])
     raw = (
         spark.read.schema(schema)
@@ -65,4 +99,13 @@ def read_chain(
         .option("enforceSchema", True)
         .csv(path)
     )
-    return parse_chain(raw, is_call, keep)
+    return raw.select("*", file_position().alias("position"))
+
+
+def read_chain(
+    spark: SparkSession, path, is_call: bool | Column, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Read chain CSV files. Partition directories (``underlier=…/asof=…``) become columns;
+    name them in ``keep`` to carry them along, and ``position`` to have the order of the files."""
+    named = tuple(c for c in keep if c != "position")
+    return parse_chain(read_chain_text(spark, path, named), is_call, keep)

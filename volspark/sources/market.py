@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date, year_frac
+from ..operators.curves import marked_curves, validate_curve
 from ..operators.snapshot import latest_spot
 from .chain import CHAIN_SCHEMA, parse_chain
+from .positions import file_position
 
 # Endings of the files of a market folder and the name of its curve.
 SPOT_FILE, DIVIDEND_FILE = "_spot.csv", "_dividends.csv"
@@ -37,11 +39,13 @@ def read_spots(spark: SparkSession, path, keep: tuple[str, ...] = ()) -> DataFra
 
 
 def read_rates(spark: SparkSession, path, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``tenor,rate`` files to (tenor, rate). Fails the job on text that is not a number."""
+    """``tenor,rate`` files to (tenor, rate, seq), ``seq`` being the place in the file. Fails the
+    job on text that is not a number."""
     extra = "".join(f", {c} string" for c in keep)
     raw = _read_text(spark, path, "tenor string, rate string" + extra)
     return raw.select(
-        *keep, F.col("tenor").cast("double").alias("tenor"), F.col("rate").cast("double").alias("rate")
+        *keep, F.col("tenor").cast("double").alias("tenor"),
+        F.col("rate").cast("double").alias("rate"), file_position().alias("seq"),
     )
 
 
@@ -69,27 +73,38 @@ def future_dividends(paid: DataFrame, asof: Column | str) -> DataFrame:
 
 
 class Market(NamedTuple):
-    """Tables of one valuation date, in the order ``enrich_quotes`` takes them."""
+    """Tables of one valuation date, in the order ``enrich_quotes`` takes them. ``rates`` tells in
+    ``sound`` whether the tenors of the curve rise; quotes of a curve that is not sound get the
+    status invalid_curve."""
 
     quotes: DataFrame
     spots: DataFrame
     rates: DataFrame
     dividends: DataFrame
 
+    def curve_report(self) -> DataFrame:
+        """The curves whose tenors do not rise, as ``validate_curve`` lists them."""
+        return validate_curve(self.rates)
+
+
+def underlier_of(path: str, ending: str) -> Column:
+    """The underlier from the path of a file, or of a part of it."""
+    return F.regexp_extract(path, f"([^/]*){ending}(/[^/]*)?$".replace(".", "\\."), 1)
+
 
 def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
     """All underliers of a folder with ``<underlier>_calls.csv``, ``_puts.csv``, ``_spot.csv`` and
     ``_dividends.csv`` files and one ``treasury_rates.csv``.
 
     A spot file may hold a history: the last spot up to ``asof`` counts. Each kind of file is one
-    scan; the underlier is taken from the file name. A folder without
+    scan; the underlier is taken from the file name. In place of a file there may be a folder of
+    that name with its parts. A folder without
     any file of a kind fails when it is read, except dividends, which may be absent for some.
     """
 
     def named(ending: str, schema) -> DataFrame:
         files = spark.read.schema(schema).option("header", True).csv(f"{folder}/*{ending}")
-        name = F.regexp_extract("_metadata.file_name", f"^(.*){ending}$", 1)
-        return files.withColumn("underlier", name)
+        return files.withColumn("underlier", underlier_of("_metadata.file_path", ending))
 
     sides = [
         parse_chain(named(ending, CHAIN_SCHEMA), is_call, ("underlier",))
@@ -108,6 +123,6 @@ def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
     return Market(
         sides[0].unionByName(sides[1]).select("*", curve),
         latest_spot(known).select("underlier", "spot"),
-        read_rates(spark, f"{folder}/{RATE_FILE}").select("*", curve),
+        marked_curves(read_rates(spark, f"{folder}/{RATE_FILE}").select("*", curve)),
         future_dividends(paid, asof).select("*", curve),
     )
