@@ -158,6 +158,48 @@ def test_sse_and_best_candidate_match_brute_force(spark, monkeypatch):
         assert r.sse == pytest.approx(min(want[r.surface_id]), rel=1e-9)
 
 
+def test_candidates_that_drop_out_early_are_no_better():
+    rng = np.random.default_rng(8)
+    sets = [(rng.uniform(-0.9, 0.9), rng.uniform(0.2, 3), rng.choice([0.2, 0.4, 0.7]), rng.choice([0.03, 0.1])) for _ in range(60)]
+    sets += sets[:5]  # equal sets tie
+    count = rng.integers(1, 60, 300)
+    owner = np.repeat(np.arange(300), count)
+    k, T = rng.uniform(-0.6, 0.6, owner.size), rng.uniform(0.02, 2, owner.size)
+    params = [rng.choice([s[i] for s in sets], 300)[owner] for i in range(4)]
+    iv = ssvi.vol(ssvi.smile(k, T, *params, ARRAY), ARRAY) + rng.normal(0, 0.01, owner.size)
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    chosen = surfaces.Candidates(sets)
+    for weight in (rng.uniform(0, 2, owner.size), rng.uniform(-1, 2, owner.size)):
+        want = np.empty((300, len(sets)))
+        for i, p in enumerate(sets):
+            miss = ssvi.vol(ssvi.smile(k, T, *p, ARRAY), ARRAY) - iv
+            want[:, i] = np.add.reduceat(weight * miss * miss, first)
+            if not ssvi.arb_free(*map(np.float64, p[:3]), ARRAY):
+                want[:, i] = surfaces.PENALTY
+        sse, best = chosen.best(T, k, iv, weight, first)
+        assert (best == want.argmin(axis=1)).all()
+        assert np.allclose(sse, want.min(axis=1), rtol=1e-9, atol=1e-14)
+    assert (best < 60).all() and len(set(best)) > 20
+
+
+def test_large_surfaces_start_near_the_end(spark, monkeypatch):
+    """A surface in many slices, and one whose first slice cannot be fitted, end where a whole fit ends."""
+    monkeypatch.setattr(calibrate, "SLICE_ROWS", 40)
+    rng = np.random.default_rng(5)
+    frames = []
+    for name, n in (("many", 700), ("few", 5)):
+        k, T = rng.uniform(-0.5, 0.5, n), rng.uniform(0.05, 2, n)
+        iv = ssvi.vol(ssvi.smile(k, T, -0.4, 0.8, 0.3, 0.05, ARRAY), ARRAY) + rng.normal(0, 2e-3, n)
+        frames.append(pd.DataFrame({"surface_id": name, "T": T, "k": k, "iv": iv}))
+    quotes = pd.concat(frames)
+    fit = calibrate.calibrate_ssvi(spark.createDataFrame(quotes), max_rows=0).toPandas().set_index("surface_id")
+    whole = calibrate.fit_bundle(quotes.rename(columns={"surface_id": "surface"}).assign(weight=1.0)).set_index("surface")
+    assert fit.status["many"] == "ok" and fit.iterations["many"] <= whole.iterations["many"]
+    for name in fit.index[fit.status == "ok"]:
+        assert np.allclose(fit.loc[name, list(ssvi.PARAMS)].astype(float), whole.loc[name, list(ssvi.PARAMS)].astype(float), atol=1e-4)
+    assert fit.status["few"] == whole.status["few"]
+
+
 def test_fit_beyond_the_wing_limit_is_no_worse_than_a_feasible_search():
     """Noisy quotes of surfaces beyond eta (1 + |rho|) = 4; most fits end on the limit."""
     rng = np.random.default_rng(17)

@@ -1,0 +1,74 @@
+"""Snapshots of many dates against a plain look-up per quote."""
+
+import datetime as dt
+import random
+
+import numpy as np
+
+from volspark.operators import history
+
+D = dt.date(2024, 1, 1)
+
+
+def day(n):
+    return D + dt.timedelta(days=n)
+
+
+def test_last_day_matches_a_plain_search(spark):
+    rng = random.Random(1)
+    known = {k: sorted(rng.sample(range(900), n)) for k, n in (("hot", 300), ("cold", 3), ("none", 0))}
+    asked = [(k, rng.randrange(-20, 950)) for k in known for _ in range(400)]
+    points = spark.createDataFrame([(k, day(n)) for k, n in asked] + [("hot", None)], "key string, asof date")
+    rows = spark.createDataFrame([(k, day(n), 1) for k in known for n in known[k] * 2], "key string, asof date, x int")
+    got = {(r.key, r.asof): r.day for r in history.last_day(points, rows, ("key",)).collect()}
+    want = {(k, day(n)): max((day(d) for d in known[k] if d <= n), default=None) for k, n in asked}
+    assert got == want
+
+
+def test_quotes_of_many_dates_match_a_plain_look_up(spark):
+    rng = random.Random(2)
+    curves = {c: {n: [(0.25, 0.01 + n * 1e-5), (1.0, 0.02 + n * 1e-5), (5.0, 0.03)] for n in days}
+              for c, days in (("usd", range(10, 900, 7)), ("eur", [400]))}
+    spots = {u: {n: 100.0 + n / 10 for n in days} for u, days in (("a", range(0, 900, 5)), ("b", range(300, 320)), ("c", []))}
+    paid = [(rng.choice("ab"), rng.randrange(-50, 3000), rng.uniform(0.1, 2)) for _ in range(200)]
+    quotes = [(i, rng.choice("abc"), rng.choice(["usd", "eur"]), rng.randrange(0, 1000), rng.choice([0.1, 0.5, 2.0, 9.0]))
+              for i in range(600)] + [(600, "a", "usd", 30, None), (601, "a", "usd", None, 0.5)]
+    got = history.enrich_dates(
+        spark.createDataFrame([(i, u, c, None if n is None else day(n), T, 100.0, 1.0, 2.0) for i, u, c, n, T in quotes],
+                              "id int, underlier string, curve_id string, asof date, T double, strike double, bid double, ask double"),
+        spark.createDataFrame([(u, day(n), s) for u in spots for n, s in spots[u].items()], "underlier string, asof date, spot double"),
+        spark.createDataFrame([(c, day(n), t, r) for c in curves for n, nodes in curves[c].items() for t, r in nodes],
+                              "curve_id string, asof date, tenor double, rate double"),
+        spark.createDataFrame([(u, day(n), a) for u, n, a in paid], "underlier string, pay_date date, amount double"),
+    ).collect()
+    assert sorted(r.id for r in got) == [q[0] for q in quotes]
+    by_id = {r.id: r for r in got}
+    assert by_id[600].status == "no_maturity" and by_id[601].status == "no_spot"
+    seen = set()
+    for i, u, c, n, T in quotes[:600]:
+        r = by_id[i]
+        spot_day = max((d for d in spots[u] if d <= n), default=None)
+        curve_day = max((d for d in curves[c] if d <= n), default=None)
+        assert r.spot_asof == (None if spot_day is None else day(spot_day))
+        assert r.curve_asof == (None if curve_day is None else day(curve_day))
+        status = "no_spot" if spot_day is None else "no_curve" if curve_day is None else "ok"
+        assert r.status == status
+        seen.add(status)
+        if status != "ok":
+            continue
+        rate = lambda t: np.interp(t, *zip(*curves[c][curve_day]))
+        times = [((m - n) / 365.25, a) for v, m, a in paid if v == u and m > n]
+        pv = sum(a * np.exp(-rate(t) * t) for t, a in times if t <= T)
+        assert abs(r.pv_div - pv) < 1e-9 and r.spot == spots[u][spot_day]
+        assert abs(r.forward - (r.spot - pv) * np.exp(rate(T) * T)) < 1e-8
+    assert seen == {"ok", "no_spot", "no_curve"}
+
+
+def test_empty_histories(spark):
+    quotes = spark.createDataFrame([("a", "usd", D, 0.5, 1.0, 1.0, 2.0)],
+                                   "underlier string, curve_id string, asof date, T double, strike double, bid double, ask double")
+    spots = spark.createDataFrame([], "underlier string, asof date, spot double")
+    rates = spark.createDataFrame([], "curve_id string, asof date, tenor double, rate double")
+    paid = spark.createDataFrame([], "underlier string, pay_date date, amount double")
+    assert [r.status for r in history.enrich_dates(quotes, spots, rates, paid).collect()] == ["no_spot"]
+    assert history.enrich_dates(quotes.limit(0), spots, rates, paid).count() == 0

@@ -65,6 +65,13 @@ def vol(s, m=INLINE):
     return m.sqrt(s.w / s.T)
 
 
+def vol_at(unit, k, rho, eta, nu, m=INLINE):
+    """``vol`` from ``unit``, the phi of eta = 1, which sets of the same gam and nu share."""
+    skew = eta * unit * k
+    shifted = skew + rho
+    return m.sqrt(0.5 * nu * (1.0 + rho * skew + m.sqrt(shifted * shifted + (1.0 - rho * rho))))
+
+
 def vol_jacobian(s, m=INLINE):
     """(iv, d iv / d rho, d eta, d gam, d nu) from the chain rule on w."""
     iv, through_phi = m.let(vol(s, m), slope_in_phi(s) * s.phi)

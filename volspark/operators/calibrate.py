@@ -212,49 +212,67 @@ def _frame_of(ids, state: SimpleNamespace) -> pd.DataFrame:
     return pd.DataFrame({"surface": ids, **columns})
 
 
+def first_points(spread: DataFrame, max_iterations: int) -> DataFrame:
+    """(surface, start): the fit to a bounded part of each surface, slice 0, where it converged."""
+    part = spread.where("slice = 0").select("surface", "T", "k", "iv", "weight")
+    fitted = fit_bundles(part, part.count(), max_iterations)
+    return fitted.where("status = 'ok'").select("surface", F.array(*PARAMS).alias("start"))
+
+
 def fit_large(points: DataFrame, max_iterations: int) -> DataFrame:
     """Fit surfaces of any size, one aggregation over all tasks per iteration.
 
     Copies of a quote collapse into its weight first. The quotes are then spread by (surface,
-    slice) once and kept on the executors' disks in that layout (a lost part is made again from
-    the checkpointed input); an iteration moves only the state, a row per surface and slice, and
-    the partial sums.
+    slice), a surface in as many slices as its own size asks for, and kept on the executors' disks
+    in that layout (a lost part is made again from the checkpointed input); an iteration moves only
+    the state, a row per surface and slice, and the partial sums.
+
+    Slice 0 of a surface, a part of it by hash and of bounded size, is fitted in a task at first.
+    That point is close to the end already, so the whole surface needs few passes from there.
+    Whether it has converged is decided on all of its quotes.
     """
     spark = points.sparkSession
     surface = points.schema["surface"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    largest = points.groupBy("surface").count().agg(F.max("count")).first()[0] or 0
-    slices = max(1, -(-largest // SLICE_ROWS))
-    slice_of = F.pmod(F.xxhash64("T", "k", "iv"), F.lit(slices)).cast("int")
+    sizes = points.groupBy("surface").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices"))
+    sizes = checkpointed(sizes)
     spread = (
         points.groupBy("surface", "T", "k", "iv")
         .agg(F.sum("weight").alias("weight"))
-        .withColumn("slice", slice_of)
+        .join(sizes, "surface")
+        .withColumn("slice", F.pmod(F.xxhash64("T", "k", "iv"), F.col("slices")).cast("int"))
+        .drop("slices")
         .repartition(parts, "surface", "slice")
         .persist(StorageLevel.DISK_ONLY)
     )
 
     def begin(frames):
         for frame in filter(len, frames):
-            yield _frame_of(frame["surface"], start_state(len(frame)))
+            state = start_state(len(frame))
+            known = frame["start"].notna().to_numpy()
+            if known.any():
+                state.x[known] = np.stack(frame["start"][known].to_list())
+                state.trial[known] = state.x[known]
+            yield _frame_of(frame["surface"], state).assign(slices=frame["slices"])
 
     def step(frames):
         for frame in filter(len, frames):
             state = _state_of(frame.drop(columns="sse").rename(columns={"best": "sse"}))
             sums = frame.loc[state.active, SUMS].to_numpy(dtype=np.float64)
             advance(state, sums, max_iterations)
-            yield _frame_of(frame["surface"], state)
+            yield _frame_of(frame["surface"], state).assign(slices=frame["slices"])
 
     def finish(frames):
         for frame in filter(len, frames):
             yield _fit_frame(frame["surface"], _state_of(frame))
 
-    schema = f"surface {surface}, {STATE}"
-    state = checkpointed(spread.select("surface").distinct().mapInPandas(begin, schema))
+    schema = f"surface {surface}, {STATE}, slices int"
+    starts = sizes.join(first_points(spread, max_iterations), "surface", "left")
+    state = checkpointed(starts.mapInPandas(begin, schema))
     while not state.where("active").isEmpty():
         asked = state.where("active").selectExpr(
             "surface", *[f"trial[{i}] as {name}" for i, name in enumerate(PARAMS)],
-            f"explode(sequence(0, {slices - 1})) as slice",
+            "explode(sequence(0, slices - 1)) as slice",
         )
         asked = asked.repartition(parts, "surface", "slice")
         m = Staged(spread.join(asked.hint("shuffle_hash"), ["surface", "slice"]))

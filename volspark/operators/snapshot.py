@@ -58,21 +58,29 @@ def enrich_quotes(
     """
     join_keys = list(dict.fromkeys([*keys, *curve_keys, "T"]))
     slices = expiry_forwards(quotes, spots, rates, dividends, keys, curve_keys)
-    no_curve = "'no_curve'"
-    if "sound" in rates.columns:
-        unsound = rates.where("not sound").select(*curve_keys, F.lit(True).alias("_unsound")).distinct()
-        slices = slices.join(unsound, list(curve_keys), "left")
-        no_curve = "if(_unsound, 'invalid_curve', 'no_curve')"
+    return attach_slices(quotes, mark_unsound(slices, rates, curve_keys), join_keys)
+
+
+def mark_unsound(slices: DataFrame, rates: DataFrame, curve_keys: Sequence[str]) -> DataFrame:
+    """``slices`` with ``unsound``: whether ``rates`` marks the curve as not ``sound``."""
+    if "sound" not in rates.columns:
+        return slices.withColumn("unsound", F.lit(False))
+    bad = rates.where("not sound").select(*curve_keys, F.lit(True).alias("unsound")).distinct()
+    return slices.join(bad, list(curve_keys), "left")
+
+
+def attach_slices(quotes: DataFrame, slices: DataFrame, join_keys: Sequence[str]) -> DataFrame:
+    """Quotes with the columns of their expiry slice, mid, k and status."""
     return (
-        quotes.join(slices, join_keys, "left")
+        quotes.join(slices, list(join_keys), "left")
         .withColumn("mid", mid())
         .withColumn("k", log_moneyness("strike", "forward"))
         .withColumn(
             "status",
             F.expr(
                 "case when T is null then 'no_maturity' when spot is null then 'no_spot' "
-                f"when r is null then {no_curve} else 'ok' end"
+                "when unsound then 'invalid_curve' when r is null then 'no_curve' else 'ok' end"
             ),
         )
-        .drop("_unsound")
+        .drop("unsound")
     )

@@ -7,26 +7,35 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoint import checkpointed
 from ..functions.backend import ARRAY, sql
 from ..functions.local_vol import with_local_vol
-from ..functions.ssvi import PARAMS, smile, ssvi_arb_free, vol, with_ssvi_iv
+from ..functions.ssvi import PARAMS, arb_free, smile, ssvi_arb_free, vol, vol_at, with_ssvi_iv
 
 # Fixed value: objective of a parameter set that violates the no-arbitrage condition.
 PENALTY = 1e6
 
 SLICE_ROWS = 20_000  # rows of one key that a task may be asked to take
+SCREENED = 6  # quotes of a surface on which all candidates are tried first
+PAIRS_TOGETHER = 50_000  # surfaces and candidates whose remaining quotes are summed at a time
+ROUNDING = 1e-9  # by so much, relatively, sums in another order may differ
 
 
-def gather(rows: DataFrame, key: str, identity: Sequence[str]) -> DataFrame:
+def gather(rows: DataFrame, key: str, identity: Sequence[str]) -> tuple[DataFrame, bool]:
     """Bring the rows of a key together, but a key with many rows in slices of bounded size.
 
-    ``identity`` names the columns that tell the rows of a key apart; they decide the slice.
+    ``identity`` names the columns that tell the rows of a key apart; they decide the slice. The
+    column added is ``slices``, the number of them. Also tells whether any key has more than one;
+    if none has, the rows move once and meet no join. ``rows`` is read twice.
     """
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_rows"))
-    slices = F.ceil(F.col("_rows") / SLICE_ROWS)
-    part = F.pmod(F.xxhash64(*identity), slices)
-    return rows.join(sizes, key).repartition(count, key, part).drop("_rows")
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices"))
+    large = checkpointed(sizes.where("slices > 1"))
+    if large.isEmpty():
+        return rows.withColumn("slices", F.lit(1)).repartition(count, key), False
+    placed = rows.join(large, key, "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    part = F.pmod(F.xxhash64(*identity), F.col("slices"))
+    return placed.repartition(count, key, part), True
 
 
 def literal_rows(names: Sequence[str], rows) -> str:
@@ -92,27 +101,103 @@ def ssvi_sse(
     return sums.select(key, "param_id", sse.alias("sse"))
 
 
-def _candidate_errors(candidates: Sequence[Sequence[float]]):
-    """A row per surface and batch with the weighted squared error of every candidate."""
+class Candidates:
+    """Weighted squared errors of parameter sets over quotes that are sorted by surface.
+
+    Sets with the same gam and nu share the costly part of the smile.
+    """
+
+    def __init__(self, sets: Sequence[Sequence[float]]):
+        self.sets = np.asarray(sets, dtype=np.float64).reshape(-1, len(PARAMS))
+        self.groups: dict[tuple[float, float], list[int]] = {}
+        for i, (_, _, gam, nu) in enumerate(self.sets.tolist()):
+            self.groups.setdefault((gam, nu), []).append(i)
+        self.admissible = arb_free(*self.sets[:, :3].T, ARRAY)
+
+    def errors(self, T, k, iv, weight, first) -> np.ndarray:
+        """Sums of each surface (rows; ``first`` is where it begins) for each set (columns)."""
+        out = np.empty((len(first), len(self.sets)))
+        for (gam, nu), members in self.groups.items():
+            unit = smile(k, T, 0.0, 1.0, gam, nu, ARRAY).phi
+            for i in members:
+                miss = vol_at(unit, k, self.sets[i, 0], self.sets[i, 1], nu, ARRAY) - iv
+                out[:, i] = np.add.reduceat(weight * miss * miss, first)
+        return out
+
+    def errors_of(self, chosen, T, k, iv, weight, first) -> np.ndarray:
+        """Sums of each surface for one set each; ``chosen`` has it for every quote."""
+        rho, eta, gam, nu = self.sets[chosen].T
+        miss = vol(smile(k, T, rho, eta, gam, nu, ARRAY), ARRAY) - iv
+        return np.add.reduceat(weight * miss * miss, first)
+
+    def best(self, T, k, iv, weight, first) -> tuple[np.ndarray, np.ndarray]:
+        """Least error and position of its set, for each surface; ties go to the lower position.
+
+        Errors only grow from quote to quote. A few quotes far from the money, where sets differ
+        most, are taken first, for all sets; then the whole surface, for the set that leads. A set
+        that is worse on the few than the leader on all is out, and only the others are summed up.
+        """
+        count = np.diff(np.append(first, len(T)))
+        owner = np.repeat(np.arange(len(first)), count)
+        turn = np.lexsort((-np.abs(k) / np.sqrt(T), owner))
+        T, k, iv, weight = (v[turn] for v in (T, k, iv, weight))
+        few = np.minimum(count, SCREENED) if (weight >= 0).all() else count
+        early = np.arange(len(T)) - first[owner] < few[owner]
+        begin = np.cumsum(few) - few
+        partial = self.errors(*(v[early] for v in (T, k, iv, weight)), begin)
+        partial = np.where(np.isnan(partial), np.inf, partial)
+        partial[:, ~self.admissible] = PENALTY
+        rest, tail = count - few, ~early
+        T, k, iv, weight = (v[tail] for v in (T, k, iv, weight))
+        begin = np.cumsum(rest) - rest
+        more = rest > 0
+
+        def add(rows: np.ndarray, sets: np.ndarray) -> None:
+            """Bring the sums of ``sets`` at ``rows`` from the few quotes to all."""
+            sums = more[rows] & self.admissible[sets]
+            rows, sets = rows[sums], sets[sums]
+            for at in range(0, len(rows), PAIRS_TOGETHER):
+                r, c = rows[at : at + PAIRS_TOGETHER], sets[at : at + PAIRS_TOGETHER]
+                start = np.cumsum(rest[r]) - rest[r]
+                quote = np.arange(rest[r].sum()) - np.repeat(start - begin[r], rest[r])
+                quotes = (v[quote] for v in (T, k, iv, weight))
+                partial[r, c] += self.errors_of(np.repeat(c, rest[r]), *quotes, start)
+
+        rows = np.arange(len(first))
+        leader = partial.argmin(axis=1)
+        add(rows, leader)
+        limit = partial[rows, leader]
+        alive = partial <= (limit + ROUNDING * np.abs(limit))[:, None]
+        out = ~alive
+        alive[rows, leader] = False
+        add(*np.nonzero(alive))
+        partial[out] = np.inf
+        best = partial.argmin(axis=1)
+        return partial[rows, best], best
+
+
+def _candidate_scores(candidates: Candidates):
+    """A row for each surface that is here as a whole, with its best set; one with the errors of
+    all sets for each slice of a larger surface."""
 
     numbers = ["T", "k", "iv", "weight"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch.astype(dict.fromkeys(numbers, np.float64))
-            batch = batch[np.isfinite(batch[numbers]).all(axis=1) & (batch["T"] > 0)]
-            if batch.empty:
-                continue
-            codes, ids = pd.factorize(batch["surface"])
+        rows = pd.concat(list(batches) or [pd.DataFrame(columns=["surface", "slices", *numbers])])
+        rows = rows.astype(dict.fromkeys(numbers, np.float64))
+        rows = rows[np.isfinite(rows[numbers]).all(axis=1) & (rows["T"] > 0)]
+        for whole, part in rows.groupby(rows["slices"] == 1):
+            codes, ids = pd.factorize(part["surface"])
             order = np.argsort(codes, kind="stable")
-            T, k, iv, weight = (batch[c].to_numpy()[order] for c in numbers)
+            quotes = [part[c].to_numpy()[order] for c in numbers]
             first = np.flatnonzero(np.diff(codes[order], prepend=-1))
-            out = np.empty((len(ids), len(candidates)))
             with np.errstate(all="ignore"):
-                for i, candidate in enumerate(candidates):
-                    miss = vol(smile(k, T, *map(np.float64, candidate), ARRAY), ARRAY) - iv
-                    out[:, i] = np.add.reduceat(weight * miss * miss, first)
-            yield pd.DataFrame({"surface": ids, "errors": list(out)})
+                if whole:
+                    sse, best = candidates.best(*quotes, first)
+                    yield pd.DataFrame({"surface": ids, "sse": sse, "param_id": best, "errors": None})
+                else:
+                    errors = list(candidates.errors(*quotes, first))
+                    yield pd.DataFrame({"surface": ids, "sse": None, "param_id": None, "errors": errors})
 
     return run
 
@@ -125,24 +210,34 @@ def best_candidate(
 ) -> DataFrame:
     """Best of a list of (rho, eta, gam, nu) candidates for every surface.
 
-    The candidates travel with the function. Tasks hold quotes as arrays and sum the errors of a
-    surface for every candidate at once, so no quote is copied per candidate; a row per surface and
-    slice leaves them. For that the quotes of a surface are brought together first, a large surface
-    in slices. Ties go to the lower position. Quotes without a usable T, k, iv or weight do
-    not count, and a surface that has no other is left out.
+    The candidates travel with the function. The quotes of a surface are brought together, those of
+    a large surface in slices, and tasks hold them as arrays: no quote is copied per candidate. A
+    whole surface leaves its task as one row; candidates drop out early there, which is exact. The
+    slices of a large surface leave as sums for all candidates. Ties go to the lower position.
+    Quotes without a usable T, k, iv or weight do not count, and a surface that has no other is
+    left out. Copies of a quote collapse first, into a checkpoint that is made when the result is
+    built.
     """
     listed = literal_rows(PARAMS, candidates)
-    copies = quotes.groupBy(key, "T", "k", "iv").agg(F.sum(weight or F.lit(1.0)).alias("weight"))
-    base = gather(copies, key, ("T", "k", "iv")).select(F.col(key).alias("surface"), "T", "k", "iv", "weight")
-    kind = base.schema["surface"].dataType.simpleString()
-    errors = base.mapInPandas(_candidate_errors(candidates), f"surface {kind}, errors array<double>")
-    sums = (
-        errors.select(F.col("surface").alias(key), F.posexplode("errors").alias("param_id", "part"))
-        .groupBy(key, "param_id")
-        .agg(F.sum("part").alias("sum_sq"))
+    chosen = Candidates(candidates)
+    copies = checkpointed(quotes.groupBy(key, "T", "k", "iv").agg(F.sum(weight or F.lit(1.0)).alias("weight")))
+    kind = copies.schema[key].dataType.simpleString()
+    base, sliced = gather(copies, key, ("T", "k", "iv"))
+    base = base.select(F.col(key).alias("surface"), "slices", "T", "k", "iv", "weight")
+    scores = base.mapInPandas(
+        _candidate_scores(chosen), f"surface {kind}, sse double, param_id int, errors array<double>"
     )
-    sums = sums.withColumn("c", F.expr(f"element_at({listed}, param_id + 1)"))
-    admissible = ssvi_arb_free("c.rho", "c.eta", "c.gam")
-    sse = F.when(admissible, F.col("sum_sq")).otherwise(PENALTY)
-    best = sums.groupBy(key).agg(F.min(F.struct(sse.alias("sse"), "param_id", "c")).alias("best"))
-    return best.select(key, "best.c.*", "best.sse", "best.param_id")
+    best = scores.where("errors is null").select(F.col("surface").alias(key), "sse", "param_id")
+    if sliced:
+        sums = (
+            scores.where("errors is not null")
+            .select(F.col("surface").alias(key), F.posexplode("errors").alias("param_id", "part"))
+            .groupBy(key, "param_id")
+            .agg(F.sum("part").alias("sse"))
+        )
+        fine = F.element_at(F.array(*[F.lit(bool(ok)) for ok in chosen.admissible]), F.col("param_id") + 1)
+        sums = sums.withColumn("sse", F.when(fine, F.col("sse")).otherwise(PENALTY))
+        least = sums.groupBy(key).agg(F.min(F.struct("sse", "param_id")).alias("least"))
+        best = best.unionByName(least.select(key, "least.*"))
+    best = best.withColumn("c", F.expr(f"element_at({listed}, param_id + 1)"))
+    return best.select(key, "c.*", "sse", "param_id")

@@ -306,6 +306,55 @@ select quote_id,
   case when not (no_spot or no_curve) then {rounded("k")} end as k
 from (select *, underlier%17 = 0 as no_spot, underlier%{CURVES}%11 = 3 as no_curve from enriched) e"""
 
+ORACLES["quotes_enriched_dates"] = f"""
+with quotes as (
+  select l_orderkey*8+l_linenumber as quote_id, row_number() over () as row, l_partkey as underlier, cast(l_partkey%25 as int) as curve_id,
+    cast(l_shipdate as date) as day, l_linenumber*40/365e0 as T, l_extendedprice/l_quantity as strike
+  from lineitem),
+spots as (
+  select p_partkey as underlier, cast(date '1992-03-01'+cast(i*90+p_partkey%30 as int) as date) as day,
+    p_retailprice+i as spot
+  from part cross join (select unnest(range(28)) as i)),
+nodes as (
+  select cast(n_nationkey as int) as curve_id, cast(date '1992-02-01'+cast(week*7 as int) as date) as day,
+    tenor, rate+n_nationkey*1e-4+week%10*1e-3 as rate
+  from nation cross join (select unnest(range(400)) as week) cross join (values {CURVE_NODES}) b(tenor, rate)
+  where (week*7+n_nationkey)%5 <> 0),
+days as (select distinct curve_id, day from nodes),
+paid as (
+  select p_partkey as underlier, cast(date '1992-01-10'+cast(i*91+p_partkey%30 as int) as date) as day,
+    round(p_retailprice*1e-3, 4) as amount
+  from part cross join (select unnest(range(36)) as i)),
+dated as (
+  select q.*, s.spot, s.day as spot_day, d.day as curve_day from quotes q
+  asof left join spots s on s.underlier = q.underlier and s.day <= q.day
+  asof left join days d on d.curve_id = q.curve_id and d.day <= q.day),
+pieces as (
+  select curve_id, day, lag(tenor) over w as lo, lag(rate) over w as r_lo, tenor as hi, rate as r_hi
+  from nodes window w as (partition by curve_id, day order by tenor)
+  union all
+  select curve_id, day, max(tenor), arg_max(rate, tenor), null, null from nodes group by 1, 2),
+cash as (
+  select row, q.curve_id, curve_day, date_diff('day', q.day, p.day)/365.25e0 as T, amount
+  from dated q join paid p on p.underlier = q.underlier and p.day > q.day
+    and date_diff('day', q.day, p.day)/365.25e0 <= q.T),
+rated as (
+  select x.*, case when p.lo is null then r_hi when p.hi is null then r_lo
+    else r_lo+(x.T-lo)*(r_hi-r_lo)/(hi-lo) end as r
+  from (select row, curve_id, curve_day, T, null as amount from dated
+        union all select * from cash) x
+  left join pieces p on p.curve_id = x.curve_id and p.day = x.curve_day
+    and (p.lo is null or x.T > p.lo) and (p.hi is null or x.T <= p.hi)),
+values_ as (select row, sum(amount*exp(-r*T)) as pv from rated where amount is not null group by 1),
+found as (
+  select d.*, r.r, coalesce(v.pv, 0e0) as pv_div, (d.spot-coalesce(v.pv, 0e0))/exp(-r.r*d.T) as forward
+  from dated d join rated r on r.row = d.row and r.amount is null
+  left join values_ v on v.row = d.row)
+select quote_id, case when spot is null then 'no_spot' when r is null then 'no_curve' else 'ok' end as status,
+  spot, spot_day as spot_asof, curve_day as curve_asof, {r("r", "r", 8)}, {r("pv_div", "pv_div", 5)},
+  {r("forward", "forward", 4)}, {r("ln(strike/forward)", "k")}
+from found"""
+
 ORACLES["chain_normalise"] = f"""
 with {CHAIN}
 select quote_id, cast({ASOF}+(days*2-30) as date) as expiration,

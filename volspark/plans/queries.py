@@ -9,7 +9,9 @@ from ..checkpoint import checkpointed, scratch_folder
 from ..functions import black, local_vol, quotes as quote_columns, ssvi
 from ..functions.dates import parse_date, year_frac
 from ..functions.normal import norm_cdf, norm_pdf
-from ..operators import book, calibrate, chain, curves, dividends, implied, snapshot, surfaces
+from ..operators import (
+    book, calibrate, chain, curves, dividends, history, implied, snapshot, surfaces,
+)
 from ..sources import chain as chain_source
 from ..sources.folder import write_market
 from ..sources.market import CALL_FILE, future_dividends, read_market, read_rates, underlier_of
@@ -147,6 +149,16 @@ def quotes_enriched(spark, sf):
     )
 
 
+@query
+def quotes_enriched_dates(spark, sf):
+    """Quotes of many dates, each with the last spot and curve up to its day and later payments."""
+    histories = (source(spark, sf) for source in (tables.spot_history, tables.curve_history, tables.payment_history))
+    return history.enrich_dates(tables.dated_quotes(spark, sf), *histories).select(
+        "quote_id", "status", "spot", "spot_asof", "curve_asof", r6("r", "r", 8), r6("pv_div", "pv_div", 5),
+        r6("forward", "forward", 4), r6("k", "k"),
+    )
+
+
 @query
 def chain_normalise(spark, sf):
     raw = tables.chain(spark, sf).select(

@@ -218,3 +218,45 @@ def curve_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "when o_custkey % 97 % 5 = 2 and o_orderkey % 20 = 3 then 1e-3 else o_orderkey / 36e1 end as tenor",
         "2e-2 + o_custkey % 97 * 1e-4 as rate",
     )
+
+
+def dated_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of many dates: one per line item, on its shipping day."""
+    return load(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber as quote_id", "l_partkey as underlier",
+        f"cast(l_partkey % {CURVES} as int) as curve_id", "to_date(l_shipdate) as asof",
+        "l_linenumber * 40 / 365e0 as T", "l_extendedprice / l_quantity as strike",
+        "1e0 + l_discount as bid", "2e0 + l_tax as ask",
+    )
+
+
+def spot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A spot every ninety days for each underlier, from March 1992 on."""
+    return load(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_retailprice", "explode(sequence(0, 27)) as i"
+    ).selectExpr(
+        "p_partkey as underlier", "date_add(date '1992-03-01', cast(i * 90 + p_partkey % 30 as int)) as asof",
+        "p_retailprice + i as spot",
+    )
+
+
+def curve_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly curves from February 1992 on, with weeks missing."""
+    nodes = literal_rows(("tenor", "base"), BASE_CURVE)
+    return (
+        load(spark, sf_dir, "nation")
+        .selectExpr("cast(n_nationkey as int) as curve_id", "explode(sequence(0, 399)) as week")
+        .where("(week * 7 + curve_id) % 5 <> 0")
+        .selectExpr("curve_id", "date_add(date '1992-02-01', week * 7) as asof", "week", f"inline({nodes}) as (tenor, base)")
+        .selectExpr("curve_id", "asof", "tenor", "base + curve_id * 1e-4 + week % 10 * 1e-3 as rate")
+    )
+
+
+def payment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly payments from 1992 on."""
+    return load(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_retailprice", "explode(sequence(0, 35)) as i"
+    ).selectExpr(
+        "p_partkey as underlier", "date_add(date '1992-01-10', cast(i * 91 + p_partkey % 30 as int)) as pay_date",
+        "round(p_retailprice * 1e-3, 4) as amount",
+    )
