@@ -46,6 +46,10 @@ WORDS_TOGETHER = 1 << 21
 FIRST_ROUND, GROWTH = 1.5, 4
 #: Bits of the map of expanded pairs (fixed size).
 MAP_BITS = 1 << 25
+#: Rows that a task hands to Spark together.
+BATCH_ROWS = 1 << 16
+#: Up to so many languages, a row for each of them is sent to all tasks; beyond that it is joined.
+MOST_SENT = 10_000
 UNKNOWN = "und"
 BREAK = b"\xff"  # in no UTF-8 text
 _TO_PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
@@ -91,9 +95,15 @@ class Counter:
         self.clear()
 
 
-def _rows(lang: str, known: pa.Array, columns: list[np.ndarray | None], n: np.ndarray) -> pa.RecordBatch:
-    words = [pa.nulls(len(n), pa.binary()) if c is None else known.take(pa.array(c)) for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *words, pa.array(n.astype(np.int64))], ["lang", "w1", "w2", "w3", "n"])
+def _rows(
+    lang: str, known: pa.Array, columns: list[np.ndarray | None], n: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(n), BATCH_ROWS):
+        part = slice(start, start + BATCH_ROWS)
+        counts = pa.array(n[part].astype(np.int64))
+        words = [pa.nulls(len(counts), pa.binary()) if c is None else known.take(pa.array(c[part])) for c in columns]
+        name = pa.array([lang] * len(counts), pa.string())
+        yield pa.RecordBatch.from_arrays([name, *words, counts], ["lang", "w1", "w2", "w3", "n"])
 
 
 def _short(lang: str, known: list[bytes], codes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -102,11 +112,11 @@ def _short(lang: str, known: list[bytes], codes: np.ndarray) -> Iterator[pa.Reco
     single = np.bincount(codes, minlength=len(known))
     single[0] = 0
     seen = np.flatnonzero(single)
-    yield _rows(lang, listed, [None, None, None], np.array([single.sum()]))
-    yield _rows(lang, listed, [seen, None, None], single[seen])
+    yield from _rows(lang, listed, [None, None, None], np.array([single.sum()]))
+    yield from _rows(lang, listed, [seen, None, None], single[seen])
     key = (codes[:-1] << 32 | codes[1:])[(codes[:-1] > 0) & (codes[1:] > 0)]
     key, n = np.unique(key, return_counts=True)
-    yield _rows(lang, listed, [key >> 32, key & 0xFFFFFFFF, None], n)
+    yield from _rows(lang, listed, [key >> 32, key & 0xFFFFFFFF, None], n)
 
 
 def _long(bitmap: np.ndarray):
@@ -124,7 +134,7 @@ def _long(bitmap: np.ndarray):
         keep = chosen[where]
         key, n = np.unique(where[keep] << 32 | codes[at[keep] + 2], return_counts=True)
         first = pair[key >> 32]
-        yield _rows(lang, pa.array(known, pa.binary()), [first >> 32, first & 0xFFFFFFFF, key & 0xFFFFFFFF], n)
+        yield from _rows(lang, pa.array(known, pa.binary()), [first >> 32, first & 0xFFFFFFFF, key & 0xFFFFFFFF], n)
 
     return emit
 
@@ -196,6 +206,11 @@ def scored_triples(pairs: DataFrame, triples: DataFrame) -> DataFrame:
     )
 
 
+def by_language(floor: DataFrame) -> DataFrame:
+    """``floor`` (a row for each language) as a side of a join, sent to all tasks if it is short."""
+    return F.broadcast(floor) if floor.limit(MOST_SENT + 1).count() <= MOST_SENT else floor
+
+
 def frontier(pairs: DataFrame, floor: DataFrame) -> DataFrame:
     """Pairs to expand so that all phrases of score ``floor`` (lang, floor) or more are settled."""
     known = pairs.join(floor, "lang")
@@ -237,7 +252,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
         nth = known.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= int(settled_by))
         floor = nth.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("floor"))
         floor = floor.select("lang", F.when(F.col("_n") < int(settled_by), 0).otherwise(F.col("floor")).alias("floor"))
-        floor = checkpointed(floor)
+        floor = by_language(checkpointed(floor))
         wanted = frontier(pairs, floor)
         if expanded is not None:
             wanted = wanted.join(expanded, ["lang", "w1", "w2"], "left_anti")
