@@ -13,18 +13,38 @@ from volspark.llm.tokens import Encoder, as_ids
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = ("", " ", "  a  b\n\n c\t d\r\n", "it's I'll 'tis don't", "Straße ΣΑΣ İstanbul ǅ", "á b\x1ce \x85f",
-       "日本語 テキスト ½ ² x² ١٢٣", "foo.\nBar,baz.. !?", "<|endoftext|> x<|endoftext|>", "word.' s 'll 's", "😀 x", "a\n b \nc", "K Å Ω")
+       "日本語 テキスト ½ ² x² ١٢٣", "foo.\nBar,baz.. !?", "<|endoftext|> x<|endoftext|>",
+       "a <|endoftext|> b<|startoftext|>c <|ENDOFTEXT|>", "<|endoftext|>", " <|endoftext|>  \n<|endoftext|>\n", "İ, x.", "a\0b c",
+       "x’s “q” — 5€ ﬁ ŉ ǰ ẞ", "U.S.A. 3.5, a_b.c (x).", "ABC'S I'LL it's. x", "word.' s 'll 's", "😀 x", "a\n b \nc", "K Å Ω")
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_ids_equal_the_library(path):
-    encoder, rng = Encoder(path), random.Random(5)
-    alphabet = " \n  ab.'s,1é\tΣİ́!"
-    texts = [*ODD, *("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(3000))]
-    assert all(encoder.encode(t) == encoder.library(t) for t in texts)
+    from tokenizers import Tokenizer
+
+    encoder, rng, fresh = Encoder(path), random.Random(5), Tokenizer.from_file(path)
+    alphabet = [*" \n  ab.'s,1é\tΣİ́!", "<|endoftext|>", "<|startoftext|>", "’", "ª", "\xad", "日", "\x85"]
+    texts = [*ODD, *("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(6000))]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [as_ids(x).tolist() for x in encoder.encode_all(texts)] == want
+    assert all(encoder.encode(t) == encoder.library(t) for t in texts[:500])
     assert encoder.encode(None) == b""
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_full_memory_keeps_ids_right(path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from volspark.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(tokens, "TOGETHER", 300)
+    encoder, rng, fresh = Encoder(path), random.Random(6), Tokenizer.from_file(path)
+    texts = [" ".join(f"w{rng.randint(0, 90)}{rng.choice(['', '.', ',', '!?'])}" for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    texts[7::20] = [t + "<|endoftext|>" for t in texts[7::20]]
+    assert [as_ids(x).tolist() for x in encoder.encode_all(texts)] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def random_items(rng, n, capacity):
     return [rng.choice((rng.randint(1, capacity), rng.randint(1, capacity // 8))) for _ in range(n)]
 

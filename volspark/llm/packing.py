@@ -19,16 +19,20 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
+from .corpus import slices
 from .tokens import Encoder
 
 CAPACITY = 2048
 END_ID = 0
 #: Items of one length that are ranked together, about.
 RANKED_TOGETHER = 100_000
+#: Bytes of the texts whose pieces a task hands to Spark together.
+BATCH_BYTES = 1 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -39,23 +43,28 @@ def pieces(
     takes what whole ones leave. Columns: doc_id, piece, start, length, ids (unsigned 32-bit)."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode(text) + end
-                n = len(ids) // 4
-                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n else [0]
-                rows += [
-                    (None if pd.isna(doc_id) else int(doc_id), k, a, b - a, ids[4 * a : 4 * b])
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:]))
-                ]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype(
-                {"doc_id": "Int64"}
-            )
-
-    return docs.select("doc_id", "text").mapInPandas(run, PIECE_SCHEMA)
+        for keys, texts in slices(batches, BATCH_BYTES):
+            row, piece, start, length, ids = [], [], [], [], []
+            for i, text in enumerate(texts):
+                raw = encoder.encode(text.decode("utf-8", "replace") if text else None) + end
+                n = len(raw) // 4
+                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    row.append(i)
+                    piece.append(k)
+                    start.append(a)
+                    length.append(b - a)
+                    ids.append(raw[4 * a : 4 * b])
+            columns = [
+                keys.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                pa.array(length, pa.int64()), pa.array(ids, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    return texts.mapInArrow(run, PIECE_SCHEMA)
 
 
 def plan(counts: Mapping[int, int], capacity: int) -> tuple[list[tuple[int, ...]], int]:

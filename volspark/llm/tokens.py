@@ -1,11 +1,13 @@
-"""Token ids of whole texts by the ``tokenizers`` library, each distinct word encoded once.
-
-Pre-tokenizers cut texts at white space in any case, so the ids of a text are those of its words
-in a row. Words repeat; a task remembers the ids of the words it has met (a bounded number) and
-asks the library only for new ones. Texts in which a cut at a space would not be safe (runs of
-white space, rare white space characters) are cut only between a visible character and a single
-space or line feed that precedes a visible character. A vocabulary of unknown build gets every
-text whole.
+"""Token ids of whole texts by the ``tokenizers`` library, each distinct word merged once.
+
+The library cuts a text into pieces (words with the space in front, runs of punctuation, ...) by a
+pattern and merges the bytes of each piece by itself. A task cuts texts into units where a piece
+ends in any case: in front of single spaces, around single line feeds, and in front of stops that
+follow a letter or digit. Units repeat; the ids of a bounded number of them are remembered, and
+only new ones are looked at: a word goes to the library's merge model, others are cut by the same
+pattern first. That holds for letters, digits and punctuation whose Unicode classes have always
+been the same; what else a text holds goes through the whole library. Special tokens in a text get
+their ids, as the library gives them. A vocabulary of unknown build gets every text whole.
 """
 
 from __future__ import annotations
@@ -14,18 +16,25 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterable, Sequence
 
 import numpy as np
+import regex
 
-#: Words remembered by a task with their ids.
-REMEMBERED = 400_000
+#: Units that a task remembers with their ids; of more, those of the latest texts stay.
+REMEMBERED = 300_000
+#: Characters of the texts whose new units are learned together.
+TOGETHER = 1 << 13
 SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-STOPS = ".,;:!?#$%&*"
-#: How byte-level vocabularies write a space.
-SPACE = "Ġ"
-#: Below this all letters are Latin, composed, and change case one by one (but for the capital
-#: I with a dot).
-LATIN_END = "ʰ"
+#: Latin letters, digits and punctuation (no combining marks, no space but these, no dotted I).
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ɏ‐-‧‰-⁞₠-₿]*")
+STOPS = ".,;:!?"
+#: A stop that may belong to a longer piece.
+JOINED_STOP = re.compile(rf"(?<![^\W_])[{STOPS}]")
+
+# How the two kinds of vocabulary cut a text into pieces.
+BYTE_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -43,73 +52,104 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             build = json.load(file)
         cutter, normal = build.get("pre_tokenizer") or {}, build.get("normalizer") or {}
         steps = [x["type"] for x in normal.get("normalizers", [])]
+        patterns = [x.get("pattern", {}).get("Regex") for x in cutter.get("pretokenizers", [])]
         self.spaced = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not normal
-        self.lowered = steps == ["NFC", "Replace", "Lowercase"] and cutter.get("type") == "Sequence"
+        self.lowered = steps == ["NFC", "Replace", "Lowercase"] and WORD_PIECES in patterns
+        added = build.get("added_tokens") or []
+        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+        self.known_build = plain and (self.spaced or self.lowered) and not cutter.get("add_prefix_space")
+        self.pattern = regex.compile(BYTE_PIECES if self.spaced else WORD_PIECES)
+        self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
 
     def library(self, text: str) -> bytes:
         """The library's own ids of a text."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _letters_only(self, word: str) -> bytes:
-        """Ids of one run of letters, straight from the library's merge model."""
-        if word not in self.runs:
-            self.runs = self._bounded(self.runs)
-            raw = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-            if self.spaced:
-                raw = SPACE + raw
-            self.runs[word] = array("I", [t.id for t in self.model.tokenize(raw)]).tobytes()
-        return self.runs[word]
-
-    def _part(self, text: str) -> bytes:
-        if text not in self.parts:
-            self.parts = self._bounded(self.parts)
-            self.parts[text] = self.library(text)
-        return self.parts[text]
-
-    @staticmethod
-    def _bounded(known: dict[str, bytes]) -> dict[str, bytes]:
-        return known if len(known) < REMEMBERED else {}
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word after a space, or of one that begins with a line feed."""
-        head = word if word.isalpha() else word.rstrip(STOPS)
-        if head.isalpha() and (self.spaced or head.isascii() or (max(head) < LATIN_END and "İ" not in head)):
-            ids = self._letters_only(head if self.spaced else head.lower())
-            return ids if len(head) == len(word) else ids + self._part(word[len(head) :])
-        if word[:1] == "\n" and self.spaced:
-            return self._part("\n") + self._part(word[1:])
-        return self.library(f" {word}" if self.spaced else word)
-
-    def _known(self, words: list[str]) -> bytes:
-        known = self.words
-        if len(known) > REMEMBERED:
-            known = self.words = {"": b""}
-        for word in words:
-            if word not in known:
-                known[word] = self._word(word)
-        return b"".join(map(known.__getitem__, words))
+    def _learn(self, units: Iterable[str]) -> None:
+        """Remember the ids of new units."""
+        tokenize, letters, spaced = self.model.tokenize, self.letters.__getitem__, self.spaced
+        space, flat, counts, names = self.letters[32], [], [], []
+        for unit in units:
+            word = unit[1:] if unit[:1] == " " else unit
+            if word.isalpha() and (word.isascii() or PLAIN.fullmatch(word)):
+                found = (unit if spaced else word.lower(),)
+            elif PLAIN.fullmatch(unit):
+                found = self.pattern.findall(unit if spaced else unit.lower())
+            else:
+                self.units[unit] = self.library(unit)
+                continue
+            start = len(flat)
+            for piece in found:
+                if piece.isascii() and piece.isalpha():
+                    raw = piece
+                elif piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+                    raw = space + piece[1:]
+                else:
+                    raw = "".join(map(letters, piece.encode()))
+                flat += [token.id for token in tokenize(raw)]
+            names.append(unit)
+            counts.append(len(flat) - start)
+        raw, cuts = np.array(flat, "<u4").tobytes(), (4 * np.cumsum([0, *counts])).tolist()
+        self.units.update(zip(names, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+
+    def _cut(self, text: str) -> list[str]:
+        """The units of a text without special tokens."""
+        stops = "" if JOINED_STOP.search(text) else STOPS
+        if self.lowered:
+            stops = "" if "İ" in text else stops  # ends in a combining mark when lowered
+            for stop in stops:
+                text = text.replace(stop, f" {stop}")
+            return text.replace("\n", " ").split(" ")
+        if "\0" in text or text.replace("\n", " ").split(" ") != text.split():
+            return SAFE_CUT.split(text)  # a run of, or a rare, white space
+        for stop in stops:
+            text = text.replace(stop, f"\0{stop}")
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def _together(self, texts: Sequence[str | None]) -> list[bytes]:
+        cut: list[list[str]] = []
+        for text in texts:
+            if not text:
+                cut.append([])
+            elif self.specials is None or not self.specials.search(text):
+                cut.append(self._cut(text))
+            else:
+                parts = enumerate(self.specials.split(text))
+                cut.append([unit for i, part in parts if part for unit in ([part] if i % 2 else self._cut(part))])
+        met = set().union(*cut)
+        new = met.difference(self.units)
+        if len(self.units) + len(new) > REMEMBERED:
+            self.units = {u: self.units[u] for u in met.difference(new)}
+        self._learn(new.difference(self.special))
+        self.units |= self.special
+        known = self.units.__getitem__
+        return [b"".join(map(known, units)) for units in cut]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        if not self.known_build:
+            return [self.library(t) if t else b"" for t in texts]
+        out: list[bytes] = []
+        group: list[str | None] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                out += self._together(group)
+                group, size = [], 0
+        return out + self._together(group)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.lowered:
-            return self._known(text.replace("\n", " ").split(" "))
-        if not self.spaced:
-            return self.library(text)
-        if text.replace("\n", " ").split(" ") != text.split():  # a run of, or a rare, white space
-            return b"".join(map(self._part, SAFE_CUT.split(text)))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self._part(first) + self._known(rest)
+        return self.encode_all([text])[0]
 
 
 def as_ids(raw: bytes) -> np.ndarray:
