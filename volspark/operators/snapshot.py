@@ -10,6 +10,14 @@ from .curves import curve_segments, discount_factor, zero_rate
 from .dividends import forward_price, pv_dividends
 
 
+# Column of stored quotes: a hash of T. Spark does not use a bucketing by a DOUBLE in joins.
+MATURITY = "maturity"
+
+
+def maturity_keys(quotes: DataFrame) -> list[str]:
+    return [MATURITY] if MATURITY in quotes.columns else []
+
+
 def latest_spot(spots: DataFrame, keys: Sequence[str] = ("underlier",)) -> DataFrame:
     """Most recent spot per key; the larger value wins if a day has two."""
     last = spots.groupBy(*keys).agg(F.max(F.struct("asof", "spot")).alias("_last"))
@@ -29,7 +37,7 @@ def expiry_forwards(
     A chain lists hundreds of strikes per expiry, so the three lookups run on this much smaller
     table of expiries and not on the quotes.
     """
-    join_keys = list(dict.fromkeys([*keys, *curve_keys]))
+    join_keys = list(dict.fromkeys([*keys, *curve_keys, *maturity_keys(quotes)]))
     known = rates.where("sound") if "sound" in rates.columns else rates
     segments = curve_segments(known, curve_keys)
     slices = quotes.select(*join_keys, "T").distinct()
@@ -56,7 +64,7 @@ def enrich_quotes(
     and ``curve_keys`` its curve; quotes and dividends carry both. Quotes move at most once, to
     meet their expiry slice.
     """
-    join_keys = list(dict.fromkeys([*keys, *curve_keys, "T"]))
+    join_keys = list(dict.fromkeys([*keys, *curve_keys, *(maturity_keys(quotes) or ["T"])]))
     slices = expiry_forwards(quotes, spots, rates, dividends, keys, curve_keys)
     return attach_slices(quotes, mark_unsound(slices, rates, curve_keys), join_keys)
 
@@ -71,8 +79,14 @@ def mark_unsound(slices: DataFrame, rates: DataFrame, curve_keys: Sequence[str])
 
 def attach_slices(quotes: DataFrame, slices: DataFrame, join_keys: Sequence[str]) -> DataFrame:
     """Quotes with the columns of their expiry slice, mid, k and status."""
+    if MATURITY in join_keys:  # equal hashes need not be equal maturities
+        named = {k: f"_{k}" for k in (*join_keys, "T")}
+        equal = " and ".join([*(f"{k} = {named[k]}" for k in join_keys), "not (T < _T or T > _T)"])
+        joined = quotes.join(slices.withColumnsRenamed(named), F.expr(equal), "left").drop(*named.values())
+    else:
+        joined = quotes.join(slices, list(join_keys), "left")
     return (
-        quotes.join(slices, list(join_keys), "left")
+        joined
         .withColumn("mid", mid())
         .withColumn("k", log_moneyness("strike", "forward"))
         .withColumn(
