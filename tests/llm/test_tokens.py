@@ -26,7 +26,7 @@ def test_ids_equal_the_library(path):
     alphabet = [*" \n  ab.'s,1é\tΣİ́!", "<|endoftext|>", "<|startoftext|>", "’", "ª", "\xad", "日", "\x85"]
     texts = [*ODD, *("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(6000))]
     want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [as_ids(x).tolist() for x in encoder.encode_all(texts)] == want
+    assert [as_ids(encoder.encode(t)).tolist() for t in texts] == want
     assert all(encoder.encode(t) == encoder.library(t) for t in texts[:500])
     assert encoder.encode(None) == b""
 
@@ -38,11 +38,10 @@ def test_a_full_memory_keeps_ids_right(path, monkeypatch):
     from volspark.llm import tokens
 
     monkeypatch.setattr(tokens, "REMEMBERED", 50)
-    monkeypatch.setattr(tokens, "TOGETHER", 300)
     encoder, rng, fresh = Encoder(path), random.Random(6), Tokenizer.from_file(path)
     texts = [" ".join(f"w{rng.randint(0, 90)}{rng.choice(['', '.', ',', '!?'])}" for _ in range(rng.randint(0, 40))) for _ in range(200)]
     texts[7::20] = [t + "<|endoftext|>" for t in texts[7::20]]
-    assert [as_ids(x).tolist() for x in encoder.encode_all(texts)] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [as_ids(encoder.encode(t)).tolist() for t in texts] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def random_items(rng, n, capacity):

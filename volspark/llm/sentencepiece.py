@@ -37,6 +37,10 @@ TEXTS_AT_ONCE = 250
 BATCH_CELLS = 1 << 20
 UNKNOWN_PENALTY = 10.0
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+FIRST_BITS = 20
+#: No piece: the unit has fewer than others.
+NOTHING = -2
+SHIFT = np.uint64(64 - FIRST_BITS)
 
 
 class Codec:
@@ -60,6 +64,13 @@ class Codec:
         self.keys, self.ids = keys[order], np.array(plain, np.int64)[order]
         scores = np.array([model.get_score(i) for i in plain])
         self.scores, self.least = scores[order], scores.min() - UNKNOWN_PENALTY
+        self.lengths = np.array([len(p) for p in self.pieces])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer("".join(self.pieces).encode("utf-32-le"), "<u4")
+        self.first_bits = np.zeros(1 << FIRST_BITS, bool)
+        self.first_bits[self.keys >> SHIFT] = True
+        self.widths = np.arange(self.longest + 1, dtype=np.uint64)
+        self.powers = FACTOR ** self.widths
         self.by_text = {self.pieces[i]: i for i in plain}
         self.units: dict[str, bytes] = {}
         written = [p.replace(SPACE, " ").encode() for p in self.pieces]
@@ -82,35 +93,54 @@ class Codec:
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(n, length)
         best = np.full((n, length + 1), -np.inf)
         best[:, 0] = 0
-        from_, piece = np.zeros((n, length + 1), np.int64), np.full((n, length + 1), -1, np.int64)
-        power, hashes = [np.uint64(1)], np.zeros((n, length + 1), np.uint64)
+        from_, piece = np.zeros((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
+        hashes = np.zeros((n, length + 1), np.uint64)
         for j in range(length):
             hashes[:, j + 1] = hashes[:, j] * FACTOR + codes[:, j].astype(np.uint64) + np.uint64(1)
-        for _ in range(self.longest):
-            power.append(np.uint64(int(power[-1]) * int(FACTOR) & 0xFFFFFFFFFFFFFFFF))
+        rows = np.arange(n)
         for j in range(1, length + 1):
-            starts = np.arange(max(0, j - self.longest), j)
-            width = (j - starts).astype(np.uint64)
-            probe = (hashes[:, [j]] - hashes[:, starts] * np.array([power[w] for w in width])) ^ width
+            first = max(0, j - self.longest)
+            power, width = self.powers[j - first :: -1][: j - first], self.widths[j - first :: -1][: j - first]
+            probe = (hashes[:, j, None] - hashes[:, first:j] * power) ^ width
+            # most substrings are no pieces, which a table of the keys' first bits tells
+            r, c = np.nonzero(self.first_bits[probe >> SHIFT])
+            probe = probe[r, c]
             at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
             known = self.keys[at] == probe
-            total = best[:, starts] + np.where(known, self.scores[at], -np.inf)
-            total[:, -1] = np.where(known[:, -1], total[:, -1], best[:, j - 1] + self.least)
+            r, c, at = r[known], c[known], at[known]
+            total = np.full((n, j - first), -np.inf)
+            total[r, c] = best[r, first + c] + self.scores[at]
+            found = np.full((n, j - first), -1, np.int32)
+            found[r, c] = self.ids[at]
+            total[:, -1] = np.where(found[:, -1] >= 0, total[:, -1], best[:, j - 1] + self.least)
             pick = total.argmax(1)
-            rows = np.arange(n)
-            best[:, j], from_[:, j] = total[rows, pick], starts[pick]
-            piece[:, j] = np.where(known[rows, pick], self.ids[at[rows, pick]], -1)
-        out = []
-        for r, unit in enumerate(units):
-            ids, j = [], length
-            while j:
-                i = from_[r, j]
-                p = piece[r, j]
-                if p >= 0 and self.pieces[p] != unit[i:j]:  # two strings of one hash
+            best[:, j], from_[:, j], piece[:, j] = total[rows, pick], first + pick, found[rows, pick]
+        steps, widths, j = [], [], np.full(n, length)
+        while j.any():
+            steps.append(np.where(j > 0, piece[rows, j], NOTHING))
+            widths.append(j - from_[rows, j])
+            j = from_[rows, j]
+        ids, width = np.stack(steps[::-1], axis=1), np.stack(widths[::-1], axis=1)
+        used = ids != NOTHING
+        whole = (ids >= 0).sum(1) == used.sum(1)
+        named = ids[whole][used[whole]]
+        letters = self.lengths[named]
+        if (letters != width[whole][used[whole]]).any() or (
+            self.letters[np.arange(letters.sum()) + np.repeat(self.starts[named] - np.cumsum(letters) + letters, letters)]
+            != codes[whole].ravel()
+        ).any():  # two strings of one hash
+            return [self.plain(u) for u in units]
+        raw, ends = ids[used].astype("<u4").tobytes(), 4 * np.cumsum(used.sum(1))
+        out = [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        for i in np.flatnonzero(~whole).tolist():  # some characters are in no piece
+            place, listed = 0, []
+            for p, w in zip(ids[i][used[i]].tolist(), width[i][used[i]].tolist()):
+                text = units[i][place : place + w]
+                if p >= 0 and self.pieces[p] != text:
                     return [self.plain(u) for u in units]
-                ids += [p] if p >= 0 else self.spelled(unit[i:j])[::-1]
-                j = i
-            out.append(array("I", ids[::-1]).tobytes())
+                listed += [p] if p >= 0 else self.spelled(text)
+                place += w
+            out[i] = array("I", listed).tobytes()
         return out
 
     def spelled(self, character: str) -> list[int]:

@@ -4,7 +4,7 @@ The library cuts a text into pieces (words with the space in front, runs of punc
 pattern and merges the bytes of each piece by itself. A task cuts texts into units where a piece
 ends in any case: in front of single spaces, around single line feeds, and in front of stops that
 follow a letter or digit. Units repeat; the ids of a bounded number of them are remembered, and
-only new ones are looked at: a word goes to the library's merge model, others are cut by the same
+only a new one is looked at: a word goes to the library's merge model, others are cut by the same
 pattern first. That holds for letters, digits and punctuation whose Unicode classes have always
 been the same; what else a text holds goes through the whole library. Special tokens in a text get
 their ids, as the library gives them. A vocabulary of unknown build gets every text whole.
@@ -16,18 +16,18 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import regex
 
-#: Units that a task remembers with their ids; of more, those of the latest texts stay.
-REMEMBERED = 300_000
-#: Characters of the texts whose new units are learned together.
-TOGETHER = 1 << 13
+#: Units that a task remembers with their ids.
+REMEMBERED = 400_000
 SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Latin letters, digits and punctuation (no combining marks, no space but these, no dotted I).
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-įı-ɏ‐-‧‰-⁞₠-₿]*")
+#: White space that does not stand alone between words, or is not a space or line feed.
+RUNS, RARE = ("  ", "\n\n", " \n", "\n "), re.compile(r"[^\S \n]")
 STOPS = ".,;:!?"
 #: A stop that may belong to a longer piece.
 JOINED_STOP = re.compile(rf"(?<![^\W_])[{STOPS}]")
@@ -44,6 +44,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Units(dict):
+    """Ids of units; those of a new one are worked out when it is asked for."""
+
+    def __init__(self, work_out):
+        self.work_out = work_out
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        ids = self[unit] = self.work_out(unit)
+        return ids
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -67,38 +80,32 @@ class Encoder:
         self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self.letters = _byte_letters()
-        self.units: dict[str, bytes] = {}
+        self.space = self.letters[32]
+        self.units = Units(self._ids)
 
     def library(self, text: str) -> bytes:
         """The library's own ids of a text."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, units: Iterable[str]) -> None:
-        """Remember the ids of new units."""
-        tokenize, letters, spaced = self.model.tokenize, self.letters.__getitem__, self.spaced
-        space, flat, counts, names = self.letters[32], [], [], []
-        for unit in units:
-            word = unit[1:] if unit[:1] == " " else unit
-            if word.isalpha() and (word.isascii() or PLAIN.fullmatch(word)):
-                found = (unit if spaced else word.lower(),)
-            elif PLAIN.fullmatch(unit):
-                found = self.pattern.findall(unit if spaced else unit.lower())
-            else:
-                self.units[unit] = self.library(unit)
-                continue
-            start = len(flat)
-            for piece in found:
-                if piece.isascii() and piece.isalpha():
-                    raw = piece
-                elif piece[0] == " " and piece.isascii() and piece[1:].isalpha():
-                    raw = space + piece[1:]
-                else:
-                    raw = "".join(map(letters, piece.encode()))
-                flat += [token.id for token in tokenize(raw)]
-            names.append(unit)
-            counts.append(len(flat) - start)
-        raw, cuts = np.array(flat, "<u4").tobytes(), (4 * np.cumsum([0, *counts])).tolist()
-        self.units.update(zip(names, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+    def _ids(self, unit: str) -> bytes:
+        """The ids of a unit."""
+        if unit.isascii() and unit[1:].isalpha():  # nearly all: a word, mostly with the space in front
+            if not self.spaced and unit[0].isalpha():
+                return self._merged(unit.lower())
+            if self.spaced and (unit[0] == " " or unit[0].isalpha()):
+                return self._merged(self.space + unit[1:] if unit[0] == " " else unit)
+        if unit in self.special:
+            return self.special[unit]
+        if not PLAIN.fullmatch(unit):
+            return self.library(unit)
+        text = unit if self.spaced else unit.lower()
+        word = unit.removeprefix(" ") if self.spaced else unit
+        pieces = [text] if word.isalpha() else self.pattern.findall(text)
+        return b"".join([self._merged(p.encode().decode("latin-1").translate(self.letters)) for p in pieces])
+
+    def _merged(self, raw: str) -> bytes:
+        """The ids of a piece in the letters of the vocabulary, straight from the library's merge model."""
+        return array("I", [token.id for token in self.model.tokenize(raw)]).tobytes()
 
     def _cut(self, text: str) -> list[str]:
         """The units of a text without special tokens."""
@@ -108,48 +115,23 @@ class Encoder:
             for stop in stops:
                 text = text.replace(stop, f" {stop}")
             return text.replace("\n", " ").split(" ")
-        if "\0" in text or text.replace("\n", " ").split(" ") != text.split():
-            return SAFE_CUT.split(text)  # a run of, or a rare, white space
+        if "\0" in text or text[0].isspace() or text[-1].isspace() or any(run in text for run in RUNS) or RARE.search(text):
+            return SAFE_CUT.split(text)
         for stop in stops:
             text = text.replace(stop, f"\0{stop}")
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
-    def _together(self, texts: Sequence[str | None]) -> list[bytes]:
-        cut: list[list[str]] = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif self.specials is None or not self.specials.search(text):
-                cut.append(self._cut(text))
-            else:
-                parts = enumerate(self.specials.split(text))
-                cut.append([unit for i, part in parts if part for unit in ([part] if i % 2 else self._cut(part))])
-        met = set().union(*cut)
-        new = met.difference(self.units)
-        if len(self.units) + len(new) > REMEMBERED:
-            self.units = {u: self.units[u] for u in met.difference(new)}
-        self._learn(new.difference(self.special))
-        self.units |= self.special
-        known = self.units.__getitem__
-        return [b"".join(map(known, units)) for units in cut]
-
-    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text."""
-        if not self.known_build:
-            return [self.library(t) if t else b"" for t in texts]
-        out: list[bytes] = []
-        group: list[str | None] = []
-        size = 0
-        for text in texts:
-            group.append(text)
-            size += len(text or "")
-            if size >= TOGETHER:
-                out += self._together(group)
-                group, size = [], 0
-        return out + self._together(group)
-
     def encode(self, text: str | None) -> bytes:
-        return self.encode_all([text])[0]
+        if not text:
+            return b""
+        if not self.known_build:
+            return self.library(text)
+        if self.specials is None or not self.specials.search(text):
+            units = self._cut(text)
+        else:
+            parts = enumerate(self.specials.split(text))
+            units = [unit for i, part in parts if part for unit in ([part] if i % 2 else self._cut(part))]
+        return b"".join(map(self.units.__getitem__, units))
 
 
 def as_ids(raw: bytes) -> np.ndarray:
