@@ -85,3 +85,22 @@ def test_recall_holds_with_many_lists(spark, monkeypatch):
         scores[q] = -2
         hits += len(got[q] & set(np.argsort(-scores)[:5].tolist()))
     assert hits / (5 * len(got)) >= 0.95
+
+
+def test_vectors_of_any_magnitude(spark):
+    """Squares of these components leave the range of a double."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(60, 4))
+    scales = [10.0 ** rng.choice([-300, -200, 0, 200, 300]) for _ in base]
+    rows = [(i, (v * s).tolist()) for i, (v, s) in enumerate(zip(base, scales))]
+    rows += [(100, [1e-200, 0.0, 0.0, 0.0]), (101, [1e200, 0.0, 0.0, 0.0]), (102, [1e200, 1e200, 0.0, 0.0]), (150, [5e-324, 0.0, 0.0, 0.0])]
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(table, "id % 50 = 0").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    lengths = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    units = {i: v / np.sqrt((v * v).sum()) for i, v in lengths.items()}
+    for q in (0, 50, 100, 150):
+        want = sorted((-float(units[q] @ units[i]), i) for i in units if i != q)[:5]
+        assert np.allclose([s for _, s in got[q]], [-s for s, _ in want], atol=1e-12)
+    assert neighbours.cosine(np.array([1e-200, 0.0]), np.array([[1e200, 1e200]]))[0] == pytest.approx(0.5**0.5, abs=1e-15)

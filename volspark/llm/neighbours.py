@@ -265,13 +265,20 @@ def _compared(k: int):
     return run
 
 
+def tamed(vector: np.ndarray) -> np.ndarray:
+    """The vector, times a power of two where its squares would leave the range of a double."""
+    largest = np.abs(vector).max()
+    return vector if 1e-100 < largest < 1e100 else np.ldexp(vector, -int(np.frexp(largest)[1]))
+
+
 def cosine(query: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Exact sums, so that the order of terms and the shape of a batch do not matter."""
+    query = tamed(query)
     norm = math.sqrt(math.fsum((query * query).tolist()))
     return np.array(
         [
             max(-1.0, min(1.0, math.fsum((query * row).tolist()) / (norm * math.sqrt(math.fsum((row * row).tolist())))))
-            for row in data
+            for row in map(tamed, data)
         ]
     )
 
@@ -295,7 +302,8 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     lists = checkpointed(lists)
     sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_CHUNK).cast("int").alias("chunks"))
     asked = plain.where(is_query)
-    questions = asked.groupBy("vec").agg(F.min("id").alias("qid"))
+    questions = checkpointed(asked.groupBy("vec").agg(F.min("id").alias("qid")))
+    owners = asked.join(questions, "vec").select("id", "qid")
     probes, slack = reach(index, questions, centres, k)
     questions = checkpointed(
         questions.mapInPandas(_asked(centres, slack, probes), "vec array<double>, qid long, list int")
@@ -313,8 +321,6 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     answers = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     answers = answers.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("all"))
-    by_vector = Window.partitionBy("vec")
-    owners = asked.withColumn("qid", F.min("id").over(by_vector)).select("id", "qid")
     mine = F.slice(F.filter("all", lambda a: a["vec_id"] != F.col("id")), 1, k)
     return (
         owners.join(answers, "qid")
