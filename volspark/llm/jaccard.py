@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
-from .corpus import release
+from .corpus import lean, release
 from .graph import components
 
 #: Grams shown beyond the n - T + 1 that one shared gram needs: so many, or this part of n if more.
@@ -50,6 +50,7 @@ MU = 0.01
 #: Bits of the filter that spares the shuffle of texts that are out already (fixed size).
 FILTER_BITS = 1 << 25
 NO_ID = -(1 << 63)
+ROWS_AT_ONCE = 500
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -89,11 +90,19 @@ def extra(n: int) -> int:
     return max(EXTRA, n // EXTRA_PART)
 
 
+def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in parts of a few hundred rows, so that a task holds the grams of few texts."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch[start : start + ROWS_AT_ONCE]
+
+
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n, sig (of the set), shown (the first grams in hash order)."""
 
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for text in batch["text"]:
                 tokens = grams(text, size)
@@ -110,13 +119,12 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def _flat(column: str, keep: str):
     """Rows (token, keep) for each token in a binary column."""
 
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 500):
-                part = batch[start : start + 500]
-                sizes = [len(raw) // 8 for raw in part[column]]
-                token = np.frombuffer(b"".join(part[column]), "<i8")
-                yield pd.DataFrame({"token": token, keep: np.repeat(part[keep].to_numpy(), sizes)})
+        for part in parts(batches):
+            sizes = [len(raw) // 8 for raw in part[column]]
+            token = np.frombuffer(b"".join(part[column]), "<i8")
+            yield pd.DataFrame({"token": token, keep: np.repeat(part[keep].to_numpy(), sizes)})
 
     return run
 
@@ -172,8 +180,9 @@ def full_sets(docs: DataFrame, found: DataFrame, size: int) -> DataFrame:
     wanted = found.select(F.coalesce("rep", F.lit(NO_ID)).alias("_key")).distinct()
     texts = docs.select(key, "text").where(member_filter(wanted, "_key")).join(wanted, "_key", "left_semi")
 
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             tokens = [grams(text, size) for text in batch["text"]]
             yield pd.DataFrame(
                 {"sig": [signature(t) for t in tokens], "tokens": [t.tobytes() for t in tokens]}

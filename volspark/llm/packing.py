@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
-from .corpus import slices
+from .corpus import lean, slices
 from .tokens import Encoder
 
 CAPACITY = 2048
@@ -43,6 +43,7 @@ def pieces(
     takes what whole ones leave. Columns: doc_id, piece, start, length, ids (unsigned 32-bit)."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         for keys, texts in slices(batches, BATCH_BYTES):

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .corpus import labelled_sample
+from .corpus import labelled_sample, lean
 from .toxicity import logistic
 
 #: Labelled rows that a model is fitted on, at most.
@@ -133,6 +133,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
     """A model from at most ``sample`` labelled rows; tasks encode them, the driver trains."""
 
+    @lean
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for batch in batches:
@@ -199,6 +200,7 @@ def score(model: Model, text: str | Column = "text") -> Column:
     """The score of each text as a column, 0 to 1."""
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, int] = {}
         for batch in batches:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .corpus import labelled_sample
+from .corpus import labelled_sample, lean
 
 #: Labelled rows that a model is fitted on, at most.
 SAMPLE = 10_000
@@ -100,6 +100,7 @@ def logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 
 
+@lean
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each feature that the task has seen: rows with it, toxic rows with it."""
     rows, toxic = Counter(), Counter()
@@ -147,6 +148,7 @@ def _chosen_only(index: dict[str, int]):
     def ids(text: str) -> list[int]:
         return sorted(index[f] for f in present(text) if f in index)
 
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -232,6 +234,7 @@ def score(model: Model, text: str | Column = "text") -> Column:
     """The score of each text as a column, 0 to 1."""
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, float] = {}
         for batch in batches:
