@@ -710,7 +710,8 @@ from chain"""
 
 ORACLES["implied_vol_fwd"] = f"""
 with {ENRICHED}
-select quote_id, 'ok' as status, case when {LIQUID} then sigma_true + 0e0 end as sigma from enriched"""
+select quote_id, 'ok' as status, case when {LIQUID} then sigma_true + 0e0 end as sigma, true as reprices
+from enriched"""
 
 ORACLES["chain_to_local_vol"] = f"""
 with {ENRICHED},
@@ -746,7 +747,7 @@ ranked as (
 levels as (select *, -k/sd+5e-1*sd as d1, -k/sd-5e-1*sd as d2 from ranked)
 select underlier, cast(i as int) as rank, {r("strike", "strike", 5)}, {r("T", "T")},
   {r(f'df*(forward*{cdf("d1")}-strike*{cdf("d2")})', "mid", 5)}, {r("k", "k")},
-  case when {_NEAR} then sigma_true + 0e0 end as sigma
+  case when {_NEAR} then sigma_true + 0e0 end as sigma, true as reprices
 from levels where i <= 5"""
 
 ORACLES["implied_vol_newton"] = f"""

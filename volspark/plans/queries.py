@@ -597,8 +597,10 @@ def implied_vol(spark, sf):
 def implied_vol_fwd(spark, sf):
     rows = black.with_black_price(_enriched(spark, sf), "theory", sigma="sigma_true")
     solved = implied.with_implied_vol(rows, "theory")
+    solved = black.with_black_price(solved, "again", sigma="sigma")
     return solved.select(
-        "quote_id", "status", r6(F.when(tables.is_liquid(), F.col("sigma")), "sigma")
+        "quote_id", "status", r6(F.when(tables.is_liquid(), F.col("sigma")), "sigma"),
+        F.expr("abs(again - theory) < 1e-7 as reprices"),
     )
 
 
@@ -646,9 +648,11 @@ def call_vol_report(spark, sf):
     rows = black.with_black_price(_enriched(spark, sf).drop("mid"), "mid", sigma="sigma_true")
     first = chain.first_n(rows.where("is_call"), 5, ("days", "qty"), ("underlier",))
     solved = implied.with_implied_vol(first, method="newton")
+    solved = black.with_black_price(solved, "again", sigma="sigma")
     return solved.select(
         "underlier", "rank", r6("strike", "strike", 5), r6("T", "T"), r6("mid", "mid", 5),
         r6("k", "k"), r6(F.when(tables.is_liquid(0.5), F.col("sigma")), "sigma", 5),
+        F.expr("status <> 'ok' or abs(again - mid) < 1e-7 as reprices"),
     )
 
 
