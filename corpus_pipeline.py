@@ -32,7 +32,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies; rows repeated as a whole stay once."""
+    """The document of least id of each group of near copies; rows repeated as a whole stay once.
+
+    Ids are taken to be unique. Where one repeats, or is null, its rows count as one document: all
+    of its different texts stay if any of them is the kept one of its group.
+    """
     groups = jaccard.join(docs, size=5, percent=80)
     first = groups.where("doc_id <=> component_id").select(groups["doc_id"].alias("_kept")).distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi")
