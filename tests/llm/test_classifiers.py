@@ -7,6 +7,7 @@ import pytest
 
 from tests.llm.helpers import awkward, docs_of
 from volspark.llm import quality, toxicity
+from volspark.llm.corpus import labelled_sample
 from volspark.llm.queries import QUERIES
 
 TABLES = "/root/testdata/sf0.01"
@@ -102,3 +103,43 @@ def test_held_out_accuracy(spark, name, label):
     good = [r.score for r in rows if r[label] == 1]
     bad = [r.score for r in rows if r[label] == 0]
     assert np.mean([np.mean(g > np.array(bad)) for g in good]) > (0.8 if label == "toxic" else 0.95)
+
+
+def test_a_sample_holds_rows_not_ids(spark):
+    """An id that repeats, with many texts or labels, adds a row for each of its labels."""
+    docs = spark.createDataFrame([(i % 7, f"text {i}") for i in range(500)] + [(8, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 9, i % 2) for i in range(90)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 100).collect()
+    assert sorted((r.doc_id, r.label) for r in rows) == [(i, float(k)) for i in range(7) for k in (0, 1)]
+    assert all(int(r.text.split()[1]) % 7 == r.doc_id for r in rows)
+    assert sorted(rows) == sorted(labelled_sample(docs.repartition(5), labels, "toxic", 100).collect())
+    assert labelled_sample(docs, labels, "toxic", 4).count() <= 4
+
+
+def test_pairs_are_spread_over_terms(spark):
+    schema = "pairs array<struct<term: string, a: array<int>, b: array<int>>>"
+    common = [[{"term": "a", "a": [i], "b": [i + 1]}] * 2 for i in range(300)]
+    rare = [[{"term": t, "a": [i], "b": [0]}] for t, i in (("y", 1000), ("y", 1001), ("z", 1002))]
+    encoded = spark.createDataFrame([(p,) for p in common + rare], schema)
+    got = toxicity.chosen_pairs(encoded, 10)
+    assert len(got) == len(set(got)) == 10 and {((1000,), (0,)), ((1001,), (0,)), ((1002,), (0,))} <= set(got)
+    assert len(toxicity.chosen_pairs(encoded, 1000)) == 303
+    assert got == toxicity.chosen_pairs(encoded.repartition(7), 10) == sorted(got)
+
+
+def test_features_equal_a_plain_count(spark):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(words[:20] if i % 3 else words[10:], 8)), float(i % 3 == 0)) for i in range(120)]
+    names, total, positive = toxicity.select_features(spark.createDataFrame(rows, "doc_id long, text string, label double"))
+    assert (total, positive) == (120, 40)
+    want = []
+    for f in {f for _, text, _ in rows for f in toxicity.present(text)}:
+        seen = [label for _, text, label in rows if f in toxicity.present(text)]
+        n, pos = len(seen), sum(seen)
+        spread = np.sqrt(n / total * (1 - n / (total + 1)) * (1 / positive + 1 / (total - positive)))
+        z = abs(pos / positive - (n - pos) / (total - positive)) / spread
+        share = positive / total
+        if n >= 3 and z >= toxicity.LEAST_Z and (pos > 2 * share * n or pos < share * n / 2):
+            want.append(f)
+    assert names == sorted(want) and len(want) > 5

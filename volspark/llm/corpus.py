@@ -29,16 +29,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
 
     The rows of least hash of their id are taken, so the sample depends neither on the order nor
     on the partitions of the input. Rows without label, id or text are left out. The sampled ids
-    are broadcast: their number is bounded, and the texts stay where they are.
+    are broadcast: their number is bounded, and the texts stay where they are. An id that repeats
+    gives one row for each of its labels, with its text of least hash.
     """
     ids = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("label"))
         .where("_id is not null and label is not null")
+        .distinct()
         .orderBy(F.xxhash64("_id"), "_id", "label")
         .limit(bound)
     )
     texts = docs.select("doc_id", "text").where("text is not null")
-    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id")
+    rows = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list[bytes | None]]]:

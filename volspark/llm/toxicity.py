@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoint import checkpointed
 from .corpus import labelled_sample, lean
 
 #: Labelled rows that a model is fitted on, at most.
@@ -143,7 +144,8 @@ def select_features(sample: DataFrame) -> tuple[list[str], int, int]:
 
 
 def _chosen_only(index: dict[str, int]):
-    """Feature numbers of each row, and of its sentence pairs: the sentence's and the swapped."""
+    """Feature numbers of each row, and of its sentence pairs: an identity term of the sentence, its
+    numbers and those of the swapped one."""
 
     def ids(text: str) -> list[int]:
         return sorted(index[f] for f in present(text) if f in index)
@@ -158,13 +160,24 @@ def _chosen_only(index: dict[str, int]):
                     for sentence in SENTENCE.split(text):
                         other = counterfactual(sentence)
                         if other is not None and (a := ids(sentence)) != (b := ids(other)):
-                            pairs.append([a, b])
+                            term = min(SWAPS.keys() & {t.strip(EDGES) for t in tokens(sentence)})
+                            pairs.append({"term": term, "a": a, "b": b})
                 out.append((label, ids(text), pairs))
             yield pd.DataFrame(out, columns=["label", "ids", "pairs"])
 
     return run
 
 
+def chosen_pairs(encoded: DataFrame, most: int = PAIRS) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """At most ``most`` different pairs, by hash, as many of each identity term as there are."""
+    pairs = encoded.select(F.explode("pairs").alias("p")).select("p.*").groupBy("a", "b").agg(F.min("term").alias("term"))
+    turn = F.xxhash64("a", "b")
+    by_term = Window.partitionBy("term").orderBy(turn, "a", "b")
+    ranked = pairs.withColumn("n", F.row_number().over(by_term)).where(F.col("n") <= most)
+    got = ranked.orderBy("n", turn, "a", "b").limit(most).select("a", "b").collect()
+    return sorted((tuple(r.a), tuple(r.b)) for r in got)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -176,7 +189,7 @@ def fit(
     """A model from at most ``sample`` labelled rows; ``penalty`` weighs the counterfactual term.
 
     Which features to keep is counted by Spark over the sample; the driver gets their numbers for
-    each sampled row only, and a bounded number of sentence pairs.
+    each sampled row only, and at most ``PAIRS`` sentence pairs, chosen by Spark.
     """
     rows = labelled_sample(docs, labels, label, sample)
     names, total, positive = select_features(rows)
@@ -184,9 +197,10 @@ def fit(
     if not index:
         share = (positive + 0.5) / (total + 1.0)
         return Model(float(np.log(share / (1.0 - share))), {})
-    schema = "label double, ids array<int>, pairs array<array<array<int>>>"
-    got = rows.mapInPandas(_chosen_only(index), schema).collect()
-    pairs = sorted({(tuple(a), tuple(b)) for row in got for a, b in row.pairs})[:PAIRS]
+    schema = "label double, ids array<int>, pairs array<struct<term: string, a: array<int>, b: array<int>>>"
+    encoded = checkpointed(rows.mapInPandas(_chosen_only(index), schema))
+    got = encoded.select("label", "ids").collect()
+    pairs = chosen_pairs(encoded)
     bias, weights = train(
         [row.ids for row in got], np.array([row.label for row in got]), pairs, len(names),
         penalty, shrink,
