@@ -81,6 +81,15 @@ def test_scores_pass_64_bits(spark):
     assert all(r.s == 10**6 * r.a * r.a // (r.l * r.r) for r in got)
 
 
+def test_scores_that_enough_phrases_reach(spark):
+    rng = random.Random(2)
+    rows = [(lang, rng.choice([0, 5, 7, 10**6])) for lang, n in (("a", 90), ("b", 11), ("c", 3)) for _ in range(n)]
+    for many in (1, 4, 11, 50):
+        got = {r.lang: r.floor for r in collocations.reached_score(spark.createDataFrame(rows, "lang string, score long"), many).collect()}
+        scores = {lang: sorted((s for x, s in rows if x == lang), reverse=True) for lang in "abc"}
+        assert got == {lang: s[many - 1] if len(s) >= many else 0 for lang, s in scores.items()}
+
+
 def test_bounds_are_admissible(spark):
     rows = list(prose(6))
     short = collocations.phrase_counts(docs(spark, rows), collocations._short)

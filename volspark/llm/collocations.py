@@ -206,6 +206,18 @@ def scored_triples(pairs: DataFrame, triples: DataFrame) -> DataFrame:
     )
 
 
+def reached_score(known: DataFrame, many: int) -> DataFrame:
+    """(lang, floor): the highest score that ``many`` rows of each language reach, or 0.
+
+    Scores lie between 0 and ``SCALE``, so counts for each score, summed up from the top, are rows
+    of a bounded number for a language, however many phrases it has.
+    """
+    counts = known.groupBy("lang", "score").agg(F.count(F.lit(1)).alias("n"))
+    from_top = Window.partitionBy("lang").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.withColumn("reach", F.sum("n").over(from_top))
+    return reached.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("reach") >= many, F.col("score"))), F.lit(0)).alias("floor"))
+
+
 def by_language(floor: DataFrame) -> DataFrame:
     """``floor`` (a row for each language) as a side of a join, sent to all tasks if it is short."""
     return F.broadcast(floor) if floor.limit(MOST_SENT + 1).count() <= MOST_SENT else floor
@@ -248,10 +260,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
         known = pairs.select("lang", "score")
         if triples is not None:
             known = known.unionByName(triples.select("lang", "score"))
-        best = Window.partitionBy("lang").orderBy(F.col("score").desc())
-        nth = known.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= int(settled_by))
-        floor = nth.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("floor"))
-        floor = floor.select("lang", F.when(F.col("_n") < int(settled_by), 0).otherwise(F.col("floor")).alias("floor"))
+        floor = reached_score(known, int(settled_by))
         floor = by_language(checkpointed(floor))
         wanted = frontier(pairs, floor)
         if expanded is not None:
