@@ -13,6 +13,10 @@ from volspark.llm.corpus import fold, table
 from volspark.llm.queries import packed
 
 
+#: Words that a packing task remembers; executors still hold what the stages before it took.
+REMEMBERED = 80_000
+
+
 def _training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
 
@@ -45,7 +49,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
-    return packed(docs)
+    return packed(docs, REMEMBERED)
 
 
 STAGES = [

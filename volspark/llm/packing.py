@@ -37,15 +37,17 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Each document's ids and the end id, cut only if longer than ``capacity``: the first piece
-    takes what whole ones leave. Columns: doc_id, piece, start, length, ids (unsigned 32-bit)."""
+    takes what whole ones leave. Columns: doc_id, piece, start, length, ids (unsigned 32-bit).
+    ``remembered`` bounds the words that a task remembers: less memory for more time."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, remembered)
         for keys, texts in slices(batches, BATCH_BYTES):
             row, piece, start, length, ids = [], [], [], [], []
             for i, text in enumerate(texts):

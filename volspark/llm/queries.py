@@ -52,9 +52,9 @@ def vocabulary(name: str) -> str:
 PLACED = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, remembered: int | None = None) -> DataFrame:
     """Documents cut, checksummed and packed; the ids themselves stay in the tasks that made them."""
-    cut = packing.pieces(docs, vocabulary("byte_bpe_50k.json"))
+    cut = packing.pieces(docs, vocabulary("byte_bpe_50k.json"), remembered=remembered)
     items = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(items, ["doc_id", "piece", "ids_crc32"]).select(*PLACED)
 

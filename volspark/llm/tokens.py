@@ -47,20 +47,20 @@ def _byte_letters() -> dict[int, str]:
 class Units(dict):
     """Ids of units; those of a new one are worked out when it is asked for."""
 
-    def __init__(self, work_out):
-        self.work_out = work_out
+    def __init__(self, work_out, most: int):
+        self.work_out, self.most = work_out, most
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         ids = self[unit] = self.work_out(unit)
         return ids
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes; ``remembered`` bounds the units kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -81,7 +81,7 @@ class Encoder:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self.letters = _byte_letters()
         self.space = self.letters[32]
-        self.units = Units(self._ids)
+        self.units = Units(self._ids, remembered or REMEMBERED)
 
     def library(self, text: str) -> bytes:
         """The library's own ids of a text."""
