@@ -302,3 +302,21 @@ def test_every_underlier_of_the_chain_is_fitted(spark):
     assert {r.status for r in got} == {"ok"}
     shown = {r.surface_id for r in queries.QUERIES["chain_to_local_vol"](spark, sf).collect()}
     assert shown < asked
+
+
+def test_tasks_hold_few_quotes_at_a_time_and_lose_none(monkeypatch):
+    monkeypatch.setattr(surfaces, "QUOTES_TOGETHER", 50)
+    quotes, _ = quotes_of(11, 40)
+    rows = quotes.rename(columns={"surface_id": "surface"}).assign(slices=1, weight=1.0).sort_values("surface")
+    sets = [(-0.3, 0.5, 0.3, 0.05), (0.0, 1.0, 0.4, 0.1), (-0.5, 0.9, 0.2, 0.03)]
+    chosen, held = surfaces.Candidates(sets), []
+    best = chosen.best
+    chosen.best = lambda T, *rest: held.append(len(T)) or best(T, *rest)
+    score = surfaces._candidate_scores(chosen)
+    batches = [rows.iloc[i : i + 17] for i in range(0, len(rows), 17)]
+    got = pd.concat(score(iter(batches))).set_index("surface")
+    assert max(held) < 50 + 17 + 40 and sum(held) == len(rows)
+    monkeypatch.setattr(surfaces, "QUOTES_TOGETHER", 10**9)
+    want = pd.concat(score(iter([rows]))).set_index("surface")
+    assert set(got.index) == set(want.index) and len(got) == 40
+    assert (got.param_id == want.param_id.loc[got.index]).all() and np.allclose(got.sse, want.sse.loc[got.index])

@@ -18,6 +18,7 @@ PENALTY = 1e6
 SLICE_ROWS = 20_000  # rows of one key that a task may be asked to take
 SCREENED = 6  # quotes of a surface on which all candidates are tried first
 PAIRS_TOGETHER = 50_000  # surfaces and candidates whose remaining quotes are summed at a time
+QUOTES_TOGETHER = 50_000  # quotes that a task holds in Python at a time, beside one more surface
 ROUNDING = 1e-9  # by so much, relatively, sums in another order may differ
 
 
@@ -176,28 +177,46 @@ class Candidates:
         return partial[rows, best], best
 
 
+def _held_together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows that come in the order of ``surface``, some at a time; only a surface in slices is torn."""
+    kept, count = [], 0
+    for batch in filter(len, batches):
+        kept.append(batch)
+        count += len(batch)
+        if count < QUOTES_TOGETHER:
+            continue
+        rows = pd.concat(kept, ignore_index=True)
+        last = (rows["surface"] == rows["surface"].iloc[-1]) & (rows["slices"] == 1)
+        if not last.all():
+            yield rows[~last]
+            rows = rows[last]
+        kept, count = [rows], len(rows)
+    if kept:
+        yield pd.concat(kept, ignore_index=True)
+
+
 def _candidate_scores(candidates: Candidates):
     """A row for each surface that is here as a whole, with its best set; one with the errors of
-    all sets for each slice of a larger surface."""
+    all sets for each part of a larger surface."""
 
     numbers = ["T", "k", "iv", "weight"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches) or [pd.DataFrame(columns=["surface", "slices", *numbers])])
-        rows = rows.astype(dict.fromkeys(numbers, np.float64))
-        rows = rows[np.isfinite(rows[numbers]).all(axis=1) & (rows["T"] > 0)]
-        for whole, part in rows.groupby(rows["slices"] == 1):
-            codes, ids = pd.factorize(part["surface"])
-            order = np.argsort(codes, kind="stable")
-            quotes = [part[c].to_numpy()[order] for c in numbers]
-            first = np.flatnonzero(np.diff(codes[order], prepend=-1))
-            with np.errstate(all="ignore"):
-                if whole:
-                    sse, best = candidates.best(*quotes, first)
-                    yield pd.DataFrame({"surface": ids, "sse": sse, "param_id": best, "errors": None})
-                else:
-                    errors = list(candidates.errors(*quotes, first))
-                    yield pd.DataFrame({"surface": ids, "sse": None, "param_id": None, "errors": errors})
+        for rows in _held_together(batches):
+            rows = rows.astype(dict.fromkeys(numbers, np.float64))
+            rows = rows[np.isfinite(rows[numbers]).all(axis=1) & (rows["T"] > 0)]
+            for whole, part in rows.groupby(rows["slices"] == 1):
+                codes, ids = pd.factorize(part["surface"])
+                order = np.argsort(codes, kind="stable")
+                quotes = [part[c].to_numpy()[order] for c in numbers]
+                first = np.flatnonzero(np.diff(codes[order], prepend=-1))
+                with np.errstate(all="ignore"):
+                    if whole:
+                        sse, best = candidates.best(*quotes, first)
+                        yield pd.DataFrame({"surface": ids, "sse": sse, "param_id": best, "errors": None})
+                    else:
+                        errors = list(candidates.errors(*quotes, first))
+                        yield pd.DataFrame({"surface": ids, "sse": None, "param_id": None, "errors": errors})
 
     return run
 
@@ -211,7 +230,8 @@ def best_candidate(
     """Best of a list of (rho, eta, gam, nu) candidates for every surface.
 
     The candidates travel with the function. The quotes of a surface are brought together, those of
-    a large surface in slices, and tasks hold them as arrays: no quote is copied per candidate. A
+    a large surface in slices, sorted by Spark, and tasks hold some surfaces at a time as arrays,
+    however many there are: no quote is copied per candidate. A
     whole surface leaves its task as one row; candidates drop out early there, which is exact. The
     slices of a large surface leave as sums for all candidates. Ties go to the lower position.
     Quotes without a usable T, k, iv or weight do not count, and a surface that has no other is
@@ -223,7 +243,7 @@ def best_candidate(
     copies = checkpointed(quotes.groupBy(key, "T", "k", "iv").agg(F.sum(weight or F.lit(1.0)).alias("weight")))
     kind = copies.schema[key].dataType.simpleString()
     base, sliced = gather(copies, key, ("T", "k", "iv"))
-    base = base.select(F.col(key).alias("surface"), "slices", "T", "k", "iv", "weight")
+    base = base.select(F.col(key).alias("surface"), "slices", "T", "k", "iv", "weight").sortWithinPartitions("surface")
     scores = base.mapInPandas(
         _candidate_scores(chosen), f"surface {kind}, sse double, param_id int, errors array<double>"
     )
