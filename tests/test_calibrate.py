@@ -320,3 +320,11 @@ def test_tasks_hold_few_quotes_at_a_time_and_lose_none(monkeypatch):
     want = pd.concat(score(iter([rows]))).set_index("surface")
     assert set(got.index) == set(want.index) and len(got) == 40
     assert (got.param_id == want.param_id.loc[got.index]).all() and np.allclose(got.sse, want.sse.loc[got.index])
+
+
+def test_sets_are_not_broadcast(spark, capsys):
+    sets = surface_table(spark, TRUE).selectExpr("*", "explode(sequence(0, 2)) as param_id")
+    quotes = spark.range(100).selectExpr("cast(id % 2 as int) as surface_id", "1e0 as T", "id / 1e2 as k", "2e-1 as iv")
+    surfaces.ssvi_sse(quotes, sets).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -93,8 +93,9 @@ def ssvi_sse(
     inverse bid/ask spread. A set that violates the no-arbitrage condition scores ``PENALTY``.
     """
     # Grouped by a struct, the sums do not count as clustered by the join: partial sums cross an
-    # exchange after it, and adaptive execution may split a hot surface in the join.
-    scored = with_ssvi_iv(quotes.join(params, key), "_model")
+    # exchange after it, and adaptive execution may split a hot surface in the join. Sets grow with
+    # the surfaces; merged, they need not fit into a task.
+    scored = with_ssvi_iv(quotes.join(params.hint("merge"), key), "_model")
     sums = scored.groupBy(F.struct(F.col(key).alias("key")).alias("_surface"), "param_id").agg(
         _squared_error(weight).alias("sum_sq"), F.bool_and(ssvi_arb_free()).alias("admissible")
     ).withColumn(key, F.col("_surface.key"))
