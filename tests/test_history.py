@@ -72,3 +72,15 @@ def test_empty_histories(spark):
     paid = spark.createDataFrame([], "underlier string, pay_date date, amount double")
     assert [r.status for r in history.enrich_dates(quotes, spots, rates, paid).collect()] == ["no_spot"]
     assert history.enrich_dates(quotes.limit(0), spots, rates, paid).count() == 0
+
+
+def test_exploded_histories_are_not_broadcast(spark, capsys):
+    """Spark guesses them as small as the table that they are exploded from."""
+    dates = spark.sql("select 1 as underlier, date '2020-01-01' as asof, 1e0 as horizon")
+    paid = spark.range(9).selectExpr(
+        "cast(id as int) as underlier", "explode(sequence(date '2020-01-01', date '2021-01-01')) as pay_date",
+        "1e0 as amount",
+    )
+    history.dividends_of_dates(dates, paid).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

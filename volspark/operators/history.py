@@ -34,13 +34,15 @@ def dividends_of_dates(dates: DataFrame, paid: DataFrame, keys: Sequence[str] =
     as (T, alpha, beta) beside the columns of ``dates``.
 
     Dates and payments meet by key and calendar year, so a key's dates are paired with the payments
-    of the years they reach into and not with its whole history.
+    of the years they reach into and not with its whole history. Both sides grow with the market and
+    are merged: a size that Spark guesses for payments from an ``explode`` is too small, and a
+    broadcast would have to fit into the driver and every executor.
     """
     horizon = F.expr("date_add(asof, cast(least(ceil(horizon * 365.25D), 36525D) as int))")
     years = F.sequence(F.year("asof"), F.year(horizon))
     reached = dates.withColumn("_to", horizon).withColumn("_year", F.explode(years))
     cash = paid.select(*keys, "pay_date", F.col("amount").alias("alpha"), F.year("pay_date").alias("_year"))
-    inside = reached.join(cash, [*keys, "_year"]).where("pay_date > asof and pay_date <= _to")
+    inside = reached.join(cash.hint("merge"), [*keys, "_year"]).where("pay_date > asof and pay_date <= _to")
     return inside.select(
         *dates.columns, year_frac(F.col("asof"), "pay_date").alias("T"), "alpha", F.lit(0.0).alias("beta")
     ).drop("horizon")
@@ -63,7 +65,7 @@ def enrich_dates(quotes: DataFrame, spots: DataFrame, rates: DataFrame, paid: Da
     dates = dates.join(curve_days, ["curve_id", "asof"], "left")
     known = spots.select("underlier", F.col("asof").alias("spot_asof"), "spot")
     known = known.groupBy("underlier", "spot_asof").agg(F.max("spot").alias("spot"))
-    found = spot_days.join(known, ["underlier", "spot_asof"], "left").join(
+    found = spot_days.join(known.hint("merge"), ["underlier", "spot_asof"], "left").join(
         dates.select(*market), ["underlier", "asof"]
     )
     nodes = rates.withColumnRenamed("asof", "curve_asof")
