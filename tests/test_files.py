@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from volspark.operators import chain, curves, snapshot
 from volspark.sources import chain as chain_source
 from volspark.sources.chain import CHAIN_COLUMNS, observed_chain, read_chain, read_chain_text
-from volspark.sources.folder import write_market
-from volspark.sources.market import CALL_FILE, read_market, read_rates, underlier_of
+from volspark.sources.folder import OWN_FILES, write_market
+from volspark.sources.market import CALL_FILE, SHARED, read_market, read_rates, underlier_in, underlier_of
 
 
 @pytest.fixture
@@ -162,3 +162,43 @@ def test_market_folder_refuses(spark, tmp_path):
     empty = [t.limit(0) for t in (quotes, *others)]
     write_market(str(tmp_path / "none"), *empty)
     assert not (tmp_path / "none").exists() or not list((tmp_path / "none").iterdir())
+
+
+def test_many_underliers_share_files(spark, tmp_path):
+    many = 3000
+    tables = market_tables(spark, many)
+    names = {"hot": "hot, the \"first\"", "cold": " cold "}
+    renamed = [t.replace(names, subset="underlier") if "underlier" in t.columns else t for t in tables]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_market(str(tmp_path / "m"), *renamed, own_files=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(p.name for p in (tmp_path / "m").iterdir()) == [
+        f"{SHARED}_{kind}.csv" for kind in ("calls", "dividends", "puts", "spot")] + ["treasury_rates.csv"]
+    assert (tmp_path / "m" / f"{SHARED}_calls.csv").is_dir()  # the calls span tasks
+    assert (tmp_path / "m" / "treasury_rates.csv").read_text() == "tenor,rate\n0.25,0.01\n1.0,0.02\n"
+    write_market(str(tmp_path / "own"), *tables)
+    own = snapshot.enrich_quotes(*read_market(spark, str(tmp_path / "own"), "2026-05-16"))
+    shared = snapshot.enrich_quotes(*read_market(spark, str(tmp_path / "m"), "2026-05-16"))
+    assert Counter(shared.collect()) == Counter(own.replace(names, subset="underlier").select(shared.columns).collect())
+    calls = read_chain(spark, f"{tmp_path}/m/*{CALL_FILE}", True, ("underlier", "position"))
+    calls = calls.withColumn("underlier", underlier_in("position.file", CALL_FILE)).orderBy("position").collect()
+    assert [(r.underlier, r.strike) for r in calls] == [(" cold ", 90.0)] + [
+        (names["hot"], 100.0 + i / 8) for i in range(many)]
+    (tmp_path / "m" / "late_calls.csv").write_text("\n".join([",".join([*CHAIN_COLUMNS, "more"]), line(7) + ",text"]))
+    added = read_market(spark, str(tmp_path / "m"), "2026-05-16").quotes
+    assert added.count() == many + 3 and added.where("underlier = 'late'").count() == 1
+    for bad in (SHARED, "a\nb"):
+        with pytest.raises(Exception, match="underlier"):
+            write_market(str(tmp_path / "bad"), tables[0].withColumn("underlier", F.lit(bad)), *tables[1:])
+
+
+def test_more_underliers_make_no_more_files(spark, tmp_path):
+    quotes, spots, rates, paid = market_tables(spark, 1)
+    number = F.explode(F.expr(f"transform(sequence(0, {OWN_FILES}), i -> string(i))"))
+    several = [t.where("underlier = 'hot'").withColumn("underlier", number) for t in (quotes, spots, paid)]
+    write_market(str(tmp_path / "m"), several[0], several[1], rates, several[2])
+    assert len([p for p in (tmp_path / "m").rglob("*.csv") if p.is_file()]) < 30
+    rows = snapshot.enrich_quotes(*read_market(spark, str(tmp_path / "m"), "2026-05-16")).collect()
+    assert sorted(int(r.underlier) for r in rows) == list(range(OWN_FILES + 1)) and {r.status for r in rows} == {"ok"}

@@ -14,7 +14,7 @@ from ..operators import (
 )
 from ..sources import chain as chain_source
 from ..sources.folder import write_market
-from ..sources.market import CALL_FILE, future_dividends, read_market, read_rates, underlier_of
+from ..sources.market import CALL_FILE, future_dividends, read_market, read_rates, underlier_in
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +82,10 @@ def market_folder(spark, sf):
 
 @query
 def first_calls_in_file(spark, sf):
-    """The first five good calls of every chain file, in the order of its lines."""
+    """The first five good calls of every underlier, in the order of the lines of its chain file."""
     path = f"{_written_market(spark, sf)}/*{CALL_FILE}"
-    calls = chain_source.read_chain(spark, path, True, ("position",))
-    calls = calls.withColumn("underlier", underlier_of("position.file", CALL_FILE))
+    calls = chain_source.read_chain(spark, path, True, ("underlier", "position"))
+    calls = calls.withColumn("underlier", underlier_in("position.file", CALL_FILE))
     first = chain.first_n(calls, 5, ("position",), ("underlier",))
     return first.select("underlier", "rank", "strike", r6("T", "T", 8), "exercise", "bid", "ask", "volume", "open_interest")
 

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date, year_frac
 from ..operators.curves import marked_curves, validate_curve
 from ..operators.snapshot import latest_spot
-from .chain import CHAIN_SCHEMA, parse_chain
+from .chain import CHAIN_COLUMNS, parse_chain
 from .positions import file_position
 
 # Endings of the files of a market folder and the name of its curve.
 SPOT_FILE, DIVIDEND_FILE = "_spot.csv", "_dividends.csv"
 CALL_FILE, PUT_FILE, RATE_FILE = "_calls.csv", "_puts.csv", "treasury_rates.csv"
 CURVE = "usd"
+# In place of an underlier in the name of a file: lines of all underliers, each with its own in a last column.
+SHARED = "all_underliers"
 
 
 def _read_text(spark: SparkSession, path, columns: str) -> DataFrame:
@@ -89,7 +91,13 @@ class Market(NamedTuple):
 
 def underlier_of(path: str, ending: str) -> Column:
     """The underlier from the path of a file, or of a part of it."""
-    return F.regexp_extract(path, f"([^/]*){ending}(/[^/]*)?$".replace(".", "\\."), 1)
+    return F.regexp_extract(path, f"(?:^|/)([^/]*){ending}(/[^/]*)?$".replace(".", "\\."), 1)
+
+
+def underlier_in(path: str, ending: str, given: str = "underlier") -> Column:
+    """The underlier of a line: from the path, or the column ``given`` of files named ``SHARED``."""
+    shared = F.col(path).rlike(f"(^|/){SHARED}{ending}(/[^/]*)?$".replace(".", "\\."))
+    return F.when(shared, F.col(given)).otherwise(underlier_of(path, ending))
 
 
 def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
@@ -97,17 +105,18 @@ def read_market(spark: SparkSession, folder: str, asof: str) -> Market:
     ``_dividends.csv`` files and one ``treasury_rates.csv``.
 
     A spot file may hold a history: the last spot up to ``asof`` counts. Each kind of file is one
-    scan; the underlier is taken from the file name. In place of a file there may be a folder of
-    that name with its parts. A folder without
+    scan; the underlier is taken from the file name, or from the last column of the files called
+    ``SHARED``. In place of a file there may be a folder of that name with its parts. A folder without
     any file of a kind fails when it is read, except dividends, which may be absent for some.
     """
 
-    def named(ending: str, schema) -> DataFrame:
-        files = spark.read.schema(schema).option("header", True).csv(f"{folder}/*{ending}")
-        return files.withColumn("underlier", underlier_of("_metadata.file_path", ending))
+    def named(ending: str, columns: str) -> DataFrame:
+        files = _read_text(spark, f"{folder}/*{ending}", columns + ", underlier string")
+        return files.withColumn("underlier", underlier_in("_metadata.file_path", ending))
 
+    chain_columns = ", ".join(f"{c} string" for c in CHAIN_COLUMNS)
     sides = [
-        parse_chain(named(ending, CHAIN_SCHEMA), is_call, ("underlier",))
+        parse_chain(named(ending, chain_columns), is_call, ("underlier",))
         for ending, is_call in ((CALL_FILE, True), (PUT_FILE, False))
     ]
     history = named(SPOT_FILE, "date string, spot string").select(
