@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from volspark.operators import chain
+from volspark.plans import tables
+from volspark.plans.queries import QUERIES
 
 
 def test_normalise_chain(spark):
@@ -67,3 +69,16 @@ def test_parity_equals_the_pairwise_join_even_with_copies(spark):
     assert 120.0 not in got.index
     report = chain.parity_report(chain.parity_by_strike(df, price=F.col("p"))).first()
     assert report.strikes == 3 and report.max_residual == pytest.approx(got.worst.max())
+
+
+def test_tasks_of_the_parity_table_do_not_grow_with_it(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(tables, "TASK_ROWS", 300)
+    items = tables.load(spark, sf, "lineitem").count()
+    dealt = tables.dealt_spot_quotes(spark, sf)
+    sizes = dealt.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(sizes) == -(-items // 300) > 10 and max(r["count"] for r in sizes) < 600
+    plain = tables.quotes(spark, sf).join(tables.spots(spark, sf), "underlier").select(dealt.columns)
+    assert plain.exceptAll(dealt).count() == dealt.exceptAll(plain).count() == 0
+    parity = QUERIES["parity_by_strike"](spark, sf)
+    assert parity.rdd.getNumPartitions() == len(sizes)

@@ -438,7 +438,7 @@ def dividends_in_interval(spark, sf):
 
 def _both_sides(spark, sf):
     """A call and a put at every strike, with mids that deviate from parity by half a spread."""
-    rows = _with_forward(tables.chain(spark, sf).drop("is_call"))
+    rows = _with_forward(tables.chain(spark, sf, dealt=True).drop("is_call"))
     rows = rows.selectExpr("*", "explode(array(true, false)) as is_call")
     rows = black.with_black_price(rows, "fair", sigma="sigma_true")
     return rows.withColumn(

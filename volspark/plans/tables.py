@@ -24,6 +24,7 @@ HISTORY_TENORS = {
     "y2": 2.0, "y5": 5.0, "y10": 10.0, "y30": 30.0,
 }
 CURVES = 25
+TASK_ROWS = 500_000  # line items that a task groups at most, about, where they are dealt first
 
 
 def asof() -> Column:
@@ -49,9 +50,13 @@ def with_surface(df: DataFrame, underlier: str = "underlier") -> DataFrame:
     )
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One quote per (underlier, qty, days, side): quote_id, T, volume, open_interest, ..."""
-    rows = load(spark, sf_dir, "lineitem").selectExpr(
+# What makes a quote.
+QUOTE_KEYS = ("underlier", "qty", "days", "is_call")
+
+
+def _quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quote of each line item."""
+    return load(spark, sf_dir, "lineitem").selectExpr(
         "l_partkey as underlier",
         "cast(l_quantity as int) as qty",
         f"cast(datediff(l_shipdate, date '{ASOF}') % 359 + 7 as int) as days",
@@ -60,34 +65,58 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         "l_discount",
     )
-    keys = ("underlier", "qty", "days", "is_call")
-    grouped = rows.groupBy(*keys).agg(
+
+
+def _grouped(rows: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Quotes from those of line items, with the columns ``carried`` that depend on the keys."""
+    grouped = rows.groupBy(*QUOTE_KEYS).agg(
         F.min("l_returnflag").alias("flag"),
         F.sum("l_quantity").alias("quantity"),
         F.count("*").alias("open_interest"),
         F.max("l_discount").alias("discount"),
+        *[F.min(c).alias(c) for c in carried],
     )
     return grouped.selectExpr(
         "((underlier * 64 + qty) * 512 + days) * 2 + cast(is_call as int) as quote_id",
-        *keys,
+        *QUOTE_KEYS,
         "days / 365e0 as T",
         "case when flag = 'R' then 'american' else 'european' end as exercise",
         "(qty - 25) / 62.5e0 as k",
         "cast(quantity as bigint) as volume",
         "open_interest",
         "discount / 1e1 as spread_frac",
+        *carried,
     )
 
 
+def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quote per (underlier, qty, days, side): quote_id, T, volume, open_interest, ..."""
+    return _grouped(_quoted(spark, sf_dir))
+
+
 def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").selectExpr(
         "p_partkey as underlier", "p_retailprice as spot"
     )
 
 
-def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dealt_spot_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes with spot, from line items dealt to tasks of about ``TASK_ROWS``, both sides of a strike
+    to the same one: what a task holds when it groups them does not grow with the table.
+
+    Nearly every line item is a quote of its own, so that grouping them where they are read, or
+    before the spots are joined, would save no exchange.
+    """
+    rows = _quoted(spark, sf_dir).join(spots(spark, sf_dir), "underlier")
+    count = load(spark, sf_dir, "lineitem").count()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // TASK_ROWS))
+    return _grouped(rows.repartition(tasks, "underlier", "qty", "days"), ("spot",))
+
+
+def chain(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Quotes with spot, strike = spot e^k, surface parameters and the true vol (4 decimals)."""
-    rows = with_surface(quotes(spark, sf_dir).join(spots(spark, sf_dir), "underlier"))
+    rows = quotes(spark, sf_dir).join(spots(spark, sf_dir), "underlier")
+    rows = with_surface(dealt_spot_quotes(spark, sf_dir) if dealt else rows)
     rows = with_ssvi_iv(rows, "model_iv")
     return rows.selectExpr(
         "* except (model_iv)", "spot * exp(k) as strike", "round(model_iv, 4) as sigma_true"
