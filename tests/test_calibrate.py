@@ -328,3 +328,19 @@ def test_sets_are_not_broadcast(spark, capsys):
     surfaces.ssvi_sse(quotes, sets).explain()
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_stored_quotes_are_not_copied(spark, tmp_path, monkeypatch):
+    frame, _ = quotes_of(3, 6)
+    spark.createDataFrame(frame).write.parquet(str(tmp_path / "quotes"))
+    stored = spark.read.parquet(str(tmp_path / "quotes"))
+    copied = []
+    monkeypatch.setattr(calibrate, "checkpointed", lambda df: copied.append(df.columns) or df.checkpoint())
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    want = calibrate.calibrate_ssvi(stored).toPandas().set_index("surface_id").sort_index()
+    assert sum("iv" in columns for columns in copied) == 1
+    copied.clear()
+    got = calibrate.calibrate_ssvi(stored, stored=True).toPandas().set_index("surface_id").sort_index()
+    assert not any("iv" in columns for columns in copied)
+    pd.testing.assert_frame_equal(got, want, rtol=1e-6)
+    assert (got["status"] == "ok").all()

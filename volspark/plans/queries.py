@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..checkpoint import checkpointed, scratch_folder
+from ..checkpoint import scratch_folder
 from ..functions import black, local_vol, quotes as quote_columns, ssvi
 from ..functions.dates import parse_date, year_frac
 from ..functions.normal import norm_cdf, norm_pdf
@@ -15,6 +15,7 @@ from ..operators import (
 from ..sources import chain as chain_source
 from ..sources.folder import write_market
 from ..sources.market import CALL_FILE, future_dividends, read_market, read_rates, underlier_in
+from ..sources.sink import write_table
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,7 +134,7 @@ def _market(spark, sf):
 
 
 def _enriched(spark, sf):
-    rows = tables.with_curve(tables.priced_quotes(spark, sf)).drop("spot", "k")
+    rows = tables.with_curve(tables.priced_quotes(spark, sf, dealt=True)).drop("spot", "k")
     return snapshot.enrich_quotes(rows, *_market(spark, sf))
 
 
@@ -609,10 +610,12 @@ def _chain_surfaces(spark, sf):
     rows = ssvi.with_ssvi_iv(_enriched(spark, sf), "model_iv")
     priced = black.with_black_price(rows, "theory", sigma="model_iv")
     vols = implied.with_implied_vol(priced, "theory").withColumn("weight", implied.price_weight())
-    vols = checkpointed(
-        vols.selectExpr("underlier as surface_id", "T", "k", "model_iv", "status", "sigma as iv", "weight")
+    folder = scratch_folder(spark, "vols")
+    write_table(
+        vols.selectExpr("underlier as surface_id", "T", "k", "model_iv", "status", "sigma as iv", "weight"), folder
     )
-    fitted = calibrate.calibrate_ssvi(vols.where("status = 'ok'"), weight="weight")
+    vols = spark.read.parquet(folder)
+    fitted = calibrate.calibrate_ssvi(vols.where("status = 'ok'"), weight="weight", stored=True)
     fitted = vols.select("surface_id").distinct().join(fitted, "surface_id", "left")
     return vols, fitted.fillna("invalid_input", ["status"])
 

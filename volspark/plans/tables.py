@@ -133,9 +133,9 @@ def with_flat_price(df: DataFrame, name: str = "price", is_call: str = "is_call"
     return with_bs_price(df, name, r=FLAT_RATE, q=0.0, sigma="sigma_true", is_call=is_call)
 
 
-def priced_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def priced_quotes(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Chain with bid and ask around the Black-Scholes price at the true vol."""
-    return with_flat_price(chain(spark, sf_dir)).selectExpr(
+    return with_flat_price(chain(spark, sf_dir, dealt)).selectExpr(
         "*", "price * (1e0 - spread_frac) as bid", "price * (1e0 + spread_frac) as ask"
     )
 
