@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import awkward, docs_of
@@ -44,6 +45,54 @@ def test_a_full_memory_keeps_ids_right(path, monkeypatch):
     assert [as_ids(encoder.encode(t)).tolist() for t in texts] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_ids_of_an_array_equal_the_library(path):
+    from tokenizers import Tokenizer
+
+    encoder, rng, fresh = Encoder(path), random.Random(7), Tokenizer.from_file(path)
+    alphabet = [*" \n  aJS.'’,;_#<|>1٣éÉÿİŉ×²Σ!\t\x1c\x85\xa0ªΩK日😀", "'s", "'LL", "\u030c", "\u0301", "\u0338", "\u0307",
+                "<|endoftext|>", "<|EndOfText|>", "abc", "The", "x9Y"]
+    texts = [*ODD, "J\u030c", "J", "\u030c", "é", "é.", "<|ENDOFTEXT|>", "a<|ENDOFTEXT|>",
+             *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(20_000))]
+    rng.shuffle(texts)
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    for n in (1, 7, len(texts)):
+        rows = pa.array([None, *(t.encode() for t in texts)], pa.binary())
+        got = [raw for a in range(1, 1 + min(len(texts), 50 * n), n) for raw in encoder.encode_all(rows.slice(a, n))]
+        assert [as_ids(raw).tolist() for raw in got] == want[: len(got)]
+    assert encoder.encode_all(rows.slice(0, 1)) == encoder.encode_all(pa.array([b""], pa.binary())) == [b""]
+    assert encoder.encode_all(rows.slice(0, 0)) == []
+    damaged = b"caf\xc3. \xff \xe6\x97, x"
+    assert encoder.encode_all(pa.array([damaged])) == [encoder.library(damaged.decode("utf-8", "replace"))]
+
+
+def test_frequent_units_are_worked_out_once():
+    from volspark.llm.tokens import Units
+
+    asked = []
+    units = Units(lambda unit: asked.append(unit) or unit.encode(), 100)
+    for i in range(1000):
+        assert units["often"] == b"often" and units[str(i)] == str(i).encode()
+        assert len(units) + len(units.older) <= 101
+    assert asked.count("often") == 1
+    for i in range(100):
+        units[f"{i} " * 1000]
+    assert len(units) + len(units.older) <= 4  # long ones count for more
+
+
+def test_a_worker_keeps_its_encoder(tmp_path):
+    import shutil
+
+    from volspark.llm.tokens import kept
+
+    path = str(tmp_path / "vocabulary.json")
+    shutil.copyfile(WORD, path)
+    first = kept(path)
+    assert kept(path) is first and first.encode("a text") == Encoder(WORD).encode("a text")
+    shutil.copyfile(BYTE, path)
+    assert kept(path).encode("a text") == Encoder(BYTE).encode("a text")
+
+
 def random_items(rng, n, capacity):
     return [rng.choice((rng.randint(1, capacity), rng.randint(1, capacity // 8))) for _ in range(n)]
 
@@ -130,6 +179,13 @@ def test_records_round_trip(spark, tmp_path):
     assert sorted(records.read_shuffled(spark, folder, seed=4).collect()) == sorted(mixed)
 
 
+def test_records_keep_large_ids_beside_null_ones(spark, tmp_path):
+    folder, rows = f"file://{tmp_path}/large", [(None, "a"), (2**53 + 1, "b"), (-(2**63), None), (2**63 - 1, "c")]
+    records.write(docs_of(spark, rows).coalesce(1), folder, WORD, 2)
+    got = [r.doc_id for r in records.read(spark, folder).orderBy("shard", "position").collect()]
+    assert got == [None, -(2**63), 2**53 + 1, 2**63 - 1]
+
+
 def test_records_of_an_empty_table(spark, tmp_path):
     folder = f"file://{tmp_path}/none"
     records.write(docs_of(spark, []), folder, WORD, 2)

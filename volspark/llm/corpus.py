@@ -44,15 +44,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
-    """Batches (key, text as bytes) cut so that a slice holds about ``most`` bytes, or one row."""
+def parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Batches (key, text as bytes) cut so that a part holds about ``most`` bytes, or one row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
         part = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
         for a, b in zip(cuts, cuts[1:]):
             if a < b:
-                yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
+                yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
+    """The same with the texts as a list."""
+    return ((keys, texts.to_pylist()) for keys, texts in parts(batches, most))
 
 
 def give_back() -> None:

@@ -27,18 +27,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import ensure_checkpoint_dir
-from .tokens import Encoder, as_ids
+from .corpus import parts
+from .tokens import as_ids, kept
 
 LENGTH, SUM, HEAD, ENTRY = "<Q", "<I", "<qBB", "<QQ"
 MASK = 0xA282EAD8
-#: Records handed to Spark together hold about so many bytes.
+#: Records handed to Spark together, and texts encoded together, hold about so many bytes.
 BATCH_BYTES = 4 << 20
+#: Bytes that are read from a file at once.
+READ_BYTES = 1 << 18
 RECORD = "shard int, position long, doc_id long, start long, n_tokens long, ids binary"
+COLUMNS = pa.schema(
+    [("shard", pa.int32()), *((c, pa.int64()) for c in ("position", "doc_id", "start", "n_tokens")), ("ids", pa.binary())]
+)
 
 
 def masked(data: bytes) -> int:
@@ -89,32 +96,36 @@ def shared_folder(spark: SparkSession) -> str:
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None:
     """Encode every text, add the end id, and write records in ascending order of ``doc_id``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard, attempt = context.partitionId(), context.taskAttemptId()
         store, root = filesystem(folder)
         store.create_dir(root, recursive=True)
-        encoder = Encoder(tokenizer)
+        encoder = kept(tokenizer)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         end = np.array([end_id], dtype="<u4").tobytes()
         name, own = f"{root}/shard-{shard:06d}", f"{root}/.shard-{shard:06d}-{attempt}"
         records = tokens = place = 0
         with store.open_output_stream(f"{own}.rec") as rec, store.open_output_stream(f"{own}.idx") as idx:
-            for batch in batches:
-                for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                    ids = as_ids(encoder.encode(text) + end)
-                    key = None if pd.isna(doc_id) else int(doc_id)
+            for keys, texts in parts(batches, BATCH_BYTES):
+                framed, entries = [], []
+                for key, raw in zip(keys.to_pylist(), encoder.encode_all(texts)):
+                    ids = as_ids(raw + end)
                     data = frame(serialise(key, ids, width))
-                    rec.write(data)
-                    idx.write(struct.pack(ENTRY, place, len(ids)))
+                    framed.append(data)
+                    entries.append(struct.pack(ENTRY, place, len(ids)))
                     records, tokens, place = records + 1, tokens + len(ids), place + len(data)
+                rec.write(b"".join(framed))
+                idx.write(b"".join(entries))
         for kind in ("rec", "idx"):
             store.move(f"{own}.{kind}", f"{name}.{kind}")
         if records:
-            yield pd.DataFrame({"shard": [shard], "records": [records], "tokens": [tokens]})
+            columns = [pa.array([shard], pa.int32()), pa.array([records], pa.int64()), pa.array([tokens], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "records", "tokens"])
 
     ordered = docs.select("doc_id", "text").orderBy("doc_id", F.xxhash64("text"))
-    manifest = ordered.mapInPandas(run, "shard int, records long, tokens long")
+    texts = ordered.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    manifest = texts.mapInArrow(run, "shard int, records long, tokens long")
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
 
 
@@ -126,34 +137,41 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-    columns, group, size = [c.split()[0] for c in RECORD.split(", ")], [], 0
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    group, size = [], 0
     for row in rows:
         group.append(row)
         size += len(row[-1])
         if size > BATCH_BYTES:
-            yield pd.DataFrame(group, columns=columns).astype({"doc_id": "Int64"})
+            yield _batch(group)
             group, size = [], 0
     if group:
-        yield pd.DataFrame(group, columns=columns).astype({"doc_id": "Int64"})
+        yield _batch(group)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), COLUMNS)], schema=COLUMNS)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    return (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """All records in the order of the files: shard, position, doc_id, start, n_tokens, ids."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         store, root = filesystem(folder)
-        for batch in batches:
-            for shard, records, start in zip(batch["shard"], batch["records"], batch["start"]):
-                with store.open_input_stream(f"{root}/shard-{shard:06d}.rec") as rec:
-                    for position in range(records):
-                        doc_id, ids = parse(unframe(rec.read))
-                        yield shard, position, doc_id, start, len(ids), ids.tobytes()
-                        start += len(ids)
-
-    table = shards(spark, folder)
+        for shard, records, start in _rows(batches):
+            with store.open_input_stream(f"{root}/shard-{shard:06d}.rec", buffer_size=READ_BYTES) as rec:
+                for position in range(records):
+                    doc_id, ids = parse(unframe(rec.read))
+                    yield shard, position, doc_id, start, len(ids), ids.tobytes()
+                    start += len(ids)
+
+    table = shards(spark, folder).select("shard", "records", "start")
     spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return table.repartition(spread, "shard").mapInPandas(lambda b: _batches(rows(b)), RECORD)
+    return table.repartition(spread, "shard").mapInArrow(lambda b: _batches(rows(b)), RECORD)
 
 
 def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
@@ -174,20 +192,19 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int) -> DataFrame:
                     }
                 )
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         store, root = filesystem(folder)
         files = {}
-        for batch in batches:
-            for row in batch.itertuples():
-                if row.shard not in files:
-                    if len(files) > 64:
-                        files.popitem()[1].close()
-                    files[row.shard] = store.open_input_file(f"{root}/shard-{row.shard:06d}.rec")
-                rec = files[row.shard]
-                rec.seek(row.place)
-                doc_id, ids = parse(unframe(rec.read))
-                yield row.shard, row.position, doc_id, row.start, len(ids), ids.tobytes()
+        for shard, position, place, start in _rows(batches):
+            if shard not in files:
+                if len(files) > 64:
+                    files.popitem()[1].close()
+                files[shard] = store.open_input_file(f"{root}/shard-{shard:06d}.rec")
+            rec = files[shard]
+            rec.seek(place)
+            doc_id, ids = parse(unframe(rec.read))
+            yield shard, position, doc_id, start, len(ids), ids.tobytes()
 
     index = shards(spark, folder).mapInPandas(entries, "shard int, position long, place long, start long")
     turn = F.xxhash64(F.lit(seed), "shard", "position")
-    return index.orderBy(turn, "shard", "position").mapInPandas(lambda b: _batches(rows(b)), RECORD)
+    return index.orderBy(turn, "shard", "position").mapInArrow(lambda b: _batches(rows(b)), RECORD)
