@@ -93,6 +93,26 @@ def test_a_worker_keeps_its_encoder(tmp_path):
     assert kept(path).encode("a text") == Encoder(BYTE).encode("a text")
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_white_space_of_an_array_equals_the_library(path):
+    from tokenizers import Tokenizer
+
+    encoder, rng, fresh = Encoder(path), random.Random(8), Tokenizer.from_file(path)
+    alphabet = [*"   \n\n\t\r\x85\xa0\u2003\u2028\u3000\u1680\u200b", *"ab.1é”日'", "\u0301"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 10))) for _ in range(20_000)]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [as_ids(raw).tolist() for raw in encoder.encode_all(pa.array([t.encode() for t in texts]))] == want
+
+
+def test_equal_words_of_an_array_are_looked_up_once():
+    texts = pa.array([b"one two, two  \nthree", b"one two"] * 50)
+    for path in (BYTE, WORD):
+        encoder, asked = Encoder(path), []
+        look_up, encoder.units = encoder.units, type("Seen", (), {"__getitem__": lambda _, u: asked.append(u) or look_up[u]})()
+        encoder.encode_all(texts)
+        assert len(asked) == len(set(asked)) < 10
+
+
 def random_items(rng, n, capacity):
     return [rng.choice((rng.randint(1, capacity), rng.randint(1, capacity // 8))) for _ in range(n)]
 

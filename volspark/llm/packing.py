@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoint import checkpointed
-from .corpus import lean, slices
-from .tokens import Encoder
+from .corpus import lean, parts
+from .tokens import Encoder, kept
 
 CAPACITY = 2048
 END_ID = 0
@@ -42,16 +42,17 @@ def pieces(
 ) -> DataFrame:
     """Each document's ids and the end id, cut only if longer than ``capacity``: the first piece
     takes what whole ones leave. Columns: doc_id, piece, start, length, ids (unsigned 32-bit).
-    ``remembered`` bounds the words that a task remembers: less memory for more time."""
+    ``remembered`` bounds the words that a task remembers, which otherwise live on in its worker: less
+    memory for more time."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, remembered)
-        for keys, texts in slices(batches, BATCH_BYTES):
+        encoder = Encoder(tokenizer, remembered) if remembered else kept(tokenizer)
+        for keys, texts in parts(batches, BATCH_BYTES):
             row, piece, start, length, ids = [], [], [], [], []
-            for i, text in enumerate(texts):
-                raw = encoder.encode(text.decode("utf-8", "replace") if text else None) + end
+            for i, raw in enumerate(encoder.encode_all(texts)):
+                raw += end
                 n = len(raw) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
