@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import numpy as np
 
@@ -84,3 +85,73 @@ def test_exploded_histories_are_not_broadcast(spark, capsys):
     history.dividends_of_dates(dates, paid).explain()
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+MARKET = {
+    "quotes": "id int, underlier string, curve_id string, asof date, T double, strike double, bid double, ask double",
+    "spots": "underlier string, asof date, spot double",
+    "rates": "curve_id string, asof date, tenor double, rate double, sound boolean",
+    "paid": "underlier string, pay_date date, amount double",
+}
+
+
+def market(spark, **more):
+    """Histories of three underliers and four curves, with days that come twice and values that are missing."""
+    rng = random.Random(3)
+    names, curves = ("a", "b", "c", None), ("usd", "eur", "bad", None)
+    rows = {
+        "quotes": [(i, rng.choice(names), rng.choice(curves), rng.choice([None, *map(day, range(0, 700, 50))]),
+                    rng.choice([None, 0.1, 0.5, 0.5, 2.0]), 100.0, 1.0, 2.0) for i in range(300)],
+        "spots": [(u, None if n == 320 else day(n), None if n == 200 else 90.0 + n / 10 + x)
+                  for u in ("a", "b", None) for n in range(100, 600, 20) for x in (2, 0, 1)],
+        "rates": [(c, day(n), t, 0.01 * t + n * 1e-5, c != "bad") for c in curves if c for n in ((400,) if c == "eur" else (60, 130, 400)) for t in (0.25, 1.0, 5.0)],
+        "paid": [(rng.choice(names), None if n % 90 == 0 else day(n), None if n % 70 == 0 else n / 100) for n in range(0, 1500, 10)] * 2,
+    } | more
+    return [spark.createDataFrame(rows[k], MARKET[k]) for k in MARKET]
+
+
+def found(df):
+    return {r.id: tuple(round(x, 9) if isinstance(x, float) else x for x in r[1:]) for r in df.collect()}
+
+
+OUT = ("id", "status", "spot", "spot_asof", "curve_asof", "r", "df", "pv_div", "forward", "k")
+
+
+def test_curves_that_are_too_many_to_send_and_tasks_of_few_rows(spark, monkeypatch):
+    tables = market(spark)
+    want = found(history.enrich_dates(*tables).select(*OUT))
+    assert len(want) == 300 and {r[0] for r in want.values()} == {"ok", "no_spot", "no_curve", "invalid_curve", "no_maturity"}
+    assert any(r[6] for r in want.values())
+    monkeypatch.setattr(history, "MOST_SENT", 0)
+    monkeypatch.setattr(history, "TASK_ROWS", 20)
+    assert found(history.enrich_dates(*tables).select(*OUT)) == want
+
+
+def test_the_larger_spot_of_a_day_and_payments_of_a_day_add_up(spark):
+    tables = market(
+        spark, quotes=[(1, "a", "usd", day(61), 0.5, 100.0, 1.0, 2.0)],
+        spots=[("a", day(60), 7.0), ("a", day(60), 9.0), ("a", day(60), None), ("a", day(62), 50.0)],
+        rates=[("usd", day(60), 1.0, 0.02, True)],
+        paid=[("a", day(n), x) for n, x in ((61, 5.0), (62, 1.0), (62, 1.0), (62, None), (240, 2.0), (400, 8.0))],
+    )
+    (row,) = history.enrich_dates(*tables).collect()
+    want = 2 * np.exp(-0.02 / 365.25) + 2 * np.exp(-0.02 * 179 / 365.25)
+    assert row.spot == 9.0 and row.spot_asof == day(60) and abs(row.pv_div - want) < 1e-12
+
+
+def test_the_keys_of_the_quotes_are_dealt_once(spark, capsys):
+    """Each look-up had dealt them anew: forty times the input on the disks."""
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = history.enrich_dates(*market(spark)).select(*OUT)
+        df.collect()
+        df.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    dealt = [line for line in plan.splitlines() if re.search(r"- Exchange hashpartitioning\(.*underlier", line)]
+    by_underlier = [line for line in dealt if "REPARTITION_BY_NUM" in line]
+    # keys and spots, payments; then the quotes and what was found for their keys
+    assert len(by_underlier) == 2 and len(dealt) == 4, plan
+    assert re.search(r"ReusedExchange .*underlier", plan), plan

@@ -78,13 +78,17 @@ def mark_unsound(slices: DataFrame, rates: DataFrame, curve_keys: Sequence[str])
 
 
 def attach_slices(quotes: DataFrame, slices: DataFrame, join_keys: Sequence[str]) -> DataFrame:
-    """Quotes with the columns of their expiry slice, mid, k and status."""
+    """Quotes with the columns of their expiry slice, mid, k and status, and with df and forward, which
+    follow from the others, if the slices lack them."""
     if MATURITY in join_keys:  # equal hashes need not be equal maturities
         named = {k: f"_{k}" for k in (*join_keys, "T")}
         equal = " and ".join([*(f"{k} = {named[k]}" for k in join_keys), "not (T < _T or T > _T)"])
         joined = quotes.join(slices.withColumnsRenamed(named), F.expr(equal), "left").drop(*named.values())
     else:
         joined = quotes.join(slices, list(join_keys), "left")
+    if "forward" not in slices.columns:
+        joined = joined.withColumn("df", discount_factor("r", "T"))
+        joined = joined.withColumn("forward", forward_price("spot", "pv_div", "df"))
     return (
         joined
         .withColumn("mid", mid())
